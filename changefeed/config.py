@@ -41,7 +41,7 @@ class Settings:
     late_horizon: str = "1 day"
     trigger: str = "60 seconds"
     # Tasks that may share the rows of one (day, feed) pair in one micro-batch.
-    splits: int = 8
+    splits: int = 4
     # Drop copies that sit in the same Arrow batch before the shuffle by id.
     collapse_copies: bool = True
     # "bronze": parse and deduplicate once, gold reads bronze.

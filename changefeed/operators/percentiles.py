@@ -66,4 +66,4 @@ def approximate_percentiles(
     return df.groupBy(by).agg(values.alias("values")).select(
         by,
         F.explode(F.arrays_zip(F.array(*[F.lit(float(p)) for p in points]).alias("point"), F.col("values").alias("value"))).alias("pair"),
-    ).select(by, F.col("pair.0").alias("point"), F.col("pair.values").alias("value"))
+    ).select(by, "pair.point", "pair.value")

@@ -49,7 +49,7 @@ raw AS (
     END AS raw_json
   FROM copies),
 once AS (SELECT * FROM good WHERE copy = 0),
-newest AS (SELECT date_trunc('millisecond', max(ts)) AS at FROM good),
+newest AS (SELECT date_trunc('millisecond', max(ts)) AS newest_at FROM good),
 edits AS (
   SELECT date_trunc('minute', ts) AS window_start,
          date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end,
@@ -76,7 +76,7 @@ _FACTS = """ts AS event_time, arrived AS ingested_at, wiki, type, title, "user",
   wiki || '.example.org' AS server_name, meta_id"""
 
 # What a stream with a given delay has emitted at the end of its input.
-_SETTLED = "window_end <= (SELECT at FROM newest) - INTERVAL {}"
+_SETTLED = "window_end <= (SELECT newest_at FROM newest) - INTERVAL {}"
 _TWO = _SETTLED.format("2 MINUTE")
 _DAY = _SETTLED.format("1 DAY")
 

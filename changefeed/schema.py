@@ -43,6 +43,8 @@ class Table:
     time: str
     feed: str | None = "wiki"
     keys: tuple[str, ...] = ()
+    # At most a few rows for each minute and feed, whatever the input.
+    per_minute: bool = False
 
     @property
     def full_name(self) -> str:
@@ -99,14 +101,17 @@ REJECTS = Table(
 )
 
 
-def _gold(name: str, extra: str, count: str, keys: tuple[str, ...]) -> Table:
+def _gold(
+    name: str, extra: str, count: str, keys: tuple[str, ...], per_minute: bool = True
+) -> Table:
     columns = f"window_start timestamp, window_end timestamp, wiki string, {extra}{count} bigint"
-    return Table("gold", name, columns, time="window_start", keys=("window_start", *keys))
+    keys = ("window_start", *keys)
+    return Table("gold", name, columns, "window_start", keys=keys, per_minute=per_minute)
 
 
 EDITS = _gold("edits_per_minute_by_wiki", "", "edit_count", ("wiki",))
 BOTS = _gold("bot_vs_human_per_minute", "bot boolean, ", "edit_count", ("wiki", "bot"))
-PAGES = _gold("top_pages_10min", "title string, ", "edit_count", ("wiki", "title"))
+PAGES = _gold("top_pages_10min", "title string, ", "edit_count", ("wiki", "title"), False)
 LATE = _gold("late_arrivals", "", "late_event_count", ("wiki",))
 
 GOLD = (EDITS, BOTS, PAGES, LATE)

@@ -15,11 +15,14 @@ METRICS_DDL = (
     "late_events bigint, dropped_rows bigint, newest_event_time timestamp, duration_seconds double"
 )
 
+EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+
 
 def progress_row(progress) -> tuple:
     """One micro-batch as a row of the metrics table."""
     seen = progress.observedMetrics.get(progress.name)
     values = seen.asDict() if seen is not None else {}
+    newest = values.get("newest_micros")
     dropped = sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
     return (
         progress.name,
@@ -29,7 +32,7 @@ def progress_row(progress) -> tuple:
         values.get("rows", 0),
         values.get("late_events") or 0,
         dropped,
-        values.get("newest"),
+        None if newest is None else EPOCH + dt.timedelta(microseconds=newest),
         progress.durationMs.get("triggerExecution", 0) / 1000.0,
     )
 
