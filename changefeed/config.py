@@ -40,6 +40,10 @@ class Settings:
     # its own query can never be counted by it.
     late_horizon: str = "1 day"
     trigger: str = "60 seconds"
+    # Shuffle width of the stateful operators. The checkpoint keeps the one it
+    # was started with, and streams are not re-planned at run time, so it has
+    # to suit the cluster: None takes one partition per core.
+    state_partitions: int | None = None
     # Tasks that may share the rows of one (day, feed) pair in one micro-batch.
     splits: int = 4
     # Drop copies that sit in the same Arrow batch before the shuffle by id.

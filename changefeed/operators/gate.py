@@ -82,18 +82,29 @@ def decode(raw: DataFrame, strings: str = "typed") -> DataFrame:
     )
 
 
-def gate(
+def judged(
     raw: DataFrame, rules: list[Rule] | None = None, strings: str = "typed"
-) -> tuple[DataFrame, DataFrame]:
-    """``(accepted, rejected)`` over one plan; both work on streams too."""
+) -> DataFrame:
+    """Decoded records with ``rejected`` and ``reason``, for queries that need
+    both outcomes of one parse."""
     rules = default_rules() if rules is None else rules
-    decoded = decode(raw, strings)
-    broken = any_of([rule.broken for rule in rules])
     reason = F.concat_ws("; ", *[F.when(rule.broken, F.lit(rule.reason)) for rule in rules])
-    accepted = decoded.filter(~broken).select(*BRONZE.column_names)
-    rejected = decoded.filter(broken).select(
-        "raw_json", reason.alias("reason"), "ingested_at"
-    ).select(*REJECTS.column_names)
+    return decode(raw, strings).select(
+        "*", any_of([rule.broken for rule in rules]).alias("rejected"), reason.alias("reason")
+    )
+
+
+def gate(
+    raw: DataFrame, rules: list[Rule] | None = None, strings: str = "typed"
+) -> tuple[DataFrame, DataFrame]:
+    """``(accepted, rejected)`` over one plan; both work on streams too.
+
+    The filters are on the rules themselves, so no list of reasons is put
+    together for an accepted record.
+    """
+    records = judged(raw, rules, strings)
+    accepted = records.filter(~F.col("rejected")).select(*BRONZE.column_names)
+    rejected = records.filter("rejected").select(*REJECTS.column_names)
     return accepted, rejected
 
 

@@ -95,17 +95,18 @@ def minimum_volume(df: DataFrame, n: int = 100) -> DataFrame:
     )
 
 
-def reject_share(
-    accepted: DataFrame, rejected: DataFrame, limit: float, length: str = "5 minutes"
-) -> DataFrame:
-    """Share of rejects among the arrivals of each window, with an alert flag."""
-    arrivals = accepted.select("ingested_at", F.lit(0).alias("bad")).unionByName(
-        rejected.select("ingested_at", F.lit(1).alias("bad"))
-    )
+def reject_share(records: DataFrame, limit: float, length: str = "5 minutes") -> DataFrame:
+    """Share of rejects among the arrivals of each window, with an alert flag.
+
+    ``records`` are judged ones, with ``rejected`` and ``ingested_at``.
+    """
     share = F.col("reject_count").cast("double") / F.col("record_count").cast("double")
     return (
-        arrivals.groupBy(F.window("ingested_at", length))
-        .agg(F.count(F.lit(1)).alias("record_count"), F.sum("bad").alias("reject_count"))
+        records.groupBy(F.window("ingested_at", length))
+        .agg(
+            F.count(F.lit(1)).alias("record_count"),
+            F.count_if("rejected").alias("reject_count"),
+        )
         .select(
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
@@ -120,29 +121,43 @@ def reject_share(
 def key_types(spark: SparkSession, raw: DataFrame, day: Column) -> DataFrame:
     """Rows per day, JSON key and JSON type, top-level keys and those of ``meta``.
 
-    Each record is taken apart once; equal (key, type) pairs are counted before
-    the shuffle. Records that are no objects have no keys.
+    Each record is taken apart once, and equal (key, type) pairs are counted
+    before the shuffle. Records that are no objects have no keys.
     """
     parsed = raw.select(day.alias("day"), once(F.struct(F.try_parse_json("raw_json").alias("doc"))))
-    top = spark.tvf.variant_explode(F.col("doc").outer())
-    entries = parsed.lateralJoin(top).select("day", "key", "value").filter(F.col("key").isNotNull())
-    # OBJECT<...> and ARRAY<...> count by their kind alone.
-    kind = F.regexp_extract(F.schema_of_variant("value"), r"^(\w+)", 1)
-    inner = spark.tvf.variant_explode(F.col("value").outer())
-    nested = (
-        entries.filter(F.col("key") == "meta")
-        .select("day", "value")
-        .lateralJoin(inner.toDF("p", "inner_key", "inner_value"))
-        .filter(F.col("inner_key").isNotNull())
-        .select("day", F.concat(F.lit("meta."), F.col("inner_key")).alias("key"), F.col("inner_value").alias("value"))
+    members = spark.tvf.variant_explode(F.col("doc").outer()).toDF("pos", "key", "value")
+    inside = F.when(F.col("key") == "meta", F.col("value")).outer()
+    inner = spark.tvf.variant_explode_outer(inside).toDF("inner_pos", "inner_key", "inner_value")
+    entries = (
+        parsed.lateralJoin(members)
+        .filter(F.col("key").isNotNull())
+        .lateralJoin(inner)
+    )
+    # A member of ``meta`` gives a row of its own; ``meta`` itself goes with
+    # the first of them.
+    own = F.when(
+        F.coalesce("inner_pos", F.lit(0)) == 0,
+        F.struct(F.col("key").alias("json_key"), _kind("value").alias("json_type")),
+    )
+    nested = F.when(
+        F.col("inner_key").isNotNull(),
+        F.struct(
+            F.concat(F.lit("meta."), F.col("inner_key")).alias("json_key"),
+            _kind("inner_value").alias("json_type"),
+        ),
     )
     return (
-        entries.unionByName(nested)
-        .groupBy("day", F.col("key").alias("json_key"), kind.alias("json_type"))
+        entries.select("day", F.inline(F.array_compact(F.array(own, nested))))
+        .groupBy("day", "json_key", "json_type")
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
 
 
+def _kind(value: str) -> Column:
+    """OBJECT<...> and ARRAY<...> count by their kind alone."""
+    return F.regexp_extract(F.schema_of_variant(value), r"^(\w+)", 1)
+
+
 def schema_drift(spark: SparkSession, raw: DataFrame, day: Column) -> DataFrame:
     """Keys that the declared schema lacks (``new``) or types otherwise
     (``retyped``), per day."""

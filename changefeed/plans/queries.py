@@ -23,11 +23,11 @@ from changefeed.operators import (
     windows,
 )
 from changefeed.operators.dedup import first_copies
-from changefeed.operators.gate import envelope, gate
+from changefeed.operators.gate import envelope, gate, judged
 from changefeed.schema import BRONZE, BOTS, DAY, EDITS, LATE, PAGES, REJECTS, Table
 from changefeed.sources.captured import intake, read_captured
 from changefeed.sources.events import change_log, read_events, stream_events
-from changefeed.sources.log import feed_key
+from changefeed.sources.log import feed_key, widened
 from changefeed.sources.tables import read_files, read_live, read_table
 from changefeed.streaming import metrics
 from changefeed.streaming.pipeline import Pipeline
@@ -46,7 +46,12 @@ def zoneless(df: DataFrame) -> DataFrame:
 
 
 def raw_log(spark: SparkSession, directory: str) -> DataFrame:
-    return change_log(read_events(prepare_session(spark), directory))
+    return change_log(widened(read_events(prepare_session(spark), directory)))
+
+
+def streamed_log(spark: SparkSession, directory: str) -> DataFrame:
+    stream = stream_events(prepare_session(spark), directory)
+    return change_log(widened(stream, like=read_events(spark, directory)))
 
 
 def accepted(spark: SparkSession, directory: str) -> DataFrame:
@@ -145,10 +150,10 @@ def skew_percentiles_approx(spark: SparkSession, directory: str) -> DataFrame:
 # --- quality ------------------------------------------------------------
 
 def _written_bronze(spark: SparkSession, directory: str, label: str) -> DataFrame:
-    """Bronze as a table of its own, so that several queries share one parse."""
+    """Bronze written once, so that several queries share one parse."""
     path = work_dir(spark, label)
-    upkeep.write_partitioned(events(spark, directory), BRONZE, path)
-    return read_files(spark, BRONZE, path).select(*BRONZE.column_names)
+    events(spark, directory).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def table_counts(spark: SparkSession, directory: str) -> DataFrame:
@@ -165,12 +170,11 @@ def gold_total(spark: SparkSession, directory: str) -> DataFrame:
 
 def table_growth(spark: SparkSession, directory: str) -> DataFrame:
     """Bronze and reject counts sampled at the end of each day."""
-    good, bad = gate(raw_log(spark, directory))
-    days = good.select(F.lit("bronze").alias("table_name"), F.to_date("ingested_at").alias("day"))
-    days = days.unionByName(
-        bad.select(F.lit("rejects").alias("table_name"), F.to_date("ingested_at").alias("day"))
-    )
-    daily = days.groupBy("table_name", "day").agg(F.count(F.lit(1)).alias("n"))
+    records = judged(raw_log(spark, directory))
+    daily = records.groupBy(
+        F.when(F.col("rejected"), "rejects").otherwise("bronze").alias("table_name"),
+        F.to_date("ingested_at").alias("day"),
+    ).agg(F.count(F.lit(1)).alias("n"))
     samples = daily.select(
         "table_name",
         F.date_add("day", 1).cast("timestamp").alias("sampled_at"),
@@ -218,8 +222,8 @@ def late_rate(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def reject_share(spark: SparkSession, directory: str) -> DataFrame:
-    good, bad = gate(raw_log(spark, directory))
-    return quality.reject_share(good, bad, limit=0.1, length="1 hour")
+    records = judged(raw_log(spark, directory))
+    return quality.reject_share(records, limit=0.1, length="1 hour")
 
 
 def schema_drift(spark: SparkSession, directory: str) -> DataFrame:
@@ -280,9 +284,8 @@ def captured_blocks(spark: SparkSession, directory: str) -> DataFrame:
 # --- streams ------------------------------------------------------------
 
 def _pipeline(spark: SparkSession, directory: str, label: str, **changes) -> Pipeline:
-    prepare_session(spark)
     settings = Settings(root=work_dir(spark, label), **changes)
-    return Pipeline(spark, change_log(stream_events(spark, directory)), settings)
+    return Pipeline(spark, streamed_log(spark, directory), settings)
 
 
 def _run(pipeline: Pipeline, *tables: Table) -> Pipeline:
@@ -333,7 +336,7 @@ def replay_equals_control(spark: SparkSession, directory: str) -> DataFrame:
     commits = f"{pipeline.settings.checkpoint(BRONZE.name)}/commits"
     last = max(p.batchId for p in pipeline.queries[BRONZE.name].recentProgress)
     storage.delete(spark, f"{commits}/{last}")
-    again = Pipeline(spark, change_log(stream_events(spark, directory)), pipeline.settings)
+    again = Pipeline(spark, streamed_log(spark, directory), pipeline.settings)
     bronze = _run(again, BRONZE).table(BRONZE)
     return compare.same_rows(bronze, events(spark, directory), FACTS)
 

@@ -15,6 +15,8 @@ from changefeed.sources.tables import read_table, stream_table
 from changefeed.streaming.metrics import METRICS_DDL, progress_row
 from changefeed.streaming.sinks import append_to_table
 
+SHUFFLE_WIDTH = "spark.sql.shuffle.partitions"
+
 
 class Pipeline:
     """Six streaming queries over one log, each with its own checkpoint.
@@ -59,12 +61,19 @@ class Pipeline:
         return spec.build(self.gold_input(spec), self.settings.late_after)
 
     def start(self, *tables: Table, available_now: bool = False) -> list[StreamingQuery]:
-        started = []
-        for table in tables or ALL_TABLES:
-            query = append_to_table(self.frame(table), table, self.settings, available_now)
-            self.queries[table.name] = query
-            started.append(query)
-        return started
+        width = self.settings.state_partitions or self.spark.sparkContext.defaultParallelism
+        session_width = self.spark.conf.get(SHUFFLE_WIDTH)
+        # A query keeps the settings of the moment it starts.
+        self.spark.conf.set(SHUFFLE_WIDTH, width)
+        try:
+            started = {
+                table.name: append_to_table(self.frame(table), table, self.settings, available_now)
+                for table in tables or ALL_TABLES
+            }
+        finally:
+            self.spark.conf.set(SHUFFLE_WIDTH, session_width)
+        self.queries.update(started)
+        return list(started.values())
 
     def run_available(self) -> dict[str, StreamingQuery]:
         """Process what the log holds and stop; bronze first, since gold reads it."""
