@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def _open(spark: SparkSession, path: str):
+def _open(spark: SparkSession, path: str, encoded: bool = False):
     jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
+    target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path) if encoded else path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
@@ -24,6 +24,17 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(target)
 
 
-def delete(spark: SparkSession, path: str) -> bool:
-    fs, target = _open(spark, path)
+def delete(spark: SparkSession, path: str, encoded: bool = False) -> bool:
+    """``encoded`` for names as Spark's file metadata gives them."""
+    fs, target = _open(spark, path, encoded)
     return fs.delete(target, True)
+
+
+def has_folder(spark: SparkSession, path: str, prefix: str) -> bool:
+    """Is there an entry below ``path`` whose name starts so?"""
+    fs, target = _open(spark, path)
+    entries = fs.listStatusIterator(target)
+    while entries.hasNext():
+        if entries.next().getPath().getName().startswith(prefix):
+            return True
+    return False

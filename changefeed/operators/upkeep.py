@@ -9,6 +9,7 @@ everything else from the live table.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -199,6 +200,12 @@ def orphan_files(
     return on_storage.join(in_use, "file_path", "left_anti")
 
 
+def plain_name(uri: str) -> str:
+    """Local files are named ``file:/x`` by one part of Spark, ``file:///x`` by
+    another."""
+    return re.sub(r"^file:/+", "file:/", uri)
+
+
 def remove_orphans(
     spark: SparkSession, path: str, table: Table, older_than: dt.datetime
 ) -> list[str]:
@@ -207,11 +214,11 @@ def remove_orphans(
     A file without rows backs no row yet may stand in the log, so names that
     the table lists are left alone.
     """
-    listed = set(read_files(spark, table, path).inputFiles())
+    listed = {plain_name(name) for name in read_files(spark, table, path).inputFiles()}
     orphans = orphan_files(spark, path, table, older_than).select("file_path").toLocalIterator()
     gone = []
     for row in orphans:
-        if row.file_path not in listed and storage.delete(spark, row.file_path):
+        if plain_name(row.file_path) not in listed and storage.delete(spark, row.file_path, encoded=True):
             gone.append(row.file_path)
     return gone
 
@@ -233,9 +240,9 @@ def maintain(
             continue
         entry = {"table": table.full_name}
         entry["expired"] = expire(spark, settings, table, now, keep=keep, older_than=retention)
-        entry["orphans"] = (
-            remove_orphans(spark, path, table, now - retention) if clean_orphans else []
-        )
+        entry["orphans"] = []
+        if clean_orphans and storage.has_folder(spark, path, f"{DAY}="):
+            entry["orphans"] = remove_orphans(spark, path, table, now - retention)
         entry["generation"] = compact(spark, settings, table, through)
         report.append(entry)
     return report
