@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def export_parquet(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -15,19 +15,33 @@ def export_parquet(df: DataFrame, path: str, files: int | None = None) -> None:
     sized.write.mode("overwrite").parquet(path)
 
 
-def bronze_sample(bronze: DataFrame, n: int = 50_000, order: list[Column] | None = None) -> DataFrame:
-    """``n`` rows: any, or the first in an order, which makes it repeatable.
+def bronze_sample(
+    bronze: DataFrame, n: int = 50_000, repeatable: bool = True, key: str = "meta_id"
+) -> DataFrame:
+    """``n`` rows: those with the lowest hash of id, or any.
 
-    Ordering by a hash of the id gives an unbiased sample. A top-n keeps at
-    most ``n`` rows per task and never sorts the table.
+    A plain top-n sends up to ``n`` rows of *every* task to one last task. So
+    the ids are counted by the first four digits of their hash (65,536 groups
+    at most), which says how far down the ``n``-th row lies, and only the rows
+    up to there, a little over ``n`` in all, take part in the top-n.
     """
-    return bronze.orderBy(*order).limit(n) if order else bronze.limit(n)
-
-
-def by_hash(key: str = "meta_id") -> list[Column]:
-    return [F.xxhash64(key), F.col(key)]
+    if not repeatable:
+        return bronze.limit(n)
+    digest = F.md5(F.col(key))
+    prefix = F.substring(digest, 1, 4)
+    groups = bronze.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("rows"))
+    before = F.sum("rows").over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1))
+    reached = groups.select("prefix", F.coalesce(before, F.lit(0)).alias("before"))
+    last = reached.filter(F.col("before") < n).agg(F.max("prefix").alias("last"))
+    return bronze.filter(prefix <= last.scalar()).orderBy(digest, key).limit(n)
 
 
 def export_json_lines(log: DataFrame, path: str, n: int = 2_000) -> None:
-    """``n`` raw records, one per line."""
-    log.select("raw_json").limit(n).write.mode("overwrite").text(path)
+    """``n`` raw records, one per line.
+
+    ``take`` reads the log from its first file on and stops at ``n`` records;
+    writing a limit would open every file of it.
+    """
+    rows = [(row.raw_json,) for row in log.select("raw_json").take(n)]
+    taken = log.sparkSession.createDataFrame(rows, "raw_json string")
+    taken.coalesce(1).write.mode("overwrite").text(path)

@@ -89,9 +89,10 @@ def freshness(df: DataFrame, now: Column | None = None, limit_seconds: int = 120
 
 
 def minimum_volume(df: DataFrame, n: int = 100) -> DataFrame:
-    """Are there ``n`` rows? Reads no more of the input than it takes to say."""
-    return df.limit(n).agg(F.count(F.lit(1)).alias("observed")).withColumn(
-        "enough", F.col("observed") >= n
+    """Are there ``n`` rows? Stops reading at the ``n``-th."""
+    observed = len(df.select(F.lit(1)).take(n))
+    return df.sparkSession.createDataFrame(
+        [(observed, observed >= n)], "observed bigint, enough boolean"
     )
 
 

@@ -49,6 +49,11 @@ class GoldSpec:
     count_name: str
     late_only: bool = False
 
+    @property
+    def inputs(self) -> list[str]:
+        """The columns of an event that the counts need, its id among them."""
+        return ["meta_id", "event_time", *self.keys, *(["ingested_at"] if self.late_only else [])]
+
     def build(
         self, events: DataFrame, late_after: str = "2 minutes", length: str | None = None
     ) -> DataFrame:

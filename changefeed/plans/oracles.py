@@ -230,7 +230,7 @@ ORACLES: dict[str, str] = {
           FROM once GROUP BY ALL)
         WHERE {_SETTLED.format("10 MINUTE")}"""),
     "rebuilt_edits": _q("SELECT * FROM edits"),
-    "export_sample": _q(f"SELECT {_FACTS} FROM once ORDER BY meta_id LIMIT 50000"),
+    "export_sample": _q(f"SELECT {_FACTS} FROM once ORDER BY md5(meta_id), meta_id LIMIT 50000"),
     "file_stats": _q("""
         SELECT ts::DATE AS event_date, wiki, count(*) AS row_count, true AS has_bytes
         FROM once GROUP BY ALL"""),

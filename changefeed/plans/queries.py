@@ -253,7 +253,7 @@ def rebuilt_edits(spark: SparkSession, directory: str) -> DataFrame:
 
 def export_sample(spark: SparkSession, directory: str) -> DataFrame:
     path = work_dir(spark, "export")
-    sample = exports.bronze_sample(events(spark, directory), 50_000, [F.col("meta_id")])
+    sample = exports.bronze_sample(events(spark, directory), 50_000)
     exports.export_parquet(sample, path)
     return spark.read.parquet(path).select(*FACTS)
 

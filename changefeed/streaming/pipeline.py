@@ -34,19 +34,17 @@ class Pipeline:
         for table in ALL_TABLES:
             storage.make_folder(spark, settings.table_path(table.namespace, table.name))
 
-    def events(self, horizon: str | None = None) -> DataFrame:
-        """Accepted events, each id once."""
+    def events(self, horizon: str, columns: list[str]) -> DataFrame:
+        """Accepted events, each id once, with no more columns than needed."""
         return dedup_stream(
-            self.accepted,
-            horizon=horizon or self.settings.horizon,
-            collapse=self.settings.collapse_copies,
+            self.accepted.select(*columns), horizon=horizon, collapse=self.settings.collapse_copies
         )
 
     def gold_input(self, spec: GoldSpec) -> DataFrame:
         if spec is LATE_SPEC:
-            return self.events(self.settings.late_horizon)
+            return self.events(self.settings.late_horizon, spec.inputs)
         if self.settings.gold_from == "source":
-            return self.events(self.settings.watermark)
+            return self.events(self.settings.watermark, spec.inputs)
         return stream_table(self.spark, self.settings, BRONZE).withWatermark(
             "event_time", self.settings.watermark
         )
@@ -56,7 +54,7 @@ class Pipeline:
         if table is REJECTS:
             return self.rejected
         if table is BRONZE:
-            return self.events()
+            return self.events(self.settings.horizon, BRONZE.column_names)
         spec = next(s for s in GOLD_SPECS if s.table is table)
         return spec.build(self.gold_input(spec), self.settings.late_after)
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+import hashlib
 import os
 import re
 import shutil
@@ -205,11 +206,13 @@ def test_exports(spark, bronze, settings, tmp_path):
     assert len(data_files("auto")) == 1 and len(data_files("three")) == 3
     assert spark.read.parquet(str(tmp_path / "auto")).count() == 90
     taken = [
-        sorted(r.meta_id for r in exports.bronze_sample(df, 20, exports.by_hash()).collect())
+        sorted(r.meta_id for r in exports.bronze_sample(df, 20).collect())
         for df in (events, events.repartition(7))
     ]
-    assert taken[0] == taken[1] and len(taken[0]) == 20
-    assert exports.bronze_sample(events, 20).count() == 20
+    by_hash = sorted((r.meta_id for r in events.collect()), key=lambda i: hashlib.md5(i.encode()).hexdigest())
+    assert taken[0] == taken[1] == sorted(by_hash[:20])
+    assert exports.bronze_sample(events, 1_000).count() == 90
+    assert exports.bronze_sample(events, 20, repeatable=False).count() == 20
     exports.export_json_lines(events, str(tmp_path / "lines"), 15)
     assert spark.read.json(str(tmp_path / "lines")).filter("meta.id IS NOT NULL").count() == 15
 
