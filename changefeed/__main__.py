@@ -32,7 +32,8 @@ def tables_of(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
     return {
         table.name: read_table(spark, settings, table)
         for table in ALL_TABLES
-        if storage.exists(spark, settings.table_path(table.namespace, table.name))
+        if settings.in_catalog
+        or storage.exists(spark, settings.table_path(table.namespace, table.name))
     }
 
 
@@ -126,6 +127,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--horizon", default="2 minutes", help="how far apart copies may lie")
     parser.add_argument("--watermark", help="how late an event may be for its window")
     parser.add_argument("--gold-from", default="bronze", choices=["bronze", "source"])
+    parser.add_argument("--catalog", help="keep the tables there, as Iceberg tables")
     parser.add_argument("--flush-seconds", type=int, default=60)
     parser.add_argument("--out", default="exports")
     parser.add_argument("--files", type=int)
@@ -140,6 +142,8 @@ def main(argv: list[str] | None = None) -> None:
         trigger=args.trigger,
         horizon=args.horizon,
         gold_from=args.gold_from,
+        catalog=args.catalog,
+        sink_format="iceberg" if args.catalog else "parquet",
         **({"watermark": args.watermark} if args.watermark else {}),
     )
     JOBS[args.job](build_session(), settings, args)

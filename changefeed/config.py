@@ -37,8 +37,8 @@ class Settings:
     horizon: str = "2 minutes"
     late_after: str = "2 minutes"
     # A longer horizon for the late count: an event later than the horizon of
-    # its own query can never be counted by it.
-    late_horizon: str = "1 day"
+    # its own query can never be counted by it. Its windows close that late.
+    late_horizon: str = "1 hour"
     trigger: str = "60 seconds"
     # Shuffle width of the stateful operators. The checkpoint keeps the one it
     # was started with, and streams are not re-planned at run time, so it has
@@ -51,9 +51,18 @@ class Settings:
     # "bronze": parse and deduplicate once, gold reads bronze.
     # "source": every gold query starts at the log.
     gold_from: str = "bronze"
+    # Parquet folders below ``root``, or tables of a catalog in another format.
     sink_format: str = "parquet"
+    catalog: str | None = None
     sink_options: dict[str, str] = field(default_factory=dict)
 
+    @property
+    def in_catalog(self) -> bool:
+        return self.sink_format != "parquet"
+
+    def table_name(self, full_name: str) -> str:
+        return f"{self.catalog}.{full_name}" if self.catalog else full_name
+
     def table_path(self, namespace: str, name: str) -> str:
         return f"{self.root}/tables/{namespace}/{name}"
 

@@ -30,11 +30,13 @@ def delete(spark: SparkSession, path: str, encoded: bool = False) -> bool:
     return fs.delete(target, True)
 
 
-def has_folder(spark: SparkSession, path: str, prefix: str) -> bool:
-    """Is there an entry below ``path`` whose name starts so?"""
+def names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names directly below ``path`` that start with ``prefix``, as of days."""
     fs, target = _open(spark, path)
+    found = []
     entries = fs.listStatusIterator(target)
     while entries.hasNext():
-        if entries.next().getPath().getName().startswith(prefix):
-            return True
-    return False
+        name = entries.next().getPath().getName()
+        if name.startswith(prefix):
+            found.append(name)
+    return sorted(found)

@@ -235,33 +235,40 @@ def maintain(
     """Expiry, optional orphan removal and compaction of every table."""
     report = []
     for table in ALL_TABLES:
+        if settings.catalog:
+            steps = iceberg_upkeep(
+                table.full_name, settings.catalog, now - retention, keep, clean_orphans
+            )
+            for step in steps:
+                spark.sql(step)
+            report.append({"table": table.full_name, "steps": steps})
+            continue
         path = settings.table_path(table.namespace, table.name)
         if not storage.exists(spark, path):
             continue
         entry = {"table": table.full_name}
         entry["expired"] = expire(spark, settings, table, now, keep=keep, older_than=retention)
         entry["orphans"] = []
-        if clean_orphans and storage.has_folder(spark, path, f"{DAY}="):
+        if clean_orphans and storage.names(spark, path, f"{DAY}="):
             entry["orphans"] = remove_orphans(spark, path, table, now - retention)
         entry["generation"] = compact(spark, settings, table, through)
         report.append(entry)
     return report
 
 
-def drop_days(spark: SparkSession, df_path: str, before: dt.date) -> list[str]:
+def drop_days(spark: SparkSession, path: str, before: dt.date) -> list[str]:
     """Row retention for a batch-written table: delete whole day folders.
 
     Not part of :func:`maintain`, and not for a folder that a sink still logs.
     """
-    if storage.exists(spark, f"{df_path}/_spark_metadata"):
-        raise ValueError(f"{df_path} belongs to a streaming sink")
-    days = (
-        spark.read.parquet(df_path).select(F.col(DAY)).filter(F.col(DAY) < F.lit(before)).distinct()
-    )
-    gone = [f"{df_path}/{DAY}={row[DAY]:%Y-%m-%d}" for row in days.toLocalIterator()]
-    for folder in gone:
-        storage.delete(spark, folder)
-    return gone
+    if storage.exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} belongs to a streaming sink")
+    # ISO dates sort as text.
+    limit = f"{DAY}={before.isoformat()}"
+    old = [name for name in storage.names(spark, path, f"{DAY}=") if name < limit]
+    for name in old:
+        storage.delete(spark, f"{path}/{name}")
+    return old
 
 
 def iceberg_upkeep(table: str, catalog: str, cutoff: dt.datetime, keep: int = 5, orphans: bool = False) -> list[str]:

@@ -78,7 +78,7 @@ _FACTS = """ts AS event_time, arrived AS ingested_at, wiki, type, title, "user",
 # What a stream with a given delay has emitted at the end of its input.
 _SETTLED = "window_end <= (SELECT newest_at FROM newest) - INTERVAL {}"
 _TWO = _SETTLED.format("2 MINUTE")
-_DAY = _SETTLED.format("1 DAY")
+_HOUR = _SETTLED.format("1 HOUR")
 
 
 def _q(body: str) -> str:
@@ -245,7 +245,7 @@ ORACLES: dict[str, str] = {
     "stream_edits_per_minute": _q(f"SELECT * FROM edits WHERE {_TWO}"),
     "stream_bot_vs_human": _q(f"SELECT * FROM bots WHERE {_TWO}"),
     "stream_page_edits_10min": _q(f"SELECT * FROM pages WHERE {_TWO}"),
-    "stream_late": _q(f"SELECT * FROM late WHERE {_DAY}"),
+    "stream_late": _q(f"SELECT * FROM late WHERE {_HOUR}"),
     "stream_pages_from_bronze": _q(f"SELECT * FROM pages WHERE {_TWO}"),
     "stream_pipeline_counts": _q(f"""
         SELECT table_name, row_count, row_count AS rows_reported FROM (
@@ -254,7 +254,7 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT 'edits_per_minute_by_wiki', count(*) FROM edits WHERE {_TWO}
           UNION ALL SELECT 'bot_vs_human_per_minute', count(*) FROM bots WHERE {_TWO}
           UNION ALL SELECT 'top_pages_10min', count(*) FROM pages WHERE {_TWO}
-          UNION ALL SELECT 'late_arrivals', count(*) FROM late WHERE {_DAY})"""),
+          UNION ALL SELECT 'late_arrivals', count(*) FROM late WHERE {_HOUR})"""),
     "replay_equals_control": _q("""
         SELECT count(*) AS left_rows, count(*) AS right_rows, 0 AS different_rows, true AS equal
         FROM once"""),

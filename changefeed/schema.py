@@ -118,10 +118,10 @@ GOLD = (EDITS, BOTS, PAGES, LATE)
 ALL_TABLES = (BRONZE, *GOLD, REJECTS)
 
 
-def create_tables(spark: SparkSession, settings: Settings, catalog: str | None = None) -> None:
+def create_tables(spark: SparkSession, settings: Settings) -> None:
     """Create the namespaces and every table that is absent."""
-    prefix = f"{catalog}." if catalog else ""
     for namespace in sorted({t.namespace for t in ALL_TABLES}):
-        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {prefix}{namespace}")
+        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {settings.table_name(namespace)}")
     for table in ALL_TABLES:
-        spark.sql(table.create_sql(settings.table_path(table.namespace, table.name), catalog))
+        path = settings.table_path(table.namespace, table.name)
+        spark.sql(table.create_sql(path, settings.catalog))

@@ -37,6 +37,8 @@ def read_files(spark: SparkSession, table: Table, path: str) -> DataFrame:
 
 def read_live(spark: SparkSession, settings: Settings, table: Table) -> DataFrame:
     """What the sink has committed, before any compaction."""
+    if settings.in_catalog:
+        return table.with_day(spark.table(settings.table_name(table.full_name)))
     return read_files(spark, table, settings.table_path(table.namespace, table.name))
 
 
@@ -46,6 +48,9 @@ def stream_table(spark: SparkSession, settings: Settings, table: Table, **option
     No cap on files per trigger by default: one commit holds files of many
     days, and reading only part of it would push the watermark past the rest.
     """
+    if settings.in_catalog:
+        reader = spark.readStream.options(**options)
+        return reader.table(settings.table_name(table.full_name)).select(*table.column_names)
     return (
         spark.readStream.schema(table.stored_schema)
         .options(**options)
@@ -69,7 +74,7 @@ def read_table(
     from changefeed.operators.upkeep import current_generations
 
     live = read_live(spark, settings, table)
-    chain = current_generations(spark, settings, table)
+    chain = [] if settings.in_catalog else current_generations(spark, settings, table)
     parts = []
     for generation in chain:
         newer = F.col("_metadata.file_modification_time") > F.lit(generation.taken_at)

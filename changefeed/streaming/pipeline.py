@@ -31,8 +31,9 @@ class Pipeline:
         self.settings = settings
         self.accepted, self.rejected = gate(raw)
         self.queries: dict[str, StreamingQuery] = {}
-        for table in ALL_TABLES:
-            storage.make_folder(spark, settings.table_path(table.namespace, table.name))
+        if not settings.in_catalog:
+            for table in ALL_TABLES:
+                storage.make_folder(spark, settings.table_path(table.namespace, table.name))
 
     def events(self, horizon: str, columns: list[str]) -> DataFrame:
         """Accepted events, each id once, with no more columns than needed."""

@@ -52,11 +52,10 @@ def append_to_table(
 ) -> StreamingQuery:
     """Exactly-once append. The sink's log lists the files of each batch once,
     however often the batch is run."""
-    if settings.sink_format != "parquet":
-        # A table format with its own catalog; not run here.
+    if settings.in_catalog:
         writer = _writer(measured(df, table), settings, table.name, available_now)
         writer = writer.format(settings.sink_format).options(**settings.sink_options)
-        return writer.toTable(table.full_name)
+        return writer.toTable(settings.table_name(table.full_name))
     rows = table.with_day(df)
     if table.keys and settings.splits:
         rows = spread(rows, table, settings.splits)

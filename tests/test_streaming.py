@@ -188,3 +188,19 @@ def test_gold_reads_whole_commits_of_bronze(spark, log_folder, settings):
     for spec in (windows.PAGES_SPEC, windows.BOTS_SPEC):
         expected = windows.settled(spec.build(events), events, "2 minutes")
         assert compare.same_rows(pipe.table(spec.table), expected).first().equal
+
+
+def test_tables_of_a_catalog(spark, log_folder, tmp_path, traffic):
+    """Another format than Parquet goes by table name; ORC stands in for one."""
+    settings = Settings(root=str(tmp_path / "root"), sink_format="orc", state_partitions=2, horizon="10 minutes")
+    for namespace in ("bronze", "gold"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
+    try:
+        pipe = pipeline(spark, log_folder(traffic), settings)
+        pipe.run_available()
+        assert spark.table("bronze.recentchange").count() == pipe.table(BRONZE).count() == 600
+        assert pipe.table(EDITS).count() == spark.table("gold.edits_per_minute_by_wiki").count() > 0
+        assert pipe.table(REJECTS).count() == 12
+    finally:
+        for table in (BRONZE, REJECTS, *GOLD):
+            spark.sql(f"DROP TABLE IF EXISTS {table.full_name}")
