@@ -19,6 +19,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, target = _open(spark, path)
+    return fs.exists(target) and fs.getFileStatus(target).isDirectory()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.mkdirs(target)

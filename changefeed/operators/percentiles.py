@@ -62,8 +62,7 @@ def approximate_percentiles(
     df: DataFrame, value: Column, by: str, points: tuple[float, ...] = POINTS, accuracy: int = 10_000
 ) -> DataFrame:
     """The cheap form for dashboards: one pass, a sketch of fixed size per group."""
+    marks = F.array(*[F.lit(float(p)) for p in points])
     values = F.percentile_approx(value, list(points), accuracy)
-    return df.groupBy(by).agg(values.alias("values")).select(
-        by,
-        F.explode(F.arrays_zip(F.array(*[F.lit(float(p)) for p in points]).alias("point"), F.col("values").alias("value"))).alias("pair"),
-    ).select(by, "pair.point", "pair.value")
+    pairs = F.arrays_zip(marks.alias("point"), F.col("values").alias("value"))
+    return df.groupBy(by).agg(values.alias("values")).select(by, F.inline(pairs))

@@ -77,7 +77,9 @@ def residual_duplicates(
     )
 
 
-def freshness(df: DataFrame, now: Column | None = None, limit_seconds: int = 120, time: str = "event_time") -> DataFrame:
+def freshness(
+    df: DataFrame, now: Column | None = None, limit_seconds: int = 120, time: str = "event_time"
+) -> DataFrame:
     """Age of the newest event, and whether it is within the limit."""
     now = F.current_timestamp() if now is None else now
     age = (F.unix_micros(now) - F.unix_micros("newest_event_time")).cast("double") / F.lit(1e6)

@@ -56,7 +56,12 @@ class Table:
 
     @property
     def stored_schema(self) -> str:
-        return f"{self.columns}, {DAY} date"
+        """Partition columns last and in their order. A stream that starts on an
+        empty folder knows no partitions yet; its columns must stand where they
+        will once there are some."""
+        declared = [column.strip() for column in self.columns.split(",")]
+        feed = [column for column in declared if column.split()[0] == self.feed]
+        return ", ".join([c for c in declared if c not in feed] + [f"{DAY} date"] + feed)
 
     @property
     def column_names(self) -> list[str]:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from changefeed.functions import storage
+
 # The ``events`` table.
 EVENTS_DDL = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
@@ -22,12 +24,12 @@ def read_events(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, directory: str, **options: str) -> DataFrame:
-    return (
-        spark.readStream.schema(EVENTS_DDL)
-        .option("pathGlobFilter", "events.parquet")
-        .options(**options)
-        .parquet(directory)
-    )
+    """The table as a stream, be it one file or a folder of files."""
+    reader = spark.readStream.schema(EVENTS_DDL).options(**options)
+    path = f"{directory}/events.parquet"
+    if storage.is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", "events.parquet").parquet(directory)
 
 
 def change_log(events: DataFrame) -> DataFrame:

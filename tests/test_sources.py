@@ -1,4 +1,5 @@
 import glob
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +12,10 @@ from changefeed.sources import (
     keyed,
     land,
     read_captured,
+    read_events,
     rows_per_partition,
     sample,
+    stream_events,
 )
 from changefeed.sources.log import widened
 from conftest import record
@@ -143,6 +146,29 @@ def test_only_narrow_inputs_are_spread(spark):
     assert widened(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_events_may_be_a_file_or_a_folder(spark, tmp_path, files):
+    rows = spark.range(50).selectExpr(
+        "id event_id", "timestamp_ntz'2024-01-01' ts", "id user_id", "'c' event_type", "1d value", "'{}' props"
+    )
+    rows.repartition(files).write.parquet(str(tmp_path / "w"))
+    (tmp_path / "t").mkdir()
+    if files == 1:
+        shutil.copy(glob.glob(f"{tmp_path}/w/part-*")[0], tmp_path / "t" / "events.parquet")
+    else:
+        shutil.copytree(tmp_path / "w", tmp_path / "t" / "events.parquet")
+    assert read_events(spark, str(tmp_path / "t")).count() == 50
+    query = (
+        stream_events(spark, str(tmp_path / "t"))
+        .writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "ck"))
+        .trigger(availableNow=True)
+        .start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 50
+
+
 def test_change_log(spark):
     events = spark.range(0, 303).select(
         F.col("id").alias("event_id"),

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -204,3 +205,45 @@ def test_tables_of_a_catalog(spark, log_folder, tmp_path, traffic):
     finally:
         for table in (BRONZE, REJECTS, *GOLD):
             spark.sql(f"DROP TABLE IF EXISTS {table.full_name}")
+
+
+def test_standing_pipeline(spark, log_folder, tmp_path, traffic):
+    """All six queries at once, on a log that grows while they run."""
+    settings = Settings(root=str(tmp_path / "root"), trigger="200 milliseconds", late_horizon="2 minutes",
+                        state_partitions=2, splits=1)
+    path = log_folder(traffic[:150])
+    pipe = pipeline(spark, path, settings)
+    pipe.start()
+    try:
+        for cut in (150, 300, 450):
+            progressed = pipe.queries[BRONZE.name].lastProgress
+            log_folder(traffic[cut:cut + 150])
+            deadline = time.time() + 60
+            while time.time() < deadline and pipe.queries[BRONZE.name].lastProgress == progressed:
+                time.sleep(0.2)
+        log_folder(traffic[600:])
+        deadline = time.time() + 60
+        while time.time() < deadline and pipe.table(BRONZE).count() < 600:
+            time.sleep(0.5)
+        assert all(q.isActive for q in pipe.queries.values())
+    finally:
+        pipe.stop()
+    again = pipeline(spark, path, settings)
+    again.run_available()
+    events = first_copies(gate(LogSource(path=path).read(spark, stream=False))[0])
+    assert again.table(BRONZE).count() == 600
+    for spec in windows.GOLD_SPECS:
+        expected = windows.settled(spec.build(events), events, "2 minutes")
+        result = compare.same_rows(again.table(spec.table), expected).first()
+        assert result.equal and result.left_rows > 0, spec.table.name
+
+
+def test_a_failing_query_is_raised(spark, log_folder, settings):
+    pipe = pipeline(spark, log_folder([record()]), settings)
+    spark.streams.resetTerminated()
+    pipe.accepted = pipe.accepted.withColumn("wiki", F.raise_error(F.lit("broken")).cast("string"))
+    pipe.start(BRONZE)
+    with pytest.raises(Exception, match="broken"):
+        pipe.await_any()
+    pipe.stop()
+    spark.streams.resetTerminated()

@@ -6,8 +6,6 @@ import re
 import shutil
 
 import pytest
-from pyspark.sql import functions as F
-
 from changefeed.functions import storage
 from changefeed.operators import compare, exports, rebuild, upkeep, windows
 from changefeed.operators.dedup import first_copies
