@@ -247,3 +247,13 @@ def test_a_failing_query_is_raised(spark, log_folder, settings):
         pipe.await_any()
     pipe.stop()
     spark.streams.resetTerminated()
+
+
+def test_feed_names_survive_as_folders(spark, log_folder, settings):
+    """Names that look like numbers, dates or paths come back as they were."""
+    feeds = ["007", "1e3", "2024-01-01", "a b", "x/y", "a=b", "null", "ä%20", " pad "]
+    lines = [record(f"e{i}", wiki=feed) for i, feed in enumerate(feeds)]
+    lines.append(record("end", "2024-01-02T00:00:00Z"))
+    pipe = run(run(pipeline(spark, log_folder(lines), settings), BRONZE), EDITS)
+    assert sorted(r.wiki for r in pipe.table(BRONZE).collect()) == sorted([*feeds, "w"])
+    assert sorted(r.wiki for r in pipe.table(EDITS).collect()) == sorted(feeds)
