@@ -51,6 +51,10 @@ class Settings:
     # "bronze": parse and deduplicate once, gold reads bronze.
     # "source": every gold query starts at the log.
     gold_from: str = "bronze"
+    # How long the sink's own log remembers a file, as "90d". None: for
+    # ever. The log is rewritten as a whole now and then, so a table of very
+    # many files wants a limit, longer than days stay uncompacted.
+    log_retention: str | None = None
     # Parquet folders below ``root``, or tables of a catalog in another format.
     sink_format: str = "parquet"
     catalog: str | None = None

@@ -12,6 +12,7 @@ import datetime as dt
 import re
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -19,7 +20,7 @@ from changefeed.config import Settings
 from changefeed.functions import storage
 from changefeed.operators.compare import fingerprint
 from changefeed.schema import ALL_TABLES, DAY, Table
-from changefeed.sources.tables import read_files, read_live
+from changefeed.sources.tables import read_files, read_live, table_parts
 
 GENERATION_DDL = (
     "path string, since date, through date, taken_at timestamp, created_at timestamp, "
@@ -103,21 +104,30 @@ def compact(
 ) -> Generation | None:
     """Write closed days as a new generation and switch readers to it.
 
-    A run takes up where the last one ended, so each day is rewritten once;
-    ``full`` starts from the first day, which also folds in what arrived for
-    closed days since. The copy is checked against its source before the
-    registry, and with it any reader, learns of it.
+    A run takes up where the last one ended, so each day is rewritten once.
+    ``full`` starts from the first day: it merges the generations so far with
+    what arrived for closed days since. The copy is checked against its source
+    before the registry, and with it any reader, learns of it.
     """
-    chain = [] if full else current_generations(spark, settings, table)
-    since = chain[-1].through if chain else None
-    live = read_live(spark, settings, table).filter(F.col(DAY) < F.lit(through))
+    chain = current_generations(spark, settings, table)
+    since = None if full or not chain else chain[-1].through
+    closed = F.col(DAY) < F.lit(through)
     if since is not None:
-        live = live.filter(F.col(DAY) >= F.lit(since))
-    taken_at = live.agg(F.max("_metadata.file_modification_time")).first()[0]
-    if taken_at is None:
+        closed = closed & (F.col(DAY) >= F.lit(since))
+    live = read_live(spark, settings, table).filter(closed)
+    newest = live.agg(F.max("_metadata.file_modification_time")).first()[0]
+    known = [newest] if newest else []
+    if full:
+        known += [generation.taken_at for generation in chain]
+    if not known:
         return None
     # Files that a commit adds while this runs stay out of the copy.
-    source = live.filter(F.col("_metadata.file_modification_time") <= F.lit(taken_at))
+    taken_at = max(known)
+    if full:
+        parts = [part.filter(closed) for part in table_parts(spark, settings, table, taken_at)]
+        source = reduce(DataFrame.unionByName, parts)
+    else:
+        source = live.filter(F.col("_metadata.file_modification_time") <= F.lit(taken_at))
     path = f"{settings.generations_path(table.namespace, table.name)}/data/{uuid.uuid4().hex}"
     write_partitioned(source.select(*table.column_names), table, path)
 

@@ -59,27 +59,42 @@ def stream_table(spark: SparkSession, settings: Settings, table: Table, **option
     )
 
 
-def read_table(
-    spark: SparkSession,
-    settings: Settings,
-    table: Table,
-    since: dt.datetime | None = None,
-    until: dt.datetime | None = None,
-) -> DataFrame:
-    """The whole table: its compacted generations and all files since.
-
-    The filter on the modification time is applied to the file listing, so
-    the files that a generation replaces are not opened.
+def table_parts(
+    spark: SparkSession, settings: Settings, table: Table, as_of: dt.datetime | None = None
+) -> list[DataFrame]:
+    """A table as its compacted generations and the live files they do not hold.
+
+    The filters on the modification time are applied to the file listing, so
+    the files that a generation replaces are not opened. ``as_of`` leaves out
+    live files that are younger.
     """
     from changefeed.operators.upkeep import current_generations
 
     live = read_live(spark, settings, table)
-    chain = [] if settings.in_catalog else current_generations(spark, settings, table)
+    if settings.in_catalog:
+        return [live]
+    modified = F.col("_metadata.file_modification_time")
+    if as_of is not None:
+        live = live.filter(modified <= F.lit(as_of))
+    chain = current_generations(spark, settings, table)
     parts = []
     for generation in chain:
-        newer = F.col("_metadata.file_modification_time") > F.lit(generation.taken_at)
         parts.append(read_files(spark, table, generation.path))
-        parts.append(live.filter(generation.covers() & newer))
+        parts.append(live.filter(generation.covers() & (modified > F.lit(generation.taken_at))))
     parts.append(live.filter(F.col(DAY) >= F.lit(chain[-1].through)) if chain else live)
-    parts = [between(p, table, since, until).select(*table.column_names) for p in parts]
+    return parts
+
+
+def read_table(
+    spark: SparkSession,
+    settings: Settings,
+    table: Table,
+    since: dt.datetime | None = None,
+    until: dt.datetime | None = None,
+) -> DataFrame:
+    """The whole table, or the part with ``since <= time < until``."""
+    parts = [
+        between(part, table, since, until).select(*table.column_names)
+        for part in table_parts(spark, settings, table)
+    ]
     return reduce(DataFrame.unionByName, parts)

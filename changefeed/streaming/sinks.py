@@ -59,9 +59,11 @@ def append_to_table(
     rows = table.with_day(df)
     if table.keys and settings.splits:
         rows = spread(rows, table, settings.splits)
+    writer = _writer(measured(rows, table), settings, table.name, available_now)
+    if settings.log_retention:
+        writer = writer.option("retention", settings.log_retention)
     return (
-        _writer(measured(rows, table), settings, table.name, available_now)
-        .format("parquet")
+        writer.format("parquet")
         .partitionBy(*table.partitions)
         .start(settings.table_path(table.namespace, table.name))
     )

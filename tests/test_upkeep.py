@@ -4,6 +4,7 @@ import hashlib
 import os
 import re
 import shutil
+import time
 
 import pytest
 from changefeed.functions import storage
@@ -51,6 +52,10 @@ def test_compaction_goes_on_where_it_ended(spark, bronze, settings):
 
     rows = whole(spark, settings).collect()
     assert {r.meta_id for r in rows} == before and len(rows) == 90
+    third = upkeep.compact(spark, settings, BRONZE, dt.date(2024, 1, 4), full=True)
+    assert (third.since, third.row_count) == (None, 90)
+    assert upkeep.current_generations(spark, settings, BRONZE) == [third]
+    assert sorted(r.meta_id for r in whole(spark, settings).collect()) == sorted(before)
     compacted = glob.glob(f"{first.path}/*/*/*.parquet")
     live = glob.glob(f"{settings.table_path(*BRONZE.full_name.split('.'))}/{DAY}=2024-01-01/*/*.parquet")
     assert len(compacted) == 3 < len(live)
@@ -75,6 +80,29 @@ def test_later_rows_of_a_compacted_day_are_read(spark, log_folder, settings):
     assert sorted(r.meta_id for r in whole(spark, wide).collect()) == sorted(ids)
 
 
+def test_log_retention_forgets_only_what_is_compacted(spark, log_folder, settings):
+    """The sink's log drops old files; the generations still hold their rows."""
+    import dataclasses
+
+    brief = dataclasses.replace(settings, log_retention="1s", horizon="30 days")
+    key = "spark.sql.streaming.fileSink.log.compactInterval"
+    spark.conf.set(key, "2")
+    try:
+        for day in (1, 2, 3):
+            path = log_folder([day_record(i, day) for i in range(10)])
+            pipe = Pipeline(spark, LogSource(path=path, max_files=1).read(spark), brief)
+            for query in pipe.start(BRONZE, available_now=True):
+                query.awaitTermination()
+            upkeep.compact(spark, brief, BRONZE, dt.date(2024, 1, day + 1))
+            time.sleep(1.5)
+    finally:
+        spark.conf.unset(key)
+    assert read_live(spark, brief, BRONZE).count() < 30
+    assert whole(spark, brief).count() == 30
+    assert upkeep.compact(spark, brief, BRONZE, dt.date(2024, 1, 9), full=True).row_count == 30
+    assert whole(spark, brief).count() == 30
+
+
 def test_superseded_generations_expire(spark, bronze, settings):
     made = [upkeep.compact(spark, settings, BRONZE, dt.date(2024, 1, 3), full=True) for _ in range(4)]
     now = dt.datetime.now(dt.timezone.utc)
