@@ -257,3 +257,28 @@ def test_feed_names_survive_as_folders(spark, log_folder, settings):
     pipe = run(run(pipeline(spark, log_folder(lines), settings), BRONZE), EDITS)
     assert sorted(r.wiki for r in pipe.table(BRONZE).collect()) == sorted([*feeds, "w"])
     assert sorted(r.wiki for r in pipe.table(EDITS).collect()) == sorted(feeds)
+
+
+@pytest.mark.parametrize("collapse", [True, False])
+def test_a_hot_id_and_a_hot_feed(spark, log_folder, tmp_path, collapse):
+    """A third of the records are copies of one event, a third one feed."""
+    rng = random.Random(5)
+    lines = []
+    for i in range(6_000):
+        time_text = f"2024-01-01T00:{i // 200:02}:{i % 60:02}Z"
+        kind = rng.random()
+        if kind < 1 / 3:
+            lines.append(record("hot", "2024-01-01T00:00:30Z", wiki="hot", title="hot"))
+        else:
+            lines.append(record(f"e{i}", time_text, wiki="busy" if kind < 2 / 3 else f"w{i % 9}", title=f"t{i % 3}"))
+    path = log_folder(lines)
+    settings = Settings(root=str(tmp_path / "root"), collapse_copies=collapse, state_partitions=3, splits=3)
+    pipe = pipeline(spark, path, settings)
+    pipe.run_available()
+    ids = [r.meta_id for r in pipe.table(BRONZE).select("meta_id").collect()]
+    expected = {line for line in lines}
+    assert len(ids) == len(set(ids)) == len(expected)
+    events = first_copies(gate(LogSource(path=path).read(spark, stream=False))[0])
+    for spec in windows.GOLD_SPECS[:3]:
+        settled = windows.settled(spec.build(events), events, "2 minutes")
+        assert compare.same_rows(pipe.table(spec.table), settled).first().equal, spec.table.name
