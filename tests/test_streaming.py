@@ -284,3 +284,19 @@ def test_a_hot_id_and_a_hot_feed(spark, log_folder, tmp_path, collapse):
     for spec in windows.GOLD_SPECS[:3]:
         settled = windows.settled(spec.build(events), events, "2 minutes")
         assert compare.same_rows(pipe.table(spec.table), settled).first().equal, spec.table.name
+
+
+def test_pending_windows_wait_for_the_next_event(spark, log_folder, settings):
+    """Stopped before the batch that closes its windows, a stream emits them
+    after the restart, once there is an event again."""
+    path = log_folder([at("0:10", "a"), at("10:00", "b")])
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    spark.conf.set(key, "false")
+    try:
+        run(run(pipeline(spark, path, settings), BRONZE), EDITS)
+    finally:
+        spark.conf.unset(key)
+    emitted = lambda: counts(run(run(pipeline(spark, path, settings), BRONZE), EDITS).table(EDITS))
+    assert emitted() == {}
+    log_folder([at("10:01", "c")])
+    assert emitted() == {0: 1}
