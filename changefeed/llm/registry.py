@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from changefeed.llm import (
     decontamination,
+    jaccard_join,
     language_id,
     packing,
     quality_classifier,
@@ -84,6 +85,10 @@ def op9_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
@@ -91,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op5_packing": op5_packing,
     "op7_decontamination": op7_decontamination,
     "op9_quality_ranking": op9_quality_ranking,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {}
