@@ -11,9 +11,11 @@ from changefeed.llm import (
     decontamination,
     jaccard_join,
     language_id,
+    language_model,
     packing,
     quality_classifier,
     quality_rules,
+    suffix_dedup,
     toxicity,
 )
 from changefeed.llm.sampling import crc_mod
@@ -45,6 +47,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = quality_rules.judge(docs, quality_rules.train(docs))
@@ -72,6 +78,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = language_model.score(docs, learn=crc_mod("doc_id", 7) != 2)
+    names = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", (crc_mod("doc_id", 7) == 2).alias("held_out"), *names)
+
+
 def op9_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     learn = crc_mod("doc_id", 4) != 2
@@ -92,9 +105,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op7_decontamination": op7_decontamination,
+    "op8_language_model": op8_language_model,
     "op9_quality_ranking": op9_quality_ranking,
     "op10_jaccard_join": op10_jaccard_join,
 }
