@@ -13,6 +13,7 @@ from changefeed.llm import (
     language_id,
     language_model,
     packing,
+    pii,
     quality_classifier,
     quality_rules,
     suffix_dedup,
@@ -65,6 +66,17 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.extract(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [pii.count(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"),
+        pii.digest(pii.all_spans(F.col("base"), F.col("more"))).alias("spans"),
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.judged(docs, table(spark, sf_dir, "benchmark"))
@@ -108,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
+    "op6_pii": op6_pii,
     "op7_decontamination": op7_decontamination,
     "op8_language_model": op8_language_model,
     "op9_quality_ranking": op9_quality_ranking,
