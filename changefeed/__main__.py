@@ -2,21 +2,22 @@
 
     spark-submit ... -m changefeed stream   --root R --path LOG
     spark-submit ... -m changefeed backfill --root R --path LOG
-    spark-submit ... -m changefeed counts | dup-check | freshness | maintain |
-                                   export | rebuild | drift   --root R
+    spark-submit ... -m changefeed counts | dup-check | freshness | verdict |
+                                   maintain | export | rebuild | drift   --root R
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
+import sys
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from changefeed.config import Settings, build_session
 from changefeed.functions import storage
 from changefeed.operators import exports, quality, rebuild, upkeep
-from changefeed.schema import ALL_TABLES, BRONZE, GOLD, create_tables
+from changefeed.schema import ALL_TABLES, BRONZE, DAY, GOLD, create_tables
 from changefeed.sources import LogSource, read_table
 from changefeed.streaming import Pipeline, ProgressRecorder
 
@@ -28,6 +29,13 @@ def source_of(args) -> LogSource:
     )
 
 
+def show_all(df: DataFrame) -> None:
+    """Print every row of a small report."""
+    print(" | ".join(df.columns), flush=True)
+    for row in df.toLocalIterator():
+        print(" | ".join(str(value) for value in row), flush=True)
+
+
 def tables_of(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
     return {
         table.name: read_table(spark, settings, table)
@@ -61,18 +69,47 @@ def counts(spark: SparkSession, settings: Settings, args) -> None:
     path = f"{settings.root}/metrics/counts"
     sample = quality.table_counts(tables_of(spark, settings))
     sample.withColumn("sampled_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
-    quality.growth(spark.read.parquet(path)).orderBy("sampled_at", "table_name").show(truncate=False)
-    sample.show(truncate=False)
-
-
-def dup_check(spark: SparkSession, settings: Settings, args) -> None:
-    quality.duplicate_check(read_table(spark, settings, BRONZE)).show(truncate=False)
-
-
-def freshness(spark: SparkSession, settings: Settings, args) -> None:
-    # Recent days only: the partition filter spares the rest of the table.
-    since = dt.datetime.now(dt.timezone.utc) - dt.timedelta(days=args.days)
-    quality.freshness(read_table(spark, settings, BRONZE, since), limit_seconds=args.limit).show()
+    # A row for each table.
+    show_all(quality.newest_growth(spark.read.parquet(path)).orderBy("table_name"))
+    show_all(sample)
+
+
+def dup_check(spark: SparkSession, settings: Settings, args) -> int:
+    found = quality.duplicate_check(read_table(spark, settings, BRONZE))
+    show_all(found)
+    return int(found.filter("total <> distinct_ids").count())
+
+
+def newest_age(spark: SparkSession, settings: Settings, limit: int) -> DataFrame:
+    """Freshness of bronze, read from its newest day folder: no event of an
+    older day can be newer."""
+    since = None
+    if not settings.in_catalog:
+        days = storage.names(spark, settings.table_path(BRONZE.namespace, BRONZE.name), f"{DAY}=")
+        dated = [d.split("=", 1)[1] for d in days if d[len(DAY) + 1 :][:1].isdigit()]
+        if dated:
+            since = dt.datetime.fromisoformat(max(dated)).replace(tzinfo=dt.timezone.utc)
+    return quality.freshness(read_table(spark, settings, BRONZE, since), limit_seconds=limit)
+
+
+def freshness(spark: SparkSession, settings: Settings, args) -> int:
+    found = newest_age(spark, settings, args.limit)
+    show_all(found)
+    return int(found.filter("NOT within_limit").count())
+
+
+def verdict(spark: SparkSession, settings: Settings, args) -> int:
+    """One row, and exit code 1 unless all of it holds. Growth is between the
+    last two runs of ``counts``."""
+    found = quality.pipeline_verdict(
+        spark.read.parquet(f"{settings.root}/metrics/counts"),
+        newest_age(spark, settings, args.limit),
+        quality.duplicate_check(read_table(spark, settings, BRONZE)),
+        BRONZE.name,
+        [table.name for table in GOLD],
+    )
+    show_all(found)
+    return int(found.filter("NOT passed").count())
 
 
 def maintain(spark: SparkSession, settings: Settings, args) -> None:
@@ -98,7 +135,12 @@ def rebuild_gold(spark: SparkSession, settings: Settings, args) -> None:
 
 def drift(spark: SparkSession, settings: Settings, args) -> None:
     bronze = read_table(spark, settings, BRONZE)
-    quality.schema_drift(spark, bronze, F.to_date("event_time")).orderBy("day", "json_key").show(1_000, False)
+    found = quality.schema_drift(spark, bronze, F.to_date("event_time"))
+    exports.export_parquet(found, f"{args.out}/schema_drift")
+    kept = spark.read.parquet(f"{args.out}/schema_drift")
+    # The newest day in full; all days are in the table.
+    newest = kept.agg(F.max("day").alias("day"))
+    show_all(kept.join(newest, "day").orderBy("json_key", "json_type"))
 
 
 JOBS = {
@@ -107,6 +149,7 @@ JOBS = {
     "counts": counts,
     "dup-check": dup_check,
     "freshness": freshness,
+    "verdict": verdict,
     "maintain": maintain,
     "export": export,
     "rebuild": rebuild_gold,
@@ -114,7 +157,8 @@ JOBS = {
 }
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None) -> int:
+    """The exit code: 1 where a check did not hold."""
     parser = argparse.ArgumentParser(prog="changefeed")
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("--root", required=True, help="folder of tables and checkpoints")
@@ -126,6 +170,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--trigger", default="60 seconds")
     parser.add_argument("--horizon", default="2 minutes", help="how far apart copies may lie")
     parser.add_argument("--watermark", help="how late an event may be for its window")
+    parser.add_argument("--late-horizon", default="1 hour", help="how late an event still counts as late")
+    parser.add_argument("--state-partitions", type=int, help="width of the stateful operators, kept for good")
+    parser.add_argument("--splits", type=int, help="tasks that share a day and feed when written")
+    parser.add_argument("--keep-copies", action="store_true", help="no collapse before the shuffle by id")
     parser.add_argument("--gold-from", default="bronze", choices=["bronze", "source"])
     parser.add_argument("--catalog", help="keep the tables there, as Iceberg tables")
     parser.add_argument("--flush-seconds", type=int, default=60)
@@ -142,12 +190,16 @@ def main(argv: list[str] | None = None) -> None:
         trigger=args.trigger,
         horizon=args.horizon,
         gold_from=args.gold_from,
+        late_horizon=args.late_horizon,
+        state_partitions=args.state_partitions,
+        splits=args.splits,
+        collapse_copies=not args.keep_copies,
         catalog=args.catalog,
         sink_format="iceberg" if args.catalog else "parquet",
         **({"watermark": args.watermark} if args.watermark else {}),
     )
-    JOBS[args.job](build_session(), settings, args)
+    return JOBS[args.job](build_session(), settings, args) or 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

@@ -42,19 +42,17 @@ class Settings:
     trigger: str = "60 seconds"
     # Shuffle width of the stateful operators. The checkpoint keeps the one it
     # was started with, and streams are not re-planned at run time, so it has
-    # to suit the cluster: None takes one partition per core.
+    # to suit the cluster and must be given there; a local session may leave it
+    # out and gets one partition per core.
     state_partitions: int | None = None
-    # Tasks that may share the rows of one (day, feed) pair in one micro-batch.
-    splits: int = 4
+    # Tasks that may share the rows of one (day, feed) pair in one micro-batch;
+    # None: a quarter of the state partitions. 0 turns the spreading off.
+    splits: int | None = None
     # Drop copies that sit in the same Arrow batch before the shuffle by id.
     collapse_copies: bool = True
     # "bronze": parse and deduplicate once, gold reads bronze.
     # "source": every gold query starts at the log.
     gold_from: str = "bronze"
-    # How long the sink's own log remembers a file, as "90d". None: for
-    # ever. The log is rewritten as a whole now and then, so a table of very
-    # many files wants a limit, longer than days stay uncompacted.
-    log_retention: str | None = None
     # Parquet folders below ``root``, or tables of a catalog in another format.
     sink_format: str = "parquet"
     catalog: str | None = None
@@ -76,6 +74,17 @@ class Settings:
     def checkpoint(self, query: str) -> str:
         return f"{self.root}/checkpoints/{query}"
 
+    def width(self, spark: SparkSession) -> int:
+        """Shuffle partitions of the stateful operators."""
+        if self.state_partitions:
+            return self.state_partitions
+        if not is_local(spark):
+            raise ValueError("set state_partitions: the checkpoint keeps it for good")
+        return spark.sparkContext.defaultParallelism
+
+    def spread_over(self, spark: SparkSession) -> int:
+        return max(2, self.width(spark) // 4) if self.splits is None else self.splits
+
     @property
     def metrics_path(self) -> str:
         return f"{self.root}/metrics/progress"
@@ -96,15 +105,20 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Driver and tasks are one process (``local-cluster`` is not local)."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder on the storage that ``spark.checkpoint.dir`` names.
 
-    Only a local session may go without that setting; it then gets a temporary
-    folder of its own.
+    Only a session whose executor is the driver itself may go without that
+    setting; it then gets a temporary folder of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="changefeed-")
         spark.sparkContext.setCheckpointDir(base)

@@ -25,25 +25,31 @@ def first_copies(
     return df.withColumn("_copy", nth).filter(F.col("_copy") == 1).drop("_copy")
 
 
-def _collapse(key: str):
+def _collapse(key: str, time: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = pa.table({"id": batch.column(key), "row": np.arange(batch.num_rows)})
-            firsts = ids.group_by("id").aggregate([("row", "min")]).column("row_min")
-            if len(firsts) < batch.num_rows:
-                batch = batch.take(pa.array(np.sort(firsts.to_numpy())))
+            rows = pa.table(
+                {"id": batch.column(key), "time": batch.column(time), "row": np.arange(batch.num_rows)}
+            )
+            # Null times sort last in either direction.
+            order = [("id", "ascending"), ("time", "descending"), ("row", "ascending")]
+            newest = rows.sort_by(order).group_by("id", use_threads=False).aggregate([("row", "first")])
+            if newest.num_rows < batch.num_rows:
+                batch = batch.take(pa.array(np.sort(newest.column("row_first").to_numpy())))
             yield batch
 
     return run
 
 
-def collapse_batches(df: DataFrame, key: str = "meta_id") -> DataFrame:
-    """Drop copies within each Arrow batch; stateless, memory of one batch.
+def collapse_batches(df: DataFrame, key: str = "meta_id", time: str = "event_time") -> DataFrame:
+    """Of the copies within each Arrow batch the newest; stateless, memory of one batch.
 
     Streaming deduplication has no map-side step, so all copies of an id would
-    go to one task. This leaves it one row per batch of ten thousand.
+    go to one task. This leaves it one row per batch of ten thousand. The
+    newest copy stays because an older one may lie behind the watermark: the
+    watermark then drops an id only if it would drop every copy.
     """
-    return df.mapInArrow(_collapse(key), df.schema)
+    return df.mapInArrow(_collapse(key, time), df.schema)
 
 
 def dedup_stream(
@@ -58,7 +64,7 @@ def dedup_stream(
     The watermark is set here, once; aggregates on the result inherit it.
     """
     if collapse:
-        df = collapse_batches(df, key)
+        df = collapse_batches(df, key, time)
     return df.withWatermark(time, horizon).dropDuplicatesWithinWatermark([key])
 
 

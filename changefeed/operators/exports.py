@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def export_parquet(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -21,27 +21,28 @@ def bronze_sample(
     """``n`` rows: those with the lowest hash of id, or any.
 
     A plain top-n sends up to ``n`` rows of *every* task to one last task. So
-    the ids are counted by the first four digits of their hash (65,536 groups
-    at most), which says how far down the ``n``-th row lies, and only the rows
-    up to there, a little over ``n`` in all, take part in the top-n.
+    a share of the ids a little above ``n`` / rows, the lowest by hash, is
+    picked first; where copies of few ids make that too few rows, four times
+    as much is tried, up to everything.
     """
     if not repeatable:
         return bronze.limit(n)
     digest = F.md5(F.col(key))
-    prefix = F.substring(digest, 1, 4)
-    groups = bronze.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("rows"))
-    before = F.sum("rows").over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1))
-    reached = groups.select("prefix", F.coalesce(before, F.lit(0)).alias("before"))
-    last = reached.filter(F.col("before") < n).agg(F.max("prefix").alias("last"))
-    return bronze.filter(prefix <= last.scalar()).orderBy(digest, key).limit(n)
+    total = bronze.count()
+    share = (1.3 * n + 1_000) / max(1, total)
+    while share < 1:
+        # Hashes are spread evenly and hexadecimal text sorts as the numbers do.
+        lowest = bronze.filter(digest < f"{int(share * 16**12):012x}")
+        if lowest.count() >= n:
+            return lowest.orderBy(digest, key).limit(n)
+        share *= 4
+    return bronze.orderBy(digest, key).limit(n)
 
 
 def export_json_lines(log: DataFrame, path: str, n: int = 2_000) -> None:
     """``n`` raw records, one per line.
 
-    ``take`` reads the log from its first file on and stops at ``n`` records;
-    writing a limit would open every file of it.
+    The limit is kept by each task and then by one, so ``n`` records a task
+    are read at most and none pass through the driver.
     """
-    rows = [(row.raw_json,) for row in log.select("raw_json").take(n)]
-    taken = log.sparkSession.createDataFrame(rows, "raw_json string")
-    taken.coalesce(1).write.mode("overwrite").text(path)
+    log.select("raw_json").limit(n).coalesce(1).write.mode("overwrite").text(path)

@@ -38,6 +38,29 @@ def growth(samples: DataFrame) -> DataFrame:
     )
 
 
+def newest_growth(samples: DataFrame) -> DataFrame:
+    """Growth of every table at its last sample."""
+    newest = Window.partitionBy("table_name").orderBy(F.col("sampled_at").desc())
+    return growth(samples).withColumn("_nth", F.row_number().over(newest)).filter("_nth = 1").drop("_nth")
+
+
+def pipeline_verdict(samples: DataFrame, fresh: DataFrame, duplicates: DataFrame, bronze: str, gold: list[str]) -> DataFrame:
+    """One row: did bronze and gold grow at their last sample, is the newest
+    event fresh, are there no duplicates, and do all of them hold? What is not
+    known does not hold."""
+    last = newest_growth(samples)
+    grown = last.agg(
+        F.coalesce(F.bool_and(F.when(F.col("table_name") == bronze, F.col("grew"))), F.lit(False)).alias("bronze_grew"),
+        F.coalesce(F.sum(F.when(F.col("table_name").isin(gold), F.col("growth"))) > 0, F.lit(False)).alias("gold_grew"),
+    )
+    unique = duplicates.select(F.col("total") == F.col("distinct_ids"))
+    return (
+        grown.withColumn("fresh", fresh.select("within_limit").scalar())
+        .withColumn("no_duplicates", unique.scalar())
+        .withColumn("passed", F.expr("bronze_grew AND gold_grew AND fresh AND no_duplicates"))
+    )
+
+
 def duplicate_check(df: DataFrame, key: str = "meta_id", approximate: bool = False) -> DataFrame:
     """Total and distinct ids with a verdict.
 
@@ -80,21 +103,29 @@ def residual_duplicates(
 def freshness(
     df: DataFrame, now: Column | None = None, limit_seconds: int = 120, time: str = "event_time"
 ) -> DataFrame:
-    """Age of the newest event, and whether it is within the limit."""
+    """Age of the newest event, and whether it is within the limit.
+
+    Without any event the age is null and the limit is not kept.
+    """
     now = F.current_timestamp() if now is None else now
     age = (F.unix_micros(now) - F.unix_micros("newest_event_time")).cast("double") / F.lit(1e6)
     return (
         df.agg(F.max(time).alias("newest_event_time"))
-        .withColumn("age_seconds", F.greatest(F.lit(0.0), age))
-        .withColumn("within_limit", F.col("age_seconds") < F.lit(float(limit_seconds)))
+        .withColumn("age_seconds", F.when(age.isNotNull(), F.greatest(F.lit(0.0), age)))
+        .withColumn(
+            "within_limit",
+            F.coalesce(F.col("age_seconds") < F.lit(float(limit_seconds)), F.lit(False)),
+        )
     )
 
 
 def minimum_volume(df: DataFrame, n: int = 100) -> DataFrame:
-    """Are there ``n`` rows? Stops reading at the ``n``-th."""
-    observed = len(df.select(F.lit(1)).take(n))
-    return df.sparkSession.createDataFrame(
-        [(observed, observed >= n)], "observed bigint, enough boolean"
+    """Are there ``n`` rows? No task reads more than ``n`` of them."""
+    return (
+        df.select(F.lit(1).alias("one"))
+        .limit(n)
+        .agg(F.count("one").alias("observed"))
+        .withColumn("enough", F.col("observed") >= n)
     )
 
 

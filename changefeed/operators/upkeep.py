@@ -9,7 +9,6 @@ everything else from the live table.
 from __future__ import annotations
 
 import datetime as dt
-import re
 import uuid
 from dataclasses import dataclass
 from functools import reduce
@@ -187,9 +186,9 @@ def orphan_files(
 ) -> DataFrame:
     """Data files below a table's folder that none of its rows come from.
 
-    Both sides are listings made by executors: the files on storage, by a glob
-    that bypasses the log of the sink, and the files behind the table's rows.
-    Contents are not read.
+    Both sides are listings: the files on storage, by a glob that bypasses the
+    log of the sink, and the files that this log has committed, which is what
+    Spark lists for the folder itself. No Parquet file is opened.
     """
     levels = "/*" * len(table.partitions)
     on_storage = (
@@ -204,31 +203,20 @@ def orphan_files(
     )
     if older_than is not None:
         on_storage = on_storage.filter(F.col("modified_at") < F.lit(older_than))
-    in_use = read_files(spark, table, path).select(
+    in_use = spark.read.format("binaryFile").load(path).select(
         F.col("_metadata.file_path").alias("file_path")
-    ).distinct()
+    )
     return on_storage.join(in_use, "file_path", "left_anti")
 
 
-def plain_name(uri: str) -> str:
-    """Local files are named ``file:/x`` by one part of Spark, ``file:///x`` by
-    another."""
-    return re.sub(r"^file:/+", "file:/", uri)
-
-
 def remove_orphans(
     spark: SparkSession, path: str, table: Table, older_than: dt.datetime
 ) -> list[str]:
-    """Delete the orphans, one name at a time.
-
-    A file without rows backs no row yet may stand in the log, so names that
-    the table lists are left alone.
-    """
-    listed = {plain_name(name) for name in read_files(spark, table, path).inputFiles()}
+    """Delete the orphans, one name at a time."""
     orphans = orphan_files(spark, path, table, older_than).select("file_path").toLocalIterator()
     gone = []
     for row in orphans:
-        if plain_name(row.file_path) not in listed and storage.delete(spark, row.file_path, encoded=True):
+        if storage.delete(spark, row.file_path, encoded=True):
             gone.append(row.file_path)
     return gone
 
@@ -241,6 +229,7 @@ def maintain(
     clean_orphans: bool = False,
     retention: dt.timedelta = dt.timedelta(hours=24),
     keep: int = 5,
+    chain: int = 3,
 ) -> list[dict]:
     """Expiry, optional orphan removal and compaction of every table."""
     report = []
@@ -261,7 +250,9 @@ def maintain(
         entry["orphans"] = []
         if clean_orphans and storage.names(spark, path, f"{DAY}="):
             entry["orphans"] = remove_orphans(spark, path, table, now - retention)
-        entry["generation"] = compact(spark, settings, table, through)
+        # A chain of a few generations is merged, so that a read has few parts.
+        merge = len(current_generations(spark, settings, table)) >= chain
+        entry["generation"] = compact(spark, settings, table, through, full=merge)
         report.append(entry)
     return report
 

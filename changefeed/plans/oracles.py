@@ -195,6 +195,37 @@ ORACLES: dict[str, str] = {
         SELECT title, count(*) AS copies, min(ts) AS first_time, max(ts) AS last_time
         FROM once GROUP BY title
         HAVING count(*) > 1 AND max(ts) - min(ts) > INTERVAL 2 MINUTE"""),
+    "freshness_no_events": """
+        SELECT CAST(NULL AS TIMESTAMP) AS newest_event_time, CAST(NULL AS DOUBLE) AS age_seconds,
+               false AS within_limit""",
+    "dedup_differing_copies": _q("SELECT meta_id, ts AS event_time FROM once"),
+    "skew_percentiles_approx": _q("""
+        SELECT wiki, point, true AS within_bound
+        FROM (SELECT DISTINCT wiki FROM once), (SELECT unnest([0.5, 0.9, 0.95, 0.99, 0.999])::DOUBLE AS point)"""),
+    "pipeline_verdict": _q("""
+        SELECT true AS bronze_grew, true AS gold_grew,
+               epoch(TIMESTAMP '2024-01-31' - max(ts)) < 86400 AS fresh,
+               count(*) = count(DISTINCT meta_id) AS no_duplicates,
+               epoch(TIMESTAMP '2024-01-31' - max(ts)) < 86400 AND count(*) = count(DISTINCT meta_id) AS passed
+        FROM once"""),
+    "log_keyed": _q("""
+        SELECT CASE WHEN fault IN (0, 1, 4, 8) THEN 'unknown' WHEN fault = 6 THEN '  ' ELSE wiki END AS feed,
+               count(*) AS row_count, 1 AS partition_count
+        FROM copies GROUP BY 1"""),
+    "log_landed": _q(f"SELECT {_FACTS} FROM once"),
+    "bronze_one_week": _q("""
+        SELECT ts::DATE AS event_day, count(*) AS row_count FROM once
+        WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15' GROUP BY 1"""),
+    "sample_lines": _q("SELECT least(100, count(*)) AS row_count FROM copies"),
+    "catalog_tables": _q("""
+        SELECT 'recentchange' AS table_name, count(*) AS row_count FROM once
+        UNION ALL SELECT 'edits_per_minute_by_wiki', count(*) FROM edits"""),
+    "stream_metrics": _q("""
+        SELECT max(ts) AS newest_event_time, epoch_us(TIMESTAMP '2024-01-31' - max(ts)) / 1e6 AS age_seconds,
+               epoch(TIMESTAMP '2024-01-31' - max(ts)) < 86400 AS within_limit,
+               count(*) AS rows_written, 0 AS dropped_rows, true AS timed
+        FROM once"""),
+    "stream_batches_overwritten": _q(f"SELECT {_FACTS} FROM once"),
     "freshness": _q("""
         SELECT max(ts) AS newest_event_time,
                (epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(ts)))::DOUBLE / 1e6::DOUBLE

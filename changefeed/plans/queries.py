@@ -5,8 +5,10 @@ Each takes a session and the folder of the tables and returns a DataFrame.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import TimestampType
@@ -22,15 +24,16 @@ from changefeed.operators import (
     upkeep,
     windows,
 )
-from changefeed.operators.dedup import first_copies
+from changefeed.operators.dedup import collapse_batches, first_copies
 from changefeed.operators.gate import envelope, gate, judged
 from changefeed.schema import BRONZE, BOTS, DAY, EDITS, LATE, PAGES, REJECTS, Table
 from changefeed.sources.captured import intake, read_captured
 from changefeed.sources.events import change_log, read_events, stream_events
-from changefeed.sources.log import feed_key, widened
-from changefeed.sources.tables import read_files, read_live, read_table
+from changefeed.sources.log import LogSource, feed_key, keyed, land, widened
+from changefeed.sources.tables import between, read_files, read_live, read_table, table_names
 from changefeed.streaming import metrics
 from changefeed.streaming.pipeline import Pipeline
+from changefeed.streaming.sinks import overwrite_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,13 +48,18 @@ def zoneless(df: DataFrame) -> DataFrame:
     return df.withColumns(times) if times else df
 
 
+def _width(spark: SparkSession) -> int:
+    """The table has few splits and its records are costly to parse."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def raw_log(spark: SparkSession, directory: str) -> DataFrame:
-    return change_log(widened(read_events(prepare_session(spark), directory)))
+    return change_log(widened(read_events(prepare_session(spark), directory), _width(spark)))
 
 
 def streamed_log(spark: SparkSession, directory: str) -> DataFrame:
     stream = stream_events(prepare_session(spark), directory)
-    return change_log(widened(stream, like=read_events(spark, directory)))
+    return change_log(widened(stream, _width(spark)))
 
 
 def accepted(spark: SparkSession, directory: str) -> DataFrame:
@@ -142,9 +150,18 @@ def skew_percentiles(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def skew_percentiles_approx(spark: SparkSession, directory: str) -> DataFrame:
-    return percentiles.approximate_percentiles(
-        events(spark, directory), percentiles.ingest_skew(), "wiki"
+    """Is the share of values below or at the sketch's answer within 0.1 % of
+    the wanted one? Ties may carry the share past it; then the share strictly
+    below must not."""
+    found = events(spark, directory).select("wiki", percentiles.ingest_skew().alias("skew"))
+    marks = percentiles.approximate_percentiles(found, F.col("skew"), "wiki")
+    held = found.groupBy("wiki", "skew").agg(F.count(F.lit(1)).alias("n"))
+    below, upto = F.sum(F.when(F.col("skew") < F.col("value"), F.col("n"))), F.sum(F.when(F.col("skew") <= F.col("value"), F.col("n")))
+    shares = marks.join(held, "wiki").groupBy("wiki", "point").agg(
+        (F.coalesce(below, F.lit(0)) / F.sum("n")).alias("below"), (F.coalesce(upto, F.lit(0)) / F.sum("n")).alias("upto")
     )
+    within = (F.col("below") <= F.col("point") + 0.001) & (F.col("upto") >= F.col("point") - 0.001)
+    return shares.select("wiki", "point", within.alias("within_bound"))
 
 
 # --- quality ------------------------------------------------------------
@@ -152,7 +169,7 @@ def skew_percentiles_approx(spark: SparkSession, directory: str) -> DataFrame:
 def _written_bronze(spark: SparkSession, directory: str, label: str) -> DataFrame:
     """Bronze written once, so that several queries share one parse."""
     path = work_dir(spark, label)
-    events(spark, directory).write.parquet(path)
+    events(spark, directory).select(*FACTS).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -208,6 +225,47 @@ def freshness(spark: SparkSession, directory: str) -> DataFrame:
     return quality.freshness(accepted(spark, directory), now, 120)
 
 
+def freshness_no_events(spark: SparkSession, directory: str) -> DataFrame:
+    """A feed that has sent nothing since a year after the table ends."""
+    now = F.lit("2025-01-31 00:00:00").cast("timestamp")
+    recent = accepted(spark, directory).filter(F.col("event_time") >= F.lit("2025-01-01").cast("timestamp"))
+    return quality.freshness(recent, now, 120)
+
+
+def dedup_differing_copies(spark: SparkSession, directory: str) -> DataFrame:
+    """Every id with a copy from 20 minutes earlier next to it in its batch:
+    what the collapse before a stream's shuffle leaves of them."""
+    facts = events(spark, directory).select("meta_id", "event_time")
+    old = facts.withColumn("event_time", F.col("event_time") - F.expr("INTERVAL 20 MINUTES"))
+    both = old.unionByName(facts).repartition("meta_id")
+    return collapse_batches(both).groupBy("meta_id").agg(F.max("event_time").alias("event_time"))
+
+
+def _daily_counts(spark: SparkSession, directory: str) -> DataFrame:
+    """Rows of bronze and of the gold counts at the end of each day."""
+    found = events(spark, directory)
+    daily = found.groupBy(F.to_date("event_time").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    parts = [daily.select(F.lit(BRONZE.name).alias("table_name"), "day", "n")]
+    for spec in (windows.EDITS_SPEC, windows.BOTS_SPEC):
+        gold = spec.build(found).groupBy(F.to_date("window_start").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(gold.select(F.lit(spec.table.name).alias("table_name"), "day", "n"))
+    return reduce(DataFrame.unionByName, parts).select(
+        "table_name",
+        F.date_add("day", 1).cast("timestamp").alias("sampled_at"),
+        F.expr("sum(n) OVER (PARTITION BY table_name ORDER BY day)").alias("row_count"),
+    )
+
+
+def pipeline_verdict(spark: SparkSession, directory: str) -> DataFrame:
+    """The daily verdict at the end of the table: one row."""
+    found = events(spark, directory)
+    fresh = quality.freshness(found, F.lit("2024-01-31 00:00:00").cast("timestamp"), 86_400)
+    duplicates = quality.duplicate_check(found)
+    return quality.pipeline_verdict(
+        _daily_counts(spark, directory), fresh, duplicates, BRONZE.name, [EDITS.name, BOTS.name]
+    )
+
+
 def event_rate(spark: SparkSession, directory: str) -> DataFrame:
     return windows.rate(raw_log(spark, directory), "arrived_at", 60)
 
@@ -281,6 +339,56 @@ def captured_blocks(spark: SparkSession, directory: str) -> DataFrame:
     return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def log_keyed(spark: SparkSession, directory: str) -> DataFrame:
+    """Records per feed key: every feed in one log partition."""
+    log = keyed(raw_log(spark, directory), 16)
+    return log.groupBy("feed").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("log_partition").alias("partition_count")
+    )
+
+
+def log_landed(spark: SparkSession, directory: str) -> DataFrame:
+    """The log landed as text files and read by the log source: accepted
+    events, each id once. Blank records do not survive in text files."""
+    path = work_dir(spark, "landed")
+    land(raw_log(spark, directory), path, files=8)
+    log = LogSource(format="text", path=path).read(spark, stream=False)
+    return first_copies(gate(log)[0]).select(*FACTS)
+
+
+def bronze_one_week(spark: SparkSession, directory: str) -> DataFrame:
+    """Counts per day of a bounded scan of a partitioned table."""
+    path = work_dir(spark, "week")
+    upkeep.write_partitioned(events(spark, directory), BRONZE, path)
+    since, until = (datetime(2024, 1, d, tzinfo=timezone.utc) for d in (8, 15))
+    week = between(read_files(spark, BRONZE, path), BRONZE, since, until)
+    return week.groupBy(F.to_date("event_time").alias("event_day")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def sample_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """A sample of raw records written as lines: a limit that binds."""
+    path = work_dir(spark, "lines")
+    exports.export_json_lines(raw_log(spark, directory), path, 100)
+    return spark.read.text(path).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def catalog_tables(spark: SparkSession, directory: str) -> DataFrame:
+    """Names and sizes of the session's catalog tables over bronze and gold."""
+    prepare_session(spark)
+    name = f"feed_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE NAMESPACE {name}")
+    try:
+        found = events(spark, directory).select(*FACTS)
+        found.write.saveAsTable(f"{name}.{BRONZE.name}")
+        windows.EDITS_SPEC.build(spark.table(f"{name}.{BRONZE.name}")).write.saveAsTable(f"{name}.{EDITS.name}")
+        sizes = quality.table_counts({t: spark.table(f"{name}.{t}") for t in table_names(spark, name)})
+        path = work_dir(spark, "catalog")
+        sizes.write.parquet(path)
+    finally:
+        spark.sql(f"DROP NAMESPACE {name} CASCADE")
+    return spark.read.parquet(path)
+
+
 # --- streams ------------------------------------------------------------
 
 def _pipeline(spark: SparkSession, directory: str, label: str, **changes) -> Pipeline:
@@ -316,15 +424,39 @@ def stream_pipeline_counts(spark: SparkSession, directory: str) -> DataFrame:
     """All six queries, gold from bronze: rows per table as the queries report
     them while they run, next to the rows that are there."""
     pipeline = _pipeline(spark, directory, "pipeline")
-    pipeline.run_available()
     tables = (BRONZE, EDITS, BOTS, PAGES, LATE, REJECTS)
+    recorded = metrics.recorded(spark, pipeline.settings.metrics_path, pipeline.run_available)
     counts = quality.table_counts({t.name: pipeline.table(t) for t in tables})
-    reported = metrics.rows_per_table(pipeline.progress()).select(
+    reported = metrics.rows_per_table(recorded).select(
         F.col("query").alias("table_name"), F.col("rows_written").alias("rows_reported")
     )
     return counts.join(reported, "table_name", "left")
 
 
+def stream_metrics(spark: SparkSession, directory: str) -> DataFrame:
+    """What the recorded metrics of a bronze run say: rows, newest event,
+    freshness at the end of the month, and that batches took time."""
+    pipeline = _pipeline(spark, directory, "metrics")
+    recorded = metrics.recorded(spark, pipeline.settings.metrics_path, lambda: _run(pipeline, BRONZE))
+    now = F.lit("2024-01-31 00:00:00").cast("timestamp")
+    fresh = metrics.stream_freshness(recorded, BRONZE.name, now, 86_400)
+    rows = metrics.rows_per_table(recorded).select("rows_written", "dropped_rows")
+    took = metrics.last_duration(recorded).select((F.col("duration_seconds") > 0).alias("timed"))
+    return (
+        fresh.withColumn("rows_written", rows.select("rows_written").scalar())
+        .withColumn("dropped_rows", rows.select("dropped_rows").scalar())
+        .withColumn("timed", took.scalar())
+    )
+
+
+def stream_batches_overwritten(spark: SparkSession, directory: str) -> DataFrame:
+    """Bronze through the repeatable batch sink."""
+    pipeline = _pipeline(spark, directory, "batches")
+    path = work_dir(spark, "batches-out")
+    overwrite_batches(pipeline.frame(BRONZE), path, pipeline.settings, "batches", available_now=True).awaitTermination()
+    return spark.read.parquet(path).select(*FACTS)
+
+
 def stream_pages_from_bronze(spark: SparkSession, directory: str) -> DataFrame:
     pipeline = _run(_pipeline(spark, directory, "bronze-pages"), BRONZE)
     return _run(pipeline, PAGES).table(PAGES)
@@ -387,6 +519,16 @@ QUERIES: dict[str, Query] = {
     "duplicated_keys": duplicated_keys,
     "residual_duplicates": residual_duplicates,
     "freshness": freshness,
+    "freshness_no_events": freshness_no_events,
+    "dedup_differing_copies": dedup_differing_copies,
+    "pipeline_verdict": pipeline_verdict,
+    "log_keyed": log_keyed,
+    "log_landed": log_landed,
+    "bronze_one_week": bronze_one_week,
+    "stream_metrics": stream_metrics,
+    "stream_batches_overwritten": stream_batches_overwritten,
+    "sample_lines": sample_lines,
+    "catalog_tables": catalog_tables,
     "event_rate": event_rate,
     "reject_rate": reject_rate,
     "late_rate": late_rate,

@@ -66,17 +66,14 @@ class LogSource:
         return df.select(text.alias("raw_json"), arrived.alias("arrived_at"))
 
 
-def widened(df: DataFrame, like: DataFrame | None = None) -> DataFrame:
-    """Spread an input of few splits over the cores before it is parsed.
+def widened(df: DataFrame, width: int | None) -> DataFrame:
+    """Spread an input of few splits over ``width`` tasks before it is parsed.
 
     A file is split at its row groups, so a small table is one task, while
-    parsing is the costly step. Inputs with a split for every core, which is
-    all large ones, are left as they are: no shuffle. ``like`` is the batch
-    twin of a stream, to count the splits of.
+    parsing is the costly step. None leaves the input as it is, without a
+    shuffle: the choice for all large ones.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = (df if like is None else like).rdd.getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
+    return df if width is None else df.repartition(width)
 
 
 def sample(log: DataFrame, n: int) -> DataFrame:

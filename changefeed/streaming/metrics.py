@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from changefeed.operators.quality import freshness
 from changefeed.operators.windows import rate
 
 METRICS_DDL = (
@@ -46,10 +48,13 @@ class ProgressRecorder(StreamingQueryListener):
 
     def __init__(self) -> None:
         self._rows: list[tuple] = []
-        self._lock = threading.Lock()
+        self._lock = threading.Condition()
+        self._started: set[str] = set()
+        self._ended: set[str] = set()
 
     def onQueryStarted(self, event) -> None:  # noqa: N802 - Spark's name
-        pass
+        with self._lock:
+            self._started.add(str(event.runId))
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
         row = progress_row(event.progress)
@@ -60,7 +65,16 @@ class ProgressRecorder(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:  # noqa: N802
-        pass
+        with self._lock:
+            self._ended.add(str(event.runId))
+            self._lock.notify_all()
+
+    def await_started_ended(self, seconds: float = 60) -> None:
+        """Until all batches of the runs that have started have been heard of:
+        events come after the queries themselves, in order."""
+        with self._lock:
+            if not self._lock.wait_for(lambda: self._ended >= self._started, seconds):
+                raise TimeoutError(f"no end of {self._started - self._ended} within {seconds} seconds")
 
     def take(self) -> list[tuple]:
         with self._lock:
@@ -74,10 +88,35 @@ class ProgressRecorder(StreamingQueryListener):
         return len(rows)
 
 
+def recorded(spark: SparkSession, path: str, run: Callable[[], object]) -> DataFrame:
+    """The metrics of all queries that ``run`` starts and ends, written to ``path``.
+
+    Queries themselves remember only their last batches.
+    """
+    recorder = ProgressRecorder()
+    spark.streams.addListener(recorder)
+    try:
+        run()
+        recorder.await_started_ended()
+    finally:
+        spark.streams.removeListener(recorder)
+    recorder.flush(spark, path)
+    return read_metrics(spark, path)
+
+
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(METRICS_DDL).parquet(path)
 
 
+def stream_freshness(metrics: DataFrame, query: str, now: Column | None = None, limit_seconds: int = 120) -> DataFrame:
+    """Age of the newest event that a running query has written, from its metrics.
+
+    Ages and verdict as for the table itself; no data is read.
+    """
+    seen = metrics.filter(F.col("query") == query)
+    return freshness(seen, now, limit_seconds, "newest_event_time")
+
+
 def rows_per_table(metrics: DataFrame) -> DataFrame:
     """Rows written and late events, by query."""
     return metrics.groupBy("query").agg(

@@ -60,7 +60,7 @@ class Pipeline:
         return spec.build(self.gold_input(spec), self.settings.late_after)
 
     def start(self, *tables: Table, available_now: bool = False) -> list[StreamingQuery]:
-        width = self.settings.state_partitions or self.spark.sparkContext.defaultParallelism
+        width = self.settings.width(self.spark)
         session_width = self.spark.conf.get(SHUFFLE_WIDTH)
         # A query keeps the settings of the moment it starts.
         self.spark.conf.set(SHUFFLE_WIDTH, width)

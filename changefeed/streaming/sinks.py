@@ -57,11 +57,10 @@ def append_to_table(
         writer = writer.format(settings.sink_format).options(**settings.sink_options)
         return writer.toTable(settings.table_name(table.full_name))
     rows = table.with_day(df)
-    if table.keys and settings.splits:
-        rows = spread(rows, table, settings.splits)
+    splits = settings.spread_over(df.sparkSession) if table.keys else 0
+    if splits:
+        rows = spread(rows, table, splits)
     writer = _writer(measured(rows, table), settings, table.name, available_now)
-    if settings.log_retention:
-        writer = writer.option("retention", settings.log_retention)
     return (
         writer.format("parquet")
         .partitionBy(*table.partitions)

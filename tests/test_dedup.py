@@ -3,6 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from conftest import record
 from changefeed.operators.dedup import collapse_batches, first_copies
 
 
@@ -49,6 +50,30 @@ def test_order_of_equal_times_is_settled_by_the_text(spark):
     assert len(survivors) == 1
 
 
+def test_collapse_keeps_the_newest_of_differing_copies(spark):
+    rows = [("a", 20), ("b", None), ("a", 1230), ("c", 5), ("b", 7), ("a", 40), ("d", None), ("c", 5)]
+    df = spark.createDataFrame(rows, "meta_id string, s int").coalesce(1)
+    df = df.select("meta_id", F.timestamp_seconds("s").alias("event_time"), "s")
+    kept = sorted(((r.meta_id, r.s) for r in collapse_batches(df).collect()), key=str)
+    assert kept == [("a", 1230), ("b", 7), ("c", 5), ("d", None)]
+
+
+def test_a_late_copy_does_not_take_a_timely_one_with_it(spark, log_folder, settings):
+    from changefeed.schema import BRONZE
+    from changefeed.sources import LogSource
+    from changefeed.streaming import Pipeline
+
+    path = log_folder(
+        [record("a", "2024-01-01T00:20:00Z")],
+        [record("b", "2024-01-01T00:20:01Z")],
+        [record("x", "2024-01-01T00:00:10Z"), record("x", "2024-01-01T00:20:30Z")],
+    )
+    pipe = Pipeline(spark, LogSource(path=path, max_files=1).read(spark), settings)
+    for query in pipe.start(BRONZE, available_now=True):
+        query.awaitTermination()
+    assert {r.meta_id for r in pipe.table(BRONZE).collect()} == {"a", "b", "x"}
+
+
 def test_collapse_keeps_every_id(spark):
     rows, df = copies(spark, 20_000)
     kept = collapse_batches(df.repartition(2)).collect()

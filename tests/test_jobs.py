@@ -12,9 +12,11 @@ def test_jobs(spark, log_folder, tmp_path, capsys):
     main(["counts", "--root", root])
     main(["dup-check", "--root", root])
     printed = capsys.readouterr().out
-    assert "OK-NO-DUPLICATES" in printed and "|recentchange            |300" in printed
-    main(["freshness", "--root", root, "--days", "100000"])
-    assert "false" in capsys.readouterr().out
+    assert "OK-NO-DUPLICATES" in printed and "recentchange | 300" in printed
+    assert main(["freshness", "--root", root]) == 1
+    assert "False" in capsys.readouterr().out
+    assert main(["verdict", "--root", root]) == 1
+    assert "False | False | False | True | False" in capsys.readouterr().out
     main(["export", "--root", root, "--out", out, "--path", path])
     assert spark.read.parquet(f"{out}/edits_per_minute_by_wiki").count() == 297
     assert spark.read.parquet(f"{out}/bronze_recentchange_sample").count() == 300
@@ -23,9 +25,9 @@ def test_jobs(spark, log_folder, tmp_path, capsys):
     assert "row_count=300" in capsys.readouterr().out
     main(["rebuild", "--root", root, "--out", f"{out}/gold"])
     assert spark.read.parquet(f"{out}/gold/gold.edits_per_minute_by_wiki").count() == 300
-    main(["drift", "--root", root])
-    main(["counts", "--root", root])
-    assert "|recentchange            |300" in capsys.readouterr().out
+    main(["drift", "--root", root, "--out", out])
+    assert main(["counts", "--root", root]) == 0
+    assert "recentchange | 300" in capsys.readouterr().out
     assert os.path.isdir(f"{root}/metrics/progress")
     for table in ALL_TABLES:
         spark.sql(f"DROP TABLE IF EXISTS {table.full_name}")

@@ -37,6 +37,38 @@ def test_freshness(spark):
         assert (row.age_seconds, row.within_limit) == (max(0, seconds), fresh)
 
 
+def test_no_events_are_not_fresh(spark):
+    row = quality.freshness(frame(spark, [("a", T0)]).filter("false"), F.lit(T0)).first()
+    assert (row.newest_event_time, row.age_seconds, row.within_limit) == (None, None, False)
+
+
+def test_verdict(spark):
+    def samples(*counts):
+        rows = [(t, T0 + dt.timedelta(minutes=k), n) for t, ns in counts for k, n in enumerate(ns)]
+        return spark.createDataFrame(rows, "table_name string, sampled_at timestamp, row_count long")
+
+    events = frame(spark, [("a", T0), ("b", T0)])
+    fresh = quality.freshness(events, F.lit(T0 + dt.timedelta(seconds=5)))
+    stale = quality.freshness(events, F.lit(T0 + dt.timedelta(hours=5)))
+    unique = quality.duplicate_check(events)
+    twice = quality.duplicate_check(events.union(events))
+
+    def judge(s, f, d):
+        return tuple(quality.pipeline_verdict(s, f, d, "bronze", ["g1", "g2"]).first())
+
+    grew = samples(("bronze", [1, 9, 12]), ("g1", [4, 4, 4]), ("g2", [1, 2, 3]))
+    assert judge(grew, fresh, unique) == (True, True, True, True, True)
+    assert judge(grew, stale, twice) == (True, True, False, False, False)
+    assert judge(samples(("bronze", [5, 9, 9]), ("g1", [1, 1])), fresh, unique) == (False, False, True, True, False)
+    assert judge(samples(("bronze", [5])), fresh, unique) == (False, False, True, True, False)
+
+
+def test_newest_growth_has_a_row_for_each_table(spark):
+    rows = [(f"t{t}", T0 + dt.timedelta(minutes=k), k * k) for t in range(6) for k in range(9)]
+    df = spark.createDataFrame(rows, "table_name string, sampled_at timestamp, row_count long")
+    assert sorted((r.table_name, r.growth) for r in quality.newest_growth(df).collect()) == [(f"t{t}", 15) for t in range(6)]
+
+
 def test_minimum_volume(spark):
     assert tuple(quality.minimum_volume(spark.range(99), 100).first()) == (99, False)
     assert tuple(quality.minimum_volume(spark.range(500), 100).first()) == (100, True)

@@ -140,10 +140,10 @@ def test_keys(spark):
     assert all(0 <= r.log_partition < 6 for r in rows)
 
 
-def test_only_narrow_inputs_are_spread(spark):
-    wide, narrow = spark.range(0, 100, 1, 64), spark.range(0, 100, 1, 1)
-    assert widened(wide) is wide
-    assert widened(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_inputs_are_spread_on_demand_alone(spark):
+    df = spark.range(0, 100, 1, 1)
+    assert widened(df, None) is df
+    assert widened(df, 5).rdd.getNumPartitions() == 5
 
 
 @pytest.mark.parametrize("files", [1, 3])
