@@ -34,6 +34,7 @@ from changefeed.llm.components import components, saved
 from changefeed.llm.text import BLANKS, Slice, Windows, Words, mixed, slices, windows_of
 
 GROWTH = 8  # how many times more hubs each further round has
+FRAGMENT = 1_000_000  # shingles of candidates that one fragment counts
 
 
 def shingle_sets(part: Slice, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,13 +102,41 @@ def _flat(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(chunks), np.concatenate(counts)
 
 
+_BLOBS = "keys binary, sizes binary, counts binary, values binary"
+
+
+def _blobs(place: int, keys: np.ndarray, sizes: np.ndarray, counts: np.ndarray, values: np.ndarray) -> tuple:
+    """Segments of several sets as one row: a place to go to, set keys, set sizes, segment lengths, shingles."""
+    return place, keys.tobytes(), sizes.astype(np.int64).tobytes(), counts.astype(np.uint32).tobytes(), values.tobytes()
+
+
+def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 0 else pa.binary()) for k, c in enumerate(columns)], names)
+
+
+_NAMES = ["fragment", "keys", "sizes", "counts", "values"]
+
+
+def _cut(keys: np.ndarray, n: np.ndarray, values: np.ndarray, doc: np.ndarray, fragments: int) -> Iterator[tuple]:
+    """Sets (values by document, rising) cut at the fragment borders: one row of blobs for each fragment."""
+    piece = _fragment(values, fragments)
+    order = np.argsort(piece, kind="stable")  # within a fragment by document, values rising
+    values, doc, piece = values[order], doc[order], piece[order]
+    ends = np.searchsorted(piece, np.arange(fragments + 1))
+    for f in range(fragments):
+        a, b = ends[f], ends[f + 1]
+        if a < b:
+            rows, counts = np.unique(doc[a:b], return_counts=True)
+            yield _blobs(f, keys[rows], n[rows], counts, values[a:b])
+
+
 def _segments(batches: Iterator[pa.RecordBatch], width: int, fragments: int) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()  # sets this task has sent already
     for batch in batches:
-        for part in slices(batch.column(0), lower=True):
+        for part in slices(batch.column(0), lower=True, size=16 << 20):
             values, at = shingle_sets(part, width)
-            keys = set_keys(values, at)
-            n = np.diff(at)
+            keys, n = set_keys(values, at), np.diff(at)
             wanted = np.zeros(part.n, bool)
             for i, key in enumerate(keys.tolist()):
                 wanted[i] = n[i] > 0 and key not in seen
@@ -115,23 +144,19 @@ def _segments(batches: Iterator[pa.RecordBatch], width: int, fragments: int) ->
                     seen.add(key)
             doc = np.repeat(np.arange(part.n), n)
             keep = wanted[doc]
-            values, doc = values[keep], doc[keep]
-            if not len(values):
-                continue
-            piece = _fragment(values, fragments)
-            new = np.ones(len(values), bool)
-            new[1:] = (piece[1:] != piece[:-1]) | (doc[1:] != doc[:-1])
-            begin = np.flatnonzero(new)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(piece[begin]), pa.array(keys[doc[begin]]), pa.array(n[doc[begin]]), _binary(values, np.append(begin, len(values)))],
-                ["fragment", "set_key", "n", "segment"],
-            )
-
-
-def _shared(table: pa.Table) -> pa.Table:
-    """Of one fragment: the shingles that two sets or more hold, with how many hold them."""
-    keys = table.column("set_key").to_numpy()
-    values, counts = _flat(table.column("segment"), np.uint64)
+            yield _rows(list(_cut(keys, n, values[keep], doc[keep], fragments)), _NAMES)
+
+
+def _joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All rows of blobs of a group after each other."""
+    kinds = (np.int64, np.int64, np.uint32, np.uint64)
+    keys, sizes, counts, values = (_flat(table.column(c), k)[0] for c, k in zip(_NAMES[1:], kinds, strict=True))
+    return keys, sizes, counts.astype(np.int64), values
+
+
+def _shared(table: pa.Table, buckets: int) -> pa.Table:
+    """Of one fragment: the shingles that two sets or more hold, with how many hold them, by bucket of sets."""
+    keys, sizes, counts, values = _joined(table)
     _, first = np.unique(keys, return_index=True)  # other tasks may have sent the same set
     only = np.zeros(len(keys), bool)
     only[first] = True
@@ -142,43 +167,69 @@ def _shared(table: pa.Table) -> pa.Table:
     many = held[inverse]
     keep = many >= 2
     values, owner, many = values[keep], owner[keep], many[keep]
-    rows, begin = np.unique(owner, return_index=True)
-    at = np.append(begin, len(values))
-    return pa.table(
-        {
-            "fragment": table.column("fragment").combine_chunks().take(pa.array(rows)),
-            "set_key": pa.array(keys[rows]),
-            "n": table.column("n").combine_chunks().take(pa.array(rows)),
-            "shared": _binary(values, at),
-            "held": _binary(np.minimum(many, 2**32 - 1).astype(np.uint32), at),
-        }
-    )
-
-
-def _prefixes(n: pa.Array, parts: pa.Array, share: int) -> pa.Array:
-    """The rarest shared shingles that a linked set must meet, for each candidate."""
-    offsets = parts.offsets.to_numpy()
-    inner = parts.values
-    values, counts = _flat(inner.field("shared"), np.uint64)
-    held, _ = _flat(inner.field("held"), np.uint32)
-    ends = np.concatenate([[0], np.cumsum(counts)])
-    out, sizes = [np.zeros(0, np.int64)], []
-    for i, size in enumerate(n.to_pylist()):
-        a, b = ends[offsets[i]], ends[offsets[i + 1]]
-        order = np.lexsort((values[a:b], held[a:b]))
-        # Shingles nobody else holds come first in the order; the rest of the prefix is among the shared.
-        length = (b - a) - (-(-share * size // 100)) + 1
-        out.append(values[a:b][order[: max(0, length)]].view(np.int64))
-        sizes.append(len(out[-1]))
-    at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(out)))
+    bucket = ((mixed(keys.view(np.uint64)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(bucket[owner], kind="stable")
+    values, owner, many = values[order], owner[order], many[order]
+    ends = np.searchsorted(bucket[owner], np.arange(buckets + 1))
+    out = []
+    for b in range(buckets):
+        x, y = ends[b], ends[b + 1]
+        if x < y:
+            rows, at = np.unique(owner[x:y], return_index=True)
+            size = np.diff(np.append(at, y - x))
+            out.append((*_blobs(b, keys[rows], sizes[rows], size, values[x:y]), np.minimum(many[x:y], 2**32 - 1).astype(np.uint32).tobytes()))
+    return pa.Table.from_batches([_rows(out, ["bucket", *_NAMES[1:], "held"])])
+
+
+def _candidates(table: pa.Table, share: int) -> pa.Table:
+    """Of one bucket: sets that may have a partner, their shared shingles and the rarest of them.
+
+    Shingles that nobody else holds come first in the order, so the prefix
+    that a partner must meet is short of them.
+    """
+    keys, sizes, counts, values = _joined(table)
+    held, _ = _flat(table.column("held"), np.uint32)
+    owner_key = np.repeat(keys, counts)
+    order = np.lexsort((values, owner_key))
+    values, held, owner_key = values[order], held[order], owner_key[order]
+    distinct, first = np.unique(keys, return_index=True)
+    ends = np.searchsorted(owner_key, distinct, "right")
+    begins = np.searchsorted(owner_key, distinct, "left")
+    found: dict[str, list] = {"set_key": [], "n": [], "shared": [], "prefix": []}
+    for key, n, a, b in zip(distinct.tolist(), sizes[first].tolist(), begins.tolist(), ends.tolist(), strict=True):
+        if 100 * (b - a) < share * n:
+            continue
+        length = (b - a) - (-(-share * n // 100)) + 1
+        rarest = np.lexsort((values[a:b], held[a:b]))[:length]
+        found["set_key"].append(key)
+        found["n"].append(n)
+        found["shared"].append(values[a:b].tobytes())
+        found["prefix"].append(values[a:b][rarest].view(np.int64))
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+    return pa.table({name: pa.array(v, k) for (name, v), k in zip(found.items(), kinds, strict=True)})
+
+
+def _with_partners(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterator[pa.RecordBatch]:
+    """Sets and their partners, cut again: each fragment's row has the partners of its sets too."""
+    for batch in batches:
+        keys, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        values, counts = _flat(batch.column(2), np.uint64)
+        partners, many = _flat(batch.column(3), np.int64)
+        ends = np.cumsum(many)
+        place = {key: i for i, key in enumerate(keys.tolist())}
+        rows = []
+        for row in _cut(keys, n, values, np.repeat(np.arange(len(keys)), counts), fragments):
+            own = [place[k] for k in np.frombuffer(row[1], np.int64).tolist()]
+            mine = [partners[ends[i] - many[i] : ends[i]] for i in own]
+            rows.append((*row, np.concatenate(mine).tobytes(), many[own].astype(np.uint32).tobytes()))
+        yield _rows(rows, [*_NAMES, "partners", "many"])
 
 
 def _overlaps(table: pa.Table) -> pa.Table:
     """Of one fragment: how many shingles each set shares with its partners."""
-    keys, n = table.column("set_key").to_numpy(), table.column("n").to_numpy()
-    values, counts = _flat(table.column("shared"), np.uint64)
-    partners, many = _flat(table.column("partners"), np.int64)
+    keys, n, counts, values = _joined(table)
+    partners, _ = _flat(table.column("partners"), np.int64)
+    many = _flat(table.column("many"), np.uint32)[0].astype(np.int64)
     order = np.argsort(keys)
     a = np.repeat(np.arange(len(keys)), many)
     near = np.minimum(np.searchsorted(keys[order], partners), max(0, len(keys) - 1))
@@ -213,18 +264,10 @@ def links(docs: DataFrame, text_col: str = "text", width: int = 5, share: int =
     every such link lies inside a group of the edges."""
     spark = docs.sparkSession
     fragments = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = docs.select(F.col(text_col)).mapInArrow(
-        lambda batches: _segments(batches, width, fragments), "fragment int, set_key bigint, n bigint, segment binary"
-    )
-    shared = cut.groupBy("fragment").applyInArrow(_shared, "fragment int, set_key bigint, n bigint, shared binary, held binary")
-    parts = F.collect_list(F.struct("fragment", "shared", "held"))
-    whole = shared.groupBy("set_key", "n").agg(parts.alias("parts"), F.sum(F.length("shared") / 8).cast("long").alias("n_shared"))
-    whole = whole.where(100 * F.col("n_shared") >= share * F.col("n"))
-    prefix = F.arrow_udf(lambda n, p: _prefixes(n, p, share), "array<bigint>")
-    sets = saved(
-        whole.select("set_key", "n", F.transform("parts", lambda p: F.struct(p.fragment, p.shared)).alias("parts"), prefix("n", "parts").alias("prefix")),
-        "sets",
-    )
+    cut = docs.select(F.col(text_col)).mapInArrow(lambda batches: _segments(batches, width, fragments), f"fragment int, {_BLOBS}")
+    shared = cut.groupBy("fragment").applyInArrow(lambda t: _shared(t, fragments), f"bucket int, {_BLOBS}, held binary")
+    found = shared.groupBy("bucket").applyInArrow(lambda t: _candidates(t, share), "set_key bigint, n bigint, shared binary, prefix array<bigint>")
+    sets = saved(found, "sets")
     postings = saved(sets.select(F.explode("prefix").alias("gram"), "set_key", "n"), "postings")
     edges = spark.createDataFrame([], "a bigint, b bigint")
     low, high = 0, 1
@@ -266,8 +309,11 @@ def verified(sets: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
     partners = packed.select(F.col("a").alias("set_key"), to_bytes("p").alias("partners"))
     partners = partners.unionByName(pairs.select(F.col("b").alias("set_key"), F.lit(b"").alias("partners")).distinct())
     partners = partners.groupBy("set_key").agg(F.max("partners").alias("partners"))
-    rows = sets.select("set_key", "n", "parts").join(partners, "set_key").select("set_key", "n", "partners", F.inline("parts"))
-    counted = rows.groupBy("fragment").applyInArrow(_overlaps, "a bigint, b bigint, na bigint, nb bigint, overlap bigint")
+    rows = saved(sets.select("set_key", "n", "shared").join(partners, "set_key").select("set_key", "n", "shared", "partners"), "asked")
+    shingles = rows.agg(F.sum(F.length("shared"))).first()[0] or 0
+    fragments = max(1, -(-shingles // (8 * FRAGMENT)))
+    cut = rows.mapInArrow(lambda batches: _with_partners(batches, fragments), f"fragment int, {_BLOBS}, partners binary, many binary")
+    counted = cut.groupBy("fragment").applyInArrow(_overlaps, "a bigint, b bigint, na bigint, nb bigint, overlap bigint")
     sums = counted.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("o"))
     return sums.where(100 * F.col("o") >= share * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
 
