@@ -109,15 +109,18 @@ class EliasFano:
         top = (values >> self.shift).astype(np.int64)
         todo = np.flatnonzero(top < self.tops)
         at, stop = self._rank(top[todo]), self._rank(top[todo] + 1)
-        low = values & self.mask
-        while len(todo):
-            inside = at < stop
-            todo, at, stop = todo[inside], at[inside], stop[inside]
-            here = self._low(at)
-            hit = here == low[todo]
-            found[todo[hit]] = at[hit]
-            on = here < low[todo]
-            todo, at, stop = todo[on], at[on] + 1, stop[on]
+        # Values with one high part are in order of their low bits: bisection.
+        low, end = (values & self.mask)[todo], stop.copy()
+        open_ = np.flatnonzero(at < end)
+        while len(open_):
+            middle = (at[open_] + end[open_]) >> 1
+            up = self._low(middle) < low[open_]
+            at[open_[up]] = middle[up] + 1
+            end[open_[~up]] = middle[~up]
+            open_ = open_[at[open_] < end[open_]]
+        inside = np.flatnonzero(at < stop)
+        hit = inside[self._low(at[inside]) == low[inside]]
+        found[todo[hit]] = at[hit]
         return found
 
 
