@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from changefeed.llm.blobs import binary, flat
 from changefeed.llm.components import components, saved
 from changefeed.llm.text import BLANKS, Slice, Windows, Words, mixed, slices, windows_of
 
@@ -80,28 +81,6 @@ def _fragment(values: np.ndarray, fragments: int) -> np.ndarray:
     return ((values >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int32)
 
 
-def _binary(values: np.ndarray, at: np.ndarray) -> pa.Array:
-    """Values as bytes, cut at the places ``at``."""
-    size = values.dtype.itemsize
-    offsets = pa.py_buffer((at * size).astype(np.int32))
-    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
-
-
-def _flat(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
-    """The values of all binary rows after each other, and how many each has."""
-    chunks, counts = [np.zeros(0, kind)], [np.zeros(0, np.int64)]
-    for chunk in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
-        if not len(chunk):
-            continue
-        chunk = chunk.cast(pa.large_binary())
-        _, places, data = chunk.buffers()
-        at = np.frombuffer(places, np.int64)[chunk.offset : chunk.offset + len(chunk) + 1]
-        # A copy: slices of a buffer need not be aligned.
-        chunks.append(np.frombuffer(bytes(memoryview(data or b"")[at[0] : at[-1]]), kind))
-        counts.append(np.diff(at) // np.dtype(kind).itemsize)
-    return np.concatenate(chunks), np.concatenate(counts)
-
-
 _BLOBS = "keys binary, sizes binary, counts binary, values binary"
 
 
@@ -150,7 +129,7 @@ def _segments(batches: Iterator[pa.RecordBatch], width: int, fragments: int) ->
 def _joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All rows of blobs of a group after each other."""
     kinds = (np.int64, np.int64, np.uint32, np.uint64)
-    keys, sizes, counts, values = (_flat(table.column(c), k)[0] for c, k in zip(_NAMES[1:], kinds, strict=True))
+    keys, sizes, counts, values = (flat(table.column(c), k)[0] for c, k in zip(_NAMES[1:], kinds, strict=True))
     return keys, sizes, counts.astype(np.int64), values
 
 
@@ -188,7 +167,7 @@ def _candidates(table: pa.Table, share: int) -> pa.Table:
     that a partner must meet is short of them.
     """
     keys, sizes, counts, values = _joined(table)
-    held, _ = _flat(table.column("held"), np.uint32)
+    held, _ = flat(table.column("held"), np.uint32)
     owner_key = np.repeat(keys, counts)
     order = np.lexsort((values, owner_key))
     values, held, owner_key = values[order], held[order], owner_key[order]
@@ -213,8 +192,8 @@ def _with_partners(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterato
     """Sets and their partners, cut again: each fragment's row has the partners of its sets too."""
     for batch in batches:
         keys, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        values, counts = _flat(batch.column(2), np.uint64)
-        partners, many = _flat(batch.column(3), np.int64)
+        values, counts = flat(batch.column(2), np.uint64)
+        partners, many = flat(batch.column(3), np.int64)
         ends = np.cumsum(many)
         place = {key: i for i, key in enumerate(keys.tolist())}
         rows = []
@@ -228,8 +207,8 @@ def _with_partners(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterato
 def _overlaps(table: pa.Table) -> pa.Table:
     """Of one fragment: how many shingles each set shares with its partners."""
     keys, n, counts, values = _joined(table)
-    partners, _ = _flat(table.column("partners"), np.int64)
-    many = _flat(table.column("many"), np.uint32)[0].astype(np.int64)
+    partners, _ = flat(table.column("partners"), np.int64)
+    many = flat(table.column("many"), np.uint32)[0].astype(np.int64)
     order = np.argsort(keys)
     a = np.repeat(np.arange(len(keys)), many)
     near = np.minimum(np.searchsorted(keys[order], partners), max(0, len(keys) - 1))
@@ -321,7 +300,7 @@ def verified(sets: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
 def _list_bytes(lists: pa.Array) -> pa.Array:
     at = lists.offsets.to_numpy()
     values = lists.values.to_numpy(zero_copy_only=False)
-    return _binary(values[at[0] : at[-1]].astype(np.int64), (at - at[0]).astype(np.int64))
+    return binary(values[at[0] : at[-1]].astype(np.int64), (at - at[0]).astype(np.int64))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, share: int = 80) -> DataFrame:

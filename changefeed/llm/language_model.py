@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changefeed.llm.blobs import flat, planes, unplanes
 from changefeed.llm.elias_fano import DECODED, NONE, Trie
-from changefeed.llm.jaccard_join import _flat
 from changefeed.llm.text import BLANKS, Words, slices
 
 DISCOUNT = 0.75
@@ -70,18 +70,6 @@ class Grams:
         return words, np.searchsorted(self.pairs, words.astype(np.uint64) << np.uint64(BITS))
 
 
-def _planes(values: np.ndarray, size: int) -> bytes:
-    """The lowest ``size`` bytes of each value, all first bytes first: small numbers compress well."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()
-
-
-def _unplanes(data: bytes, size: int) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(size, -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, :size] = planes.T
-    return out.view("<u8").ravel()
-
-
 _ASK = "shard int, bucket int, words binary, counts binary, many binary, followers binary, pair_counts binary"
 _ANSWER = "bucket int, shard int, tokens bigint, types bigint, counts binary, rest binary, codes binary"
 
@@ -98,10 +86,10 @@ def _ask(table: pa.Table, shards: int) -> pa.Table:
         rows["shard"].append(s)
         rows["bucket"].append(bucket)
         rows["words"].append(grams.words[a:b].tobytes())
-        rows["counts"].append(_planes(grams.word_counts[a:b], 8))
-        rows["many"].append(_planes(many[a:b], 8))
-        rows["followers"].append(_planes(grams.pairs[c:d], BITS // 8))
-        rows["pair_counts"].append(_planes(grams.pair_counts[c:d], 8))
+        rows["counts"].append(planes(grams.word_counts[a:b], 8))
+        rows["many"].append(planes(many[a:b], 8))
+        rows["followers"].append(planes(grams.pairs[c:d], BITS // 8))
+        rows["pair_counts"].append(planes(grams.pair_counts[c:d], 8))
     kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 5
     return pa.table({name: pa.array(values, kind) for (name, values), kind in zip(rows.items(), kinds, strict=True)})
 
@@ -110,16 +98,16 @@ def _answer(table: pa.Table) -> pa.Table:
     lists = []
     for row in table.to_pylist():
         words = np.frombuffer(row["words"], np.uint64)
-        many = _unplanes(row["many"], 8).astype(np.int64)
+        many = unplanes(row["many"], 8).astype(np.int64)
         owner = np.repeat(np.arange(len(words)), many)
-        lists.append((row, words, owner, _unplanes(row["followers"], BITS // 8)))
+        lists.append((row, words, owner, unplanes(row["followers"], BITS // 8)))
     every = np.concatenate([w for _, w, _, _ in lists])
     words, place = np.unique(every, return_inverse=True)
-    counts = np.bincount(place, np.concatenate([_unplanes(r["counts"], 8) for r, _, _, _ in lists]), len(words)).astype(np.int64)
+    counts = np.bincount(place, np.concatenate([unplanes(r["counts"], 8) for r, _, _, _ in lists]), len(words)).astype(np.int64)
     at = np.cumsum([0] + [len(w) for _, w, _, _ in lists])
     keys, sums = [], []
     for k, (row, _, owner, follower) in enumerate(lists):
-        count = _unplanes(row["pair_counts"], 8)
+        count = unplanes(row["pair_counts"], 8)
         seen = count > 0
         keys.append((place[at[k] + owner[seen]].astype(np.uint64) << np.uint64(BITS)) | follower[seen])
         sums.append(count[seen])
@@ -139,7 +127,7 @@ def _answer(table: pa.Table) -> pa.Table:
         out["shard"].append(row["shard"])
         out["tokens"].append(int(counts.sum()))
         out["types"].append(int((counts > 0).sum()))
-        out["counts"].append(_planes(found, 8))
+        out["counts"].append(planes(found, 8))
         out["rest"].append(rest.tobytes())
         out["codes"].append(codes.tobytes())
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * 3
@@ -150,9 +138,9 @@ def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
     grams = Grams(docs.column("text"), docs.column("learn").to_numpy())
     answers = answers.sort_by("shard")
     total, types = sum(answers.column("tokens").to_pylist()), sum(answers.column("types").to_pylist())
-    counts = np.concatenate([_unplanes(x, 8) for x in answers.column("counts").to_pylist()]).astype(np.int64)
-    rest, _ = _flat(answers.column("rest"), np.uint8)
-    codes, _ = _flat(answers.column("codes"), np.uint8)
+    counts = np.concatenate([unplanes(x, 8) for x in answers.column("counts").to_pylist()]).astype(np.int64)
+    rest, _ = flat(answers.column("rest"), np.uint8)
+    codes, _ = flat(answers.column("codes"), np.uint8)
     alone = (counts + 1) / (total + types + 1)
     p1 = alone[grams.token]
     lower = rest[grams.context]
