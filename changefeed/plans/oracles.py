@@ -195,6 +195,17 @@ ORACLES: dict[str, str] = {
         SELECT title, count(*) AS copies, min(ts) AS first_time, max(ts) AS last_time
         FROM once GROUP BY title
         HAVING count(*) > 1 AND max(ts) - min(ts) > INTERVAL 2 MINUTE"""),
+    "stream_batches": _q("""
+        , slices AS (
+          SELECT ts, copy, CASE WHEN arrived < TIMESTAMP '2024-01-11' THEN 0
+                 WHEN arrived < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS slice FROM good),
+        marks AS (
+          SELECT k.slice, date_trunc('millisecond', max(s.ts)) - INTERVAL 2 MINUTE AS mark
+          FROM (SELECT DISTINCT slice FROM slices) k JOIN slices s
+            ON s.slice + s.copy <= k.slice GROUP BY k.slice)
+        SELECT (SELECT count(*) FROM once) AS bronze_rows, 5 AS data_batches,
+               (SELECT count(*) FROM slices s JOIN marks m USING (slice)
+                WHERE s.copy = 1 AND s.ts <= m.mark) AS dropped_rows"""),
     "freshness_no_events": """
         SELECT CAST(NULL AS TIMESTAMP) AS newest_event_time, CAST(NULL AS DOUBLE) AS age_seconds,
                false AS within_limit""",
@@ -261,7 +272,7 @@ ORACLES: dict[str, str] = {
           FROM once GROUP BY ALL)
         WHERE {_SETTLED.format("10 MINUTE")}"""),
     "rebuilt_edits": _q("SELECT * FROM edits"),
-    "export_sample": _q(f"SELECT {_FACTS} FROM once ORDER BY md5(meta_id), meta_id LIMIT 50000"),
+    "export_sample": _q(f"SELECT {_FACTS} FROM once ORDER BY md5(meta_id), meta_id LIMIT 5000"),
     "file_stats": _q("""
         SELECT ts::DATE AS event_date, wiki, count(*) AS row_count, true AS has_bytes
         FROM once GROUP BY ALL"""),
