@@ -174,6 +174,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--state-partitions", type=int, help="width of the stateful operators, kept for good")
     parser.add_argument("--splits", type=int, help="tasks that share a day and feed when written")
     parser.add_argument("--keep-copies", action="store_true", help="no collapse before the shuffle by id")
+    parser.add_argument("--bronze", default="once", choices=["once", "all"], help="each id once, or every record")
     parser.add_argument("--gold-from", default="bronze", choices=["bronze", "source"])
     parser.add_argument("--catalog", help="keep the tables there, as Iceberg tables")
     parser.add_argument("--flush-seconds", type=int, default=60)
@@ -190,6 +191,7 @@ def main(argv: list[str] | None = None) -> int:
         trigger=args.trigger,
         horizon=args.horizon,
         gold_from=args.gold_from,
+        bronze=args.bronze,
         late_horizon=args.late_horizon,
         state_partitions=args.state_partitions,
         splits=args.splits,

@@ -50,6 +50,11 @@ class Settings:
     splits: int | None = None
     # Drop copies that sit in the same Arrow batch before the shuffle by id.
     collapse_copies: bool = True
+    # "once": bronze holds each id once; an event behind the horizon is dropped.
+    # "all": bronze holds every accepted record, however late, and copies too;
+    # gold streams deduplicate what they read, and batch readers take
+    # ``first_copies``, so a rebuild with a longer delay gets late events back.
+    bronze: str = "once"
     # "bronze": parse and deduplicate once, gold reads bronze.
     # "source": every gold query starts at the log.
     gold_from: str = "bronze"

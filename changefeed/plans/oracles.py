@@ -206,6 +206,7 @@ ORACLES: dict[str, str] = {
         SELECT (SELECT count(*) FROM once) AS bronze_rows, 5 AS data_batches,
                (SELECT count(*) FROM slices s JOIN marks m USING (slice)
                 WHERE s.copy = 1 AND s.ts <= m.mark) AS dropped_rows"""),
+    "rebuild_recovers_late": _q("SELECT * FROM edits"),
     "freshness_no_events": """
         SELECT CAST(NULL AS TIMESTAMP) AS newest_event_time, CAST(NULL AS DOUBLE) AS age_seconds,
                false AS within_limit""",

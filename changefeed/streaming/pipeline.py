@@ -46,14 +46,21 @@ class Pipeline:
             return self.events(self.settings.late_horizon, spec.inputs)
         if self.settings.gold_from == "source":
             return self.events(self.settings.watermark, spec.inputs)
-        return stream_table(self.spark, self.settings, BRONZE).withWatermark(
-            "event_time", self.settings.watermark
-        )
+        bronze = stream_table(self.spark, self.settings, BRONZE)
+        if self.settings.bronze == "all":
+            return dedup_stream(
+                bronze.select(*spec.inputs),
+                horizon=self.settings.watermark,
+                collapse=self.settings.collapse_copies,
+            )
+        return bronze.withWatermark("event_time", self.settings.watermark)
 
     def frame(self, table: Table) -> DataFrame:
         """The stream that feeds a table."""
         if table is REJECTS:
             return self.rejected
+        if table is BRONZE and self.settings.bronze == "all":
+            return self.accepted.select(*BRONZE.column_names)
         if table is BRONZE:
             return self.events(self.settings.horizon, BRONZE.column_names)
         spec = next(s for s in GOLD_SPECS if s.table is table)

@@ -300,3 +300,19 @@ def test_pending_windows_wait_for_the_next_event(spark, log_folder, settings):
     assert emitted() == {}
     log_folder([at("10:01", "c")])
     assert emitted() == {0: 1}
+
+
+def test_bronze_that_keeps_everything(spark, log_folder, settings):
+    """A late event and a copy stay in bronze; gold streams count each id once."""
+    import dataclasses
+
+    keeps = dataclasses.replace(settings, bronze="all")
+    path = log_folder(
+        [record("a", "2024-01-01T00:20:00Z"), record("a", "2024-01-01T00:20:00Z")],
+        [record("b", "2024-01-01T00:40:00Z")],
+        [record("late", "2024-01-01T00:00:10Z"), record("c", "2024-01-01T01:00:00Z")],
+    )
+    pipe = Pipeline(spark, LogSource(path=path, max_files=1).read(spark), keeps)
+    pipe.run_available()
+    assert sorted(r.meta_id for r in pipe.table(BRONZE).collect()) == ["a", "a", "b", "c", "late"]
+    assert {(r.window_start.minute, r.edit_count) for r in pipe.table(EDITS).collect() if r.window_start.minute == 20} == {(20, 1)}
