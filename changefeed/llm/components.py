@@ -8,11 +8,24 @@ from pyspark.sql import functions as F
 from changefeed.config import work_dir
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2_000
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
-    """Written to the shared folder and read again: cuts the lineage and survives lost executors."""
-    path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Written to the shared folder and read again: cuts the lineage and survives lost executors.
+
+    While it is written, Arrow batches have ``BATCH_ROWS`` rows at most: rows
+    are whole texts or sets, and two tasks share an executor's memory.
+    """
+    spark = df.sparkSession
+    path, rows = work_dir(spark, label), spark.conf.get(BATCH)
+    spark.conf.set(BATCH, str(min(int(rows), BATCH_ROWS) if int(rows) > 0 else BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH, rows)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -113,7 +113,7 @@ def _cut(keys: np.ndarray, n: np.ndarray, values: np.ndarray, doc: np.ndarray, f
 def _segments(batches: Iterator[pa.RecordBatch], width: int, fragments: int) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()  # sets this task has sent already
     for batch in batches:
-        for part in slices(batch.column(0), lower=True, size=16 << 20):
+        for part in slices(batch.column(0), lower=True):
             values, at = shingle_sets(part, width)
             keys, n = set_keys(values, at), np.diff(at)
             wanted = np.zeros(part.n, bool)
@@ -242,7 +242,7 @@ def links(docs: DataFrame, text_col: str = "text", width: int = 5, share: int =
     100 * intersection >= ``share`` * union: every edge is such a link, and
     every such link lies inside a group of the edges."""
     spark = docs.sparkSession
-    fragments = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fragments = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut = docs.select(F.col(text_col)).mapInArrow(lambda batches: _segments(batches, width, fragments), f"fragment int, {_BLOBS}")
     shared = cut.groupBy("fragment").applyInArrow(lambda t: _shared(t, fragments), f"bucket int, {_BLOBS}, held binary")
     found = shared.groupBy("bucket").applyInArrow(lambda t: _candidates(t, share), "set_key bigint, n bigint, shared binary, prefix array<bigint>")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from changefeed.config import work_dir
+from changefeed.llm.components import saved
 from changefeed.llm.text import BLANKS, Slice, lowered, slices, span_hashes
 
 MEMO_WORDS = 2_000_000
@@ -291,6 +291,4 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = 4096, **options) ->
 
     Null texts count as empty: a piece of the end token alone.
     """
-    path = work_dir(docs.sparkSession, "pieces")
-    pieces(docs, tokenizer, capacity=capacity, **options).write.parquet(path)
-    return pack(docs.sparkSession.read.parquet(path), capacity)
+    return pack(saved(pieces(docs, tokenizer, capacity=capacity, **options), "pieces"), capacity)
