@@ -289,6 +289,8 @@ ORACLES: dict[str, str] = {
     "stream_bot_vs_human": _q(f"SELECT * FROM bots WHERE {_TWO}"),
     "stream_page_edits_10min": _q(f"SELECT * FROM pages WHERE {_TWO}"),
     "stream_late": _q(f"SELECT * FROM late WHERE {_HOUR}"),
+    "stream_edits_from_bronze": _q(f"SELECT * FROM edits WHERE {_TWO}"),
+    "stream_bots_from_bronze": _q(f"SELECT * FROM bots WHERE {_TWO}"),
     "stream_pages_from_bronze": _q(f"SELECT * FROM pages WHERE {_TWO}"),
     "stream_pipeline_counts": _q(f"""
         SELECT table_name, row_count, row_count AS rows_reported FROM (

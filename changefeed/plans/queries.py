@@ -495,9 +495,14 @@ def stream_batches_overwritten(spark: SparkSession, directory: str) -> DataFrame
     return spark.read.parquet(path).select(*FACTS)
 
 
-def stream_pages_from_bronze(spark: SparkSession, directory: str) -> DataFrame:
-    pipeline = _run(_pipeline(spark, directory, "bronze-pages"), BRONZE)
-    return _run(pipeline, PAGES).table(PAGES)
+def _from_bronze(table: Table) -> Query:
+    """The default form: bronze first, then the gold query that reads it."""
+
+    def query(spark: SparkSession, directory: str) -> DataFrame:
+        pipeline = _run(_pipeline(spark, directory, f"bronze-{table.name}"), BRONZE)
+        return _run(pipeline, table).table(table)
+
+    return query
 
 
 def replay_equals_control(spark: SparkSession, directory: str) -> DataFrame:
@@ -585,7 +590,9 @@ QUERIES: dict[str, Query] = {
     "stream_bot_vs_human": _from_log(BOTS),
     "stream_page_edits_10min": _from_log(PAGES),
     "stream_late": _from_log(LATE),
-    "stream_pages_from_bronze": stream_pages_from_bronze,
+    "stream_edits_from_bronze": _from_bronze(EDITS),
+    "stream_bots_from_bronze": _from_bronze(BOTS),
+    "stream_pages_from_bronze": _from_bronze(PAGES),
     "stream_pipeline_counts": stream_pipeline_counts,
     "replay_equals_control": replay_equals_control,
     "compaction_equality": compaction_equality,
