@@ -19,7 +19,7 @@ from changefeed.config import Settings
 from changefeed.functions import storage
 from changefeed.operators.compare import fingerprint
 from changefeed.schema import ALL_TABLES, DAY, Table
-from changefeed.sources.tables import read_files, read_live, table_parts
+from changefeed.sources.tables import listed_tables, read_files, read_live, table_parts
 
 GENERATION_DDL = (
     "path string, since date, through date, taken_at timestamp, created_at timestamp, "
@@ -221,6 +221,15 @@ def remove_orphans(
     return gone
 
 
+def discovered(spark: SparkSession, settings: Settings) -> list[str]:
+    """Full names of all tables in the catalog's namespaces of this pipeline,
+    others than its own included; without a catalog there are none."""
+    if not settings.catalog:
+        return []
+    spaces = sorted({table.namespace for table in ALL_TABLES})
+    return [f"{s}.{name}" for s in spaces for name in listed_tables(spark, settings.table_name(s))]
+
+
 def maintain(
     spark: SparkSession,
     settings: Settings,
@@ -233,15 +242,12 @@ def maintain(
 ) -> list[dict]:
     """Expiry, optional orphan removal and compaction of every table."""
     report = []
-    for table in ALL_TABLES:
-        if settings.catalog:
-            steps = iceberg_upkeep(
-                table.full_name, settings.catalog, now - retention, keep, clean_orphans
-            )
-            for step in steps:
-                spark.sql(step)
-            report.append({"table": table.full_name, "steps": steps})
-            continue
+    for name in discovered(spark, settings):
+        steps = iceberg_upkeep(name, settings.catalog, now - retention, keep, clean_orphans)
+        for step in steps:
+            spark.sql(step)
+        report.append({"table": name, "steps": steps})
+    for table in () if settings.catalog else ALL_TABLES:
         path = settings.table_path(table.namespace, table.name)
         if not storage.exists(spark, path):
             continue

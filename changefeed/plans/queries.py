@@ -30,7 +30,7 @@ from changefeed.schema import BRONZE, BOTS, DAY, EDITS, LATE, PAGES, REJECTS, Ta
 from changefeed.sources.captured import intake, read_captured
 from changefeed.sources.events import change_log, read_events, stream_events
 from changefeed.sources.log import LogSource, feed_key, keyed, land, widened
-from changefeed.sources.tables import between, read_files, read_live, read_table, table_names
+from changefeed.sources.tables import between, read_files, read_live, read_table, listed_tables
 from changefeed.streaming import metrics
 from changefeed.streaming.pipeline import Pipeline
 from changefeed.streaming.sinks import overwrite_batches
@@ -381,7 +381,7 @@ def catalog_tables(spark: SparkSession, directory: str) -> DataFrame:
         found = events(spark, directory).select(*FACTS)
         found.write.saveAsTable(f"{name}.{BRONZE.name}")
         windows.EDITS_SPEC.build(spark.table(f"{name}.{BRONZE.name}")).write.saveAsTable(f"{name}.{EDITS.name}")
-        sizes = quality.table_counts({t: spark.table(f"{name}.{t}") for t in table_names(spark, name)})
+        sizes = quality.table_counts({t: spark.table(f"{name}.{t}") for t in listed_tables(spark, name)})
         path = work_dir(spark, "catalog")
         sizes.write.parquet(path)
     finally:

@@ -88,6 +88,7 @@ class Table:
         )
 
 
+# Names, columns and types of the tables.
 BRONZE = Table(
     "bronze",
     "recentchange",

@@ -1,7 +1,7 @@
 from changefeed.sources.captured import intake, read_captured
 from changefeed.sources.events import change_log, read_events, stream_events
 from changefeed.sources.log import LogSource, keyed, land, rows_per_partition, sample
-from changefeed.sources.tables import read_table, table_names
+from changefeed.sources.tables import read_table, listed_tables
 
 __all__ = [
     "LogSource",
@@ -15,5 +15,5 @@ __all__ = [
     "rows_per_partition",
     "sample",
     "stream_events",
-    "table_names",
+    "listed_tables",
 ]

@@ -11,8 +11,8 @@ from changefeed.config import Settings
 from changefeed.schema import DAY, Table
 
 
-def table_names(spark: SparkSession, namespace: str) -> list[str]:
-    """Every non-temporary table of a namespace, from the catalog."""
+def listed_tables(spark: SparkSession, namespace: str) -> list[str]:
+    """What the catalog holds in a namespace, views of the session left out."""
     return [t.name for t in spark.catalog.listTables(namespace) if not t.isTemporary]
 
 

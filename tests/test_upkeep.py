@@ -13,7 +13,7 @@ from changefeed.operators import compare, exports, rebuild, upkeep, windows
 from changefeed.operators.dedup import first_copies
 from changefeed.operators.gate import gate
 from changefeed.schema import ALL_TABLES, BOTS, BRONZE, DAY, EDITS, PAGES, create_tables
-from changefeed.sources import LogSource, read_table, table_names
+from changefeed.sources import LogSource, read_table, listed_tables
 from changefeed.sources.tables import read_live
 from changefeed.streaming import Pipeline
 from conftest import record, utc
@@ -173,7 +173,7 @@ def test_day_retention_only_for_batch_tables(spark, bronze, settings, tmp_path):
 def test_catalog_tables(spark, bronze, settings):
     create_tables(spark, settings)
     create_tables(spark, settings)
-    assert table_names(spark, "gold") == sorted(t.name for t in ALL_TABLES if t.namespace == "gold")
+    assert listed_tables(spark, "gold") == sorted(t.name for t in ALL_TABLES if t.namespace == "gold")
     assert spark.table(BRONZE.full_name).count() == 90
     assert spark.table(EDITS.full_name).columns == [c for c in EDITS.column_names if c != "wiki"] + [DAY, "wiki"]
     for table in ALL_TABLES:
@@ -243,6 +243,19 @@ def test_exports(spark, bronze, settings, tmp_path):
     assert spark.read.json(str(tmp_path / "lines")).filter("meta.id IS NOT NULL").count() == 15
 
 
+def test_tables_of_a_catalog_are_discovered(spark, settings):
+    import dataclasses
+
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS gold")
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS bronze")
+    spark.sql("CREATE TABLE gold.someone_elses (a int) USING parquet")
+    try:
+        found = upkeep.discovered(spark, dataclasses.replace(settings, catalog="spark_catalog"))
+    finally:
+        spark.sql("DROP TABLE gold.someone_elses")
+    assert "gold.someone_elses" in found and upkeep.discovered(spark, settings) == []
+
+
 def test_iceberg_statements():
     cutoff = dt.datetime(2024, 1, 2, 3, 4, 5)
     calls = upkeep.iceberg_upkeep("gold.t", "lake", cutoff, keep=5, orphans=True)
