@@ -237,48 +237,46 @@ def _overlaps(table: pa.Table) -> pa.Table:
     return pa.table({"a": keys[a], "b": keys[b], "na": n[a], "nb": n[b], "overlap": overlap[keep]})
 
 
-def links(docs: DataFrame, text_col: str = "text", width: int = 5, share: int = 80) -> DataFrame:
-    """Edges (a, b) between set keys that give the groups of sets with
-    100 * intersection >= ``share`` * union: every edge is such a link, and
-    every such link lies inside a group of the edges."""
+def roots(docs: DataFrame, text_col: str = "text", width: int = 5, share: int = 80) -> DataFrame:
+    """(node, root): the group, by its smallest set key, of every set that links
+    with another one, 100 * intersection >= ``share`` * union."""
     spark = docs.sparkSession
     fragments = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut = docs.select(F.col(text_col)).mapInArrow(lambda batches: _segments(batches, width, fragments), f"fragment int, {_BLOBS}")
     shared = cut.groupBy("fragment").applyInArrow(lambda t: _shared(t, fragments), f"bucket int, {_BLOBS}, held binary")
     found = shared.groupBy("bucket").applyInArrow(lambda t: _candidates(t, share), "set_key bigint, n bigint, shared binary, prefix array<bigint>")
     sets = saved(found, "sets")
-    postings = saved(sets.select(F.explode("prefix").alias("gram"), "set_key", "n"), "postings")
-    edges = spark.createDataFrame([], "a bigint, b bigint")
+    postings = sets.select(F.explode("prefix").alias("gram"), "set_key", "n", F.col("set_key").alias("root"))
+    grams = postings.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1")
+    postings = saved(postings.join(grams.select("gram"), "gram"), "postings")
+    named = spark.createDataFrame([], "node bigint, root bigint")
+    edges = tested = None
     low, high = 0, 1
-    tested = None
-    while True:
-        several = postings.groupBy("gram").agg(F.count("*").alias("size"), F.min("root").alias("x"), F.max("root").alias("y")) if low else postings.groupBy("gram").agg(F.count("*").alias("size"))
-        several = several.where((F.col("size") > low + 1) & (F.col("x") != F.col("y"))) if low else several.where("size > 1")
-        open_ = postings.join(several.select("gram"), "gram")
-        if low:
-            open_ = saved(open_, "open")
-            if open_.isEmpty():
-                return edges
-            postings = open_
+    while not postings.isEmpty():
         # Hubs by rank: Spark limits each gram's rows before and after the shuffle.
         place = F.row_number().over(W.partitionBy("gram").orderBy("set_key"))
-        hubs = open_.withColumn("_place", place).where(F.col("_place") <= high).where(F.col("_place") > low)
-        hub_cols = [F.col("set_key").alias("b"), F.col("n").alias("nb")] + ([F.col("root").alias("rb")] if low else [])
-        pairs = open_.join(hubs.select("gram", *hub_cols), "gram").where("set_key > b")
-        pairs = pairs.where((100 * F.least("n", "nb") >= share * F.greatest("n", "nb")))
-        if low:
-            pairs = pairs.where("root != rb")
+        hubs = postings.withColumn("_place", place).where(F.col("_place") <= high).where(F.col("_place") > low)
+        hubs = hubs.select("gram", F.col("set_key").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+        pairs = postings.join(hubs, "gram").where("set_key > b AND root != rb")
+        pairs = pairs.where(100 * F.least("n", "nb") >= share * F.greatest("n", "nb"))
         pairs = pairs.select(F.col("set_key").alias("a"), "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = saved(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        found = verified(sets, pairs, share)
-        edges = saved(edges.union(found), "edges")
-        roots = components(edges).withColumnRenamed("node", "set_key")
-        postings = postings.select("gram", "set_key", "n").join(roots, "set_key", "left")
-        postings = saved(postings.select("gram", "set_key", "n", F.coalesce("root", "set_key").alias("root")), "postings")
+        if not pairs.isEmpty():
+            tested = pairs if tested is None else tested.union(pairs)
+            linked = saved(verified(sets, pairs, share), "links")
+            if not linked.isEmpty():
+                edges = linked if edges is None else edges.union(linked)
+                named = components(edges)
+                postings = postings.drop("root").join(named.withColumnRenamed("node", "set_key"), "set_key", "left")
+                postings = postings.withColumn("root", F.coalesce("root", "set_key"))
         low, high = high, high * GROWTH
+        # A list stays open while it has members past the hubs and spans several groups.
+        lists = postings.groupBy("gram").agg(F.count("*").alias("size"), F.min("root").alias("x"), F.max("root").alias("y"))
+        lists = lists.where(F.col("size") > low + 1).where("x != y").select("gram")
+        postings = saved(postings.select("gram", "set_key", "n", "root").join(lists, "gram"), "postings")
+    return named
 
 
 def verified(sets: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
@@ -312,10 +310,10 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     """
     own = nodes(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), "_text", width)
     own = saved(own.select("doc_id", "shingles.n_shingles", "shingles.set_key"), "nodes")
-    roots = components(links(docs.select(F.col(text_col)), text_col, width, share))
+    named = roots(docs.select(F.col(text_col)), text_col, width, share)
     sets = own.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("least"))
-    sets = sets.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
+    sets = sets.join(named.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
     least = sets.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = sets.select("set_key", "root").join(least, "root").select("set_key", "component_id")
-    found = own.join(named, "set_key", "left")
+    least = sets.select("set_key", "root").join(least, "root").select("set_key", "component_id")
+    found = own.join(least, "set_key", "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
