@@ -247,19 +247,24 @@ def roots(docs: DataFrame, text_col: str = "text", width: int = 5, share: int =
     found = shared.groupBy("bucket").applyInArrow(lambda t: _candidates(t, share), "set_key bigint, n bigint, shared binary, prefix array<bigint>")
     sets = saved(found, "sets")
     postings = sets.select(F.explode("prefix").alias("gram"), "set_key", "n", F.col("set_key").alias("root"))
-    grams = postings.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1")
-    postings = saved(postings.join(grams.select("gram"), "gram"), "postings")
+    # Lists with the same members give the same pairs: one of them is enough.
+    marks = F.xxhash64("set_key"), F.xxhash64("set_key", F.lit(1))
+    lists = postings.groupBy("gram").agg(F.count("*").alias("size"), *[F.bit_xor(m).alias(f"m{k}") for k, m in enumerate(marks)])
+    lists = lists.where("size > 1").groupBy("size", "m0", "m1").agg(F.min("gram").alias("gram"))
+    postings = saved(postings.join(lists.select("gram"), "gram"), "postings")
     named = spark.createDataFrame([], "node bigint, root bigint")
     edges = tested = None
-    low, high = 0, 1
+    low, high = 0, 0
     while not postings.isEmpty():
         # Hubs by rank: Spark limits each gram's rows before and after the shuffle.
         place = F.row_number().over(W.partitionBy("gram").orderBy("set_key"))
-        hubs = postings.withColumn("_place", place).where(F.col("_place") <= high).where(F.col("_place") > low)
+        hubs = postings.withColumn("_place", place).where(F.col("_place") <= max(1, high)).where(F.col("_place") > low)
         hubs = hubs.select("gram", F.col("set_key").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
         pairs = postings.join(hubs, "gram").where("set_key > b AND root != rb")
         pairs = pairs.where(100 * F.least("n", "nb") >= share * F.greatest("n", "nb"))
-        pairs = pairs.select(F.col("set_key").alias("a"), "b").distinct()
+        pairs = pairs.select(F.col("set_key").alias("a"), "b")
+        # First every set meets only the smallest hub of all its lists.
+        pairs = pairs.distinct() if high else pairs.groupBy("a").agg(F.min("b").alias("b"))
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = saved(pairs, "pairs")
@@ -271,7 +276,7 @@ def roots(docs: DataFrame, text_col: str = "text", width: int = 5, share: int =
                 named = components(edges)
                 postings = postings.drop("root").join(named.withColumnRenamed("node", "set_key"), "set_key", "left")
                 postings = postings.withColumn("root", F.coalesce("root", "set_key"))
-        low, high = high, high * GROWTH
+        low, high = high, max(1, high * GROWTH)
         # A list stays open while it has members past the hubs and spans several groups.
         lists = postings.groupBy("gram").agg(F.count("*").alias("size"), F.min("root").alias("x"), F.max("root").alias("y"))
         lists = lists.where(F.col("size") > low + 1).where("x != y").select("gram")
