@@ -12,7 +12,8 @@ members of a class are then extended to the left and right: where the whole
 surroundings (``span - 1`` words before, ``least`` from the place on) occur in
 another document, the surroundings are repeated; else each run of ``least``
 words whose first retained suffix this is goes into a comparison of runs, if
-no retained suffix inside it is known to be alone. What is found are exactly
+no retained suffix inside it is known to be alone. There the smallest and the
+largest document stand for repeated surroundings of the same class. What is found are exactly
 the words inside a run of ``least`` words that another document holds.
 
 Documents fall into buckets by hash. A bucket lists its suffixes, one entry
@@ -97,7 +98,7 @@ class Suffixes:
 
 
 _ASK = "shard int, bucket int, heads binary, arounds binary, least_doc binary, gap binary"
-_ANSWER = "bucket int, shard int, codes binary, first_doc binary"
+_ANSWER = "bucket int, shard int, codes binary, first_doc binary, last_doc binary"
 _FOUND = "doc bigint, start bigint, end bigint, first_doc bigint, run bigint"
 ALONE, FULL, UNSURE, STANDS = range(4)
 
@@ -128,7 +129,7 @@ def _answer(table: pa.Table) -> pa.Table:
     low = np.concatenate([unplanes(x, 8).view(np.int64) for x in table.column("least_doc").to_pylist()])
     high = low + np.concatenate([unplanes(x, 8).view(np.int64) for x in table.column("gap").to_pylist()])
     order = np.lexsort((arounds, heads))
-    codes, first = np.zeros(len(order), np.uint8), np.zeros(len(order), np.int64)
+    codes, first, final = np.zeros(len(order), np.uint8), np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
     if len(order):
         h, a = heads[order], arounds[order]
         new_head = np.ones(len(order), bool)
@@ -145,12 +146,13 @@ def _answer(table: pa.Table) -> pa.Table:
         code = np.where(full, np.where(all_full[head_of], FULL, STANDS), UNSURE)
         code = np.where(shared[head_of], code, ALONE)
         group = np.cumsum(new) - 1
-        codes[order], first[order] = code[group], least[group]
+        codes[order], first[order], final[order] = code[group], least[group], most[group]
     ends = np.cumsum(counts)
-    out: dict[str, list] = {"bucket": table.column("bucket").to_pylist(), "shard": table.column("shard").to_pylist(), "codes": [], "first_doc": []}
+    out: dict[str, list] = {"bucket": table.column("bucket").to_pylist(), "shard": table.column("shard").to_pylist(), "codes": [], "first_doc": [], "last_doc": []}
     for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True):
         out["codes"].append(codes[a:b].tobytes())
         out["first_doc"].append(first[a:b][codes[a:b] != ALONE].tobytes())
+        out["last_doc"].append(final[a:b][codes[a:b] == STANDS].tobytes())
     return pa.table({n: pa.array(v, pa.int32() if n in ("bucket", "shard") else pa.binary()) for n, v in out.items()})
 
 
@@ -159,9 +161,10 @@ def _extend(docs: pa.Table, answers: pa.Table, least: int) -> pa.Table:
     found = Suffixes(docs.column("text"), docs.column("doc").to_numpy(), least)
     answers = answers.sort_by("shard")
     codes, _ = flat(answers.column("codes"), np.uint8)
-    first = np.zeros(len(codes), np.int64)
+    first, final = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
     first[codes != ALONE] = flat(answers.column("first_doc"), np.int64)[0]
-    code, first = codes[found.entry], first[found.entry]
+    final[codes == STANDS] = flat(answers.column("last_doc"), np.int64)[0]
+    code, first, final = codes[found.entry], first[found.entry], final[found.entry]
     full = np.flatnonzero(((code == FULL) | (code == STANDS)) & (found.high - found.low >= least))
     doc, low, high = found.doc[full], found.low[full], found.high[full]
     new = np.ones(len(full), bool)
@@ -171,8 +174,10 @@ def _extend(docs: pa.Table, answers: pa.Table, least: int) -> pa.Table:
     last = np.append(begin[1:], len(full)) - 1
     smallest = np.minimum.reduceat(first[full], begin) if len(begin) else np.zeros(0, np.int64)
     # Runs whose suffix is unsure, or stands for its surroundings, and that hold no suffix that is alone.
+    # Two documents stand, so that each also meets the other's runs where it is unsure itself.
     owner = found.run_owner
-    wanted = (code[owner] == UNSURE) | ((code[owner] == STANDS) & (found.doc[owner] == first[owner]))
+    stands = (found.doc[owner] == first[owner]) | (found.doc[owner] == final[owner])
+    wanted = (code[owner] == UNSURE) | ((code[owner] == STANDS) & stands)
     alone = np.concatenate([[0], np.cumsum(code == ALONE)])
     own = owner[wanted]
     clear = alone[found.run_last[wanted] + 1] == alone[own]

@@ -183,6 +183,19 @@ def test_passages(spark):
     assert suffix_dedup.repeats(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("ids", [(1, 2), (2, 1), (1, 2, 3), (2, 1, 3), (3, 2, 1)])
+def test_passage_that_one_document_holds_twice(spark, ids):
+    count = iter(range(10_000))
+    a, b, c, d, e = ([f"w{next(count)}" for _ in range(100)] for _ in range(5))
+    p = [f"w{next(count)}" for _ in range(60)]
+    texts = [a + p + b + p + c, a + p + b + d, e + a + p + b]
+    rows = [(i, " ".join(t)) for i, t in zip(ids, texts, strict=False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_dedup.repeats(docs).collect()
+    assert sorted((r["doc_id"], r["start_word"], r["end_word"]) for r in got) == brute_passages(rows)
+    assert {r["first_doc_id"] for r in got} == {1}
+
+
 def brute_groups(rows, width=5, share=80):
     sets = []
     for _, t in rows:
