@@ -13,8 +13,13 @@ the values they introduce form a graph that is scored in rounds:
 * a value's score is 1 for seeds, else 1 - prod(1 - score) over its patterns,
   and 0 if it has no digit or is short.
 
-After the last round a pattern with enough distinct seeds and a high score
-marks all its identifier-like values, also those no seed looks like.
+A pattern with a high score and enough distinct seeds is accepted. From then on
+its identifier-like values count as seeds for the other patterns that have
+them, so a round admits patterns without any seed of their own, one step further. After
+the last round an accepted pattern marks all its identifier-like values, also
+those no seed looks like.
+
+A field's value is searched for further fields (``url=...?token=...``).
 """
 
 from __future__ import annotations
@@ -33,9 +38,14 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-FIELD = r"(?<![A-Za-z0-9_])[A-Za-z_][A-Za-z0-9_.-]{0,40}+\x20?[:=#]\x20?[\"']?[^\s\"']++"
-_LABEL = r"^([A-Za-z_][A-Za-z0-9_.-]*)\x20?([:=#])"
-_HEAD = r"^[A-Za-z_][A-Za-z0-9_.-]*\x20?[:=#]\x20?[\"']?"
+#: A label of any length, also in quotes. A long run without a sign is a match too, so that it is read once; ``_valid`` drops it.
+_NAME, _LONG = r"(?<![A-Za-z0-9_])[A-Za-z_][A-Za-z0-9_.-]*+", r"(?<=[A-Za-z0-9_.-]{42})"
+_SIGN = r"[\"']?\x20?[:=#]\x20?[\"']?"
+FIELD = rf"{_NAME}(?:{_SIGN}[^\s\"']++|{_LONG})"
+#: Fields inside a field's value, up to the next separator.
+INNER = rf"{_NAME}(?:[:=#][^&;,?:=#]++={{0,2}}+(?=[&;,?]|$)|{_LONG})"
+_LABEL = r"^([A-Za-z_][A-Za-z0-9_.-]*)[\"']?\x20?([:=#])"
+_HEAD = rf"^[A-Za-z_][A-Za-z0-9_.-]*{_SIGN}"
 _TAIL = r"[.,;:!?)\]}>|*#&$%]+$"
 ID = "id"
 _SPAN = "array<struct<kind: string, start: bigint, end: bigint, value: string>>"
@@ -54,6 +64,8 @@ def _valid(kind: str, value: Column) -> Column:
         return F.length(number).between(12, 19) & F.call_function("luhn_check", number)
     if kind == "phone":
         return F.length(_digits(value)).between(9, 15)
+    if kind == "field":
+        return value.rlike("[:=#]")
     return F.lit(True)
 
 
@@ -97,21 +109,28 @@ def _seed(value: Column) -> Column:
     return F.coalesce(long_mix | fixed, F.lit(False))
 
 
-def scored_patterns(fields: DataFrame, rounds: int = 3) -> DataFrame:
-    """(label, score, seeds) from (label, value) rows, by rounds over the graph of both."""
+def scored_patterns(fields: DataFrame, rounds: int = 3, least_score: float = 0.6, least_seeds: int = 3) -> DataFrame:
+    """(label, score, seeds) from (label, value) rows, by rounds over the graph of both.
+
+    ``seeds`` counts the seeds and the values that another label, accepted in the round before, introduces.
+    """
     edges = fields.groupBy("label", "value").agg(F.count("*").alias("n"))
     edges = saved(edges.select("label", "value", _identifier(F.col("value")).alias("like"), _seed(F.col("value")).alias("seed")), "edges")
     patterns = None
     for _ in range(rounds):
         if patterns is None:
-            scores = edges.withColumn("s", F.col("seed").cast("double"))
+            scores = edges.withColumn("s", F.col("seed").cast("double")).withColumn("known", F.col("seed"))
         else:
             # 1 - prod(1 - score) over the value's patterns, from sums of logarithms.
             doubt = F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999))))
-            values = edges.where("like AND NOT seed").join(patterns, "label").groupBy("value").agg((1 - F.exp(doubt)).alias("v"))
+            good = F.when((F.col("score") >= least_score) & (F.col("seeds") >= least_seeds), F.col("label"))
+            values = edges.where("like AND NOT seed").join(patterns, "label").groupBy("value")
+            values = values.agg((1 - F.exp(doubt)).alias("v"), F.min(good).alias("good"), F.max(good).alias("good_too"))
             scores = edges.join(values, "value", "left")
-            scores = scores.withColumn("s", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("v", F.lit(0.0))))
-        sums = scores.groupBy("label").agg(F.avg("s").alias("score"), F.sum(F.col("seed").cast("long")).alias("seeds"))
+            # A label does not support itself: a value counts if an accepted label other than this one has it.
+            other = F.coalesce((F.col("good") != F.col("label")) | (F.col("good_too") != F.col("label")), F.lit(False))
+            scores = scores.withColumn("s", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("v", F.lit(0.0)))).withColumn("known", F.col("seed") | other)
+        sums = scores.groupBy("label").agg(F.avg("s").alias("score"), F.sum(F.col("known").cast("long")).alias("seeds"))
         patterns = saved(sums, "patterns")
     return patterns
 
@@ -147,11 +166,14 @@ def extract(
     table = saved(rows.select("doc_id", key.alias("row_key"), F.array_sort(base, before).alias("base"), fields.alias("fields")), "spans")
     head = F.length(F.regexp_extract("value", _HEAD, 0))
     one = table.where(F.size("fields") > 0).select("row_key", "base", F.inline("fields"))
+    rest, at = F.substring(F.col("value"), head + 1, F.length("value")), F.col("start") + head
+    within = F.transform(found(rest, "field", INNER, rest.rlike("[:=#]")), lambda s: F.struct((at + s["start"]).alias("start"), s["value"].alias("value")))
+    one = one.select("row_key", "base", F.inline(F.concat(F.array(F.struct("start", "value")), within)))
     label = F.concat(F.lower(F.regexp_extract("value", _LABEL, 1)), F.regexp_extract("value", _LABEL, 2))
     value = F.regexp_replace(F.substring(F.col("value"), head + 1, F.length("value")), _TAIL, "")
     one = one.select("row_key", "base", label.alias("label"), value.alias("value"), (F.col("start") + head).alias("start"))
     one = saved(one.where("value != ''").distinct(), "fields")
-    good = scored_patterns(one.select("label", "value"), rounds)
+    good = scored_patterns(one.select("label", "value"), rounds, least_score, least_seeds)
     good = good.where((F.col("score") >= least_score) & (F.col("seeds") >= least_seeds))
     end = F.col("start") + F.length("value")
     clear = ~F.exists("base", lambda b: (b["start"] < end) & (b["end"] > F.col("start")))

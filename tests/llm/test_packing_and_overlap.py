@@ -290,6 +290,22 @@ def test_patterns_find_identifiers_that_no_seed_looks_like(spark):
     assert texts[8][span["start"] : span["end"]] == "abc-12345"
 
 
+def test_patterns_spread_over_shared_values(spark):
+    long = "the_" * 20 + "key"
+    texts = [f"token={hashlib.sha1(str(i).encode()).hexdigest()} end" for i in range(20)]
+    texts += [f"{label}=AB-{i}2345 end" for i in range(4) for label in ("token", "acct", long)]
+    texts += [f'{{"token": "AB-{i}2345"}}' for i in range(4)]
+    texts += ["acct=ZX-99", "acct=ZX-991", f"{long}=QQ-771", 'a "token": "JS-551" b', "url=http://a.b/?q=1&token=UR-661&z=2", "x " + "a-" * 50_000 + "=", "b-" * 50_000 + " 1"]
+    # A label with two seeds and values of its own does not support itself.
+    texts += [f"own={hashlib.sha1(str(-i).encode()).hexdigest()} end" for i in (1, 2)] + ["own=OW-123"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: [(s["start"], s["end"]) for s in r["more"]] for r in pii.extract(docs).collect()}
+    got = {texts[i][a:b] for i, spans in rows.items() for a, b in spans}
+    assert {"ZX-991", "QQ-771", "JS-551", "UR-661"} <= got
+    assert not {"ZX-99", "OW-123"} & got
+    assert {texts[i][a:b] for i in range(20, 36) for a, b in rows[i]} == {f"AB-{i}2345" for i in range(4)}
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([("é a@b.cd, 1.2.3.4!",), ("none",)], "t string").withColumn("spans", pii.found(F.col("t"), "email", pii.PATTERNS["email"], F.lit(True)))
     assert [r[0] for r in df.select(pii.redacted(F.col("t"), F.col("spans"))).collect()] == ["é <email>, 1.2.3.4!", "none"]
