@@ -322,3 +322,20 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     least = sets.select("set_key", "root").join(least, "root").select("set_key", "component_id")
     found = own.join(least, "set_key", "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, share: int = 80) -> DataFrame:
+    """(doc_id, mark), distinct, of the rows that are not the first of their group; mark is ``xxhash64`` of the text.
+
+    The first has the smallest (doc_id, mark), null ids last. Texts without
+    words are alone. Rows that repeat both id and text are one here.
+    """
+    own = nodes(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), "_text", width)
+    own = saved(own.where("shingles.set_key IS NOT NULL").select("doc_id", F.xxhash64("_text").alias("mark"), "shingles.set_key"), "nodes")
+    named = roots(docs.select(F.col(text_col)), text_col, width, share)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    sets = own.groupBy("set_key").agg(F.min(place).alias("first"))
+    sets = sets.join(named.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
+    first = sets.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
+    return own.select("doc_id", "mark").distinct().join(first, same, "left_anti")

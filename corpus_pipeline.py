@@ -19,10 +19,14 @@ from changefeed.llm import decontamination, jaccard_join, packing, pii, quality_
 from changefeed.llm.components import saved
 
 
+#: The text has a character other than ASCII blanks.
+HAS_WORDS = r"[^\x20\x09-\x0D]"
+
+
 def unused(docs: DataFrame, name: str) -> str:
     """The name, with underscores before it as long as a column of ``docs`` has it."""
     taken = {c.lower() for c in docs.columns}
-    while name.lower() in taken or f"{name}_more".lower() in taken:
+    while name.lower() in taken or any(f"{name}_{x}".lower() in taken for x in ("more", "id", "gone")):
         name = f"_{name}"
     return name
 
@@ -35,17 +39,22 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of near-duplicates; of rows that repeat an id, one (smallest text)."""
-    groups = saved(jaccard_join.groups(docs.select("doc_id", "text")), "groups")
-    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
-    again = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The first row (smallest id, null last) of each group of near-duplicates; of rows that repeat id and text, one.
+
+    Different texts with one id are judged apart. Rows without id and words all stay.
+    """
+    mark, order = unused(docs, "mark"), unused(docs, "place")
+    gone = saved(jaccard_join.copies(docs.select("doc_id", "text")), "copies").select(F.col("doc_id").alias(f"{mark}_id"), F.col("mark").alias(f"{mark}_gone"))
+    rows = docs.withColumn(mark, F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col(f"{mark}_id")) & (F.col(mark) == F.col(f"{mark}_gone"))
+    kept = rows.join(gone, same, "left_anti")
+    again = rows.where(F.col("doc_id").isNotNull() | F.coalesce(F.col("text").rlike(HAS_WORDS), F.lit(False))).groupBy("doc_id", mark).count().where("count > 1")
+    again = saved(again.select(F.col("doc_id").alias(f"{mark}_id"), F.col(mark).alias(f"{mark}_gone")), "again")
     if again.isEmpty():
-        return kept
-    order = unused(docs, "place")
-    first = kept.join(again, "doc_id", "left_semi").withColumn(order, F.row_number().over(W.partitionBy("doc_id").orderBy("text")))
+        return kept.select(*docs.columns)
+    first = kept.join(again, same, "left_semi").withColumn(order, F.row_number().over(W.partitionBy("doc_id", mark).orderBy(mark)))
     once = first.where(F.col(order) == 1).select(*docs.columns)
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    return kept.join(again, same, "left_anti").select(*docs.columns).unionByName(once)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,15 @@ def test_stage_takes_hard_rows_and_clashing_columns(spark, tmp_path, name, stage
         assert all(r["rules"] == "r" and r["spans"] == "s" for r in out.collect())
 
 
+def test_first_rows_where_texts_share_an_id(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcd")
+    rows = [(1, a), (5, a), (5, b), (5, b), (6, c), (6, d), (None, a), (None, "n " + d[:20]), (None, "n " + d[:20]), (7, ""), (7, ""), (8, b + " end"), (None, None), (None, None), (9, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.keep_first(spark, docs, "").collect()]
+    want = [(1, a), (5, b), (6, c), (6, d), (None, "n " + d[:20]), (7, ""), (None, None), (None, None), (9, None), (9, "")]
+    assert collections.Counter(got) == collections.Counter(want)
+
+
 def plain_stages(docs, items):
     """docs after deduplication and decontamination, from the definitions."""
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
