@@ -12,6 +12,7 @@ from changefeed.llm import (
     jaccard_join,
     language_id,
     language_model,
+    manifest,
     packing,
     pii,
     quality_classifier,
@@ -19,6 +20,7 @@ from changefeed.llm import (
     suffix_dedup,
     toxicity,
 )
+from changefeed.llm.oracles import ORACLES
 from changefeed.llm.sampling import crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +116,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.groups(table(spark, sf_dir, "documents"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(crc_mod("doc_id", 5) == 0, manifest.leaf(text=lowered))
+    proved = manifest.proofs(manifest.build(docs, tampered=tampered))
+    fold = manifest.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    checked = proved.select("doc_id", "leaf", "subroot", "root", manifest.siblings(F.col("path")).alias("proof_sha256"), fold.alias("folded_root"))
+    return checked.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
@@ -125,6 +139,5 @@ QUERIES: dict[str, Query] = {
     "op8_language_model": op8_language_model,
     "op9_quality_ranking": op9_quality_ranking,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_manifest": op11_manifest,
 }
-
-ORACLES: dict[str, str] = {}
