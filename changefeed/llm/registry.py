@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefeed.llm import (
+    alignment,
     decontamination,
     jaccard_join,
     language_id,
@@ -126,6 +127,14 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = alignment.aligned(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Query] = {
@@ -140,4 +149,5 @@ QUERIES: dict[str, Query] = {
     "op9_quality_ranking": op9_quality_ranking,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_manifest": op11_manifest,
+    "op12_alignment": op12_alignment,
 }
