@@ -303,7 +303,7 @@ def pair_counts(cut: DataFrame) -> DataFrame:
 def aligned(docs: DataFrame, byte_level: str, pieces: str, **options) -> DataFrame:
     """Per document n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 (and groups, if asked for)."""
     cut = saved(sliced(docs, byte_level, pieces, **options), "slices")
-    asked = cut.select("slice", F.explode("pairs").alias("pair")).join(pair_counts(cut), "pair")
+    asked = cut.select(F.col("slice").alias("asked"), F.explode("pairs").alias("pair")).join(pair_counts(cut), "pair")
     own = cut.schema["docs"].dataType.elementType
     schema = StructType([*own.fields, StructField("n_best", LongType()), StructField("count_sum", LongType())])
 
@@ -320,4 +320,4 @@ def aligned(docs: DataFrame, byte_level: str, pieces: str, **options) -> DataFra
         columns = [found.field(k) for k in range(len(own.fields))]
         return pa.Table.from_arrays([*columns, pa.array(per_doc(bests[which], at)), pa.array(per_doc(sums[which], at))], names=schema.names)
 
-    return cut.drop("pairs", "counts").groupBy("slice").cogroup(asked.groupBy("slice")).applyInArrow(answered, schema)
+    return cut.drop("pairs", "counts").groupBy("slice").cogroup(asked.groupBy("asked")).applyInArrow(answered, schema)
