@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from changefeed.llm import (
     alignment,
     decontamination,
+    hierarchical,
     jaccard_join,
     language_id,
     language_model,
@@ -135,6 +136,13 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op13_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return hierarchical.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Query] = {
@@ -150,4 +158,5 @@ QUERIES: dict[str, Query] = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_manifest": op11_manifest,
     "op12_alignment": op12_alignment,
+    "op13_hierarchical_packing": op13_hierarchical_packing,
 }
