@@ -6,9 +6,9 @@ tokens of one character, byte-fallback tokens, the space put before a text),
 it is refined by the decoded bytes. Places at which both end are group ends;
 every stretch between two ends of either is one overlapping pair.
 
-Neither tokenizer joins a character other than white space with a space after
-it (checked when the vocabulary is read), so texts are cut there, and each
-distinct chunk of a slice of texts is encoded once.
+Neither tokenizer joins a character other than white space with a space or line
+end after it, nor with a line end before it (checked when the vocabulary is
+read), so texts are cut there, and each distinct chunk is encoded once.
 
 Documents are read once. A slice keeps, as one row of a written table, its
 distinct pairs and which chunks its documents have; the pairs are summed up
@@ -29,21 +29,19 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
-from changefeed.llm.blobs import binary, flat
+from changefeed.llm.blobs import packed, unpacked
 from changefeed.llm.chunks import Numbers, chunks, ranges
 from changefeed.llm.components import saved
 from changefeed.llm.text import Slice, per_doc, slices
 
 #: Distinct chunks (and bytes of them) that a worker remembers between slices.
-MEMO_CHUNKS, MEMO_BYTES = 300_000, 24 << 20
+MEMO_CHUNKS, MEMO_BYTES = 500_000, 32 << 20
 #: Chunks that are new to a worker are encoded together, in texts of about this size.
 JOINED_BYTES = 1 << 16
-_LOW = np.uint64(0xFFFFFFFF)
 
 
 def byte_signs() -> dict[str, int]:
@@ -60,23 +58,30 @@ class Vocabulary:
 
     def finish(self) -> None:
         self.size = np.array([len(d) for d in self.decoded], np.int64)
-        across = [d for d in self.decoded if b" " in d[1:] and cuts(np.frombuffer(d, np.uint8)).any()]
+        blank = [d for d in self.decoded if b" " in d[1:] or b"\n" in d[:-1] or b"\n" in d[1:]]
+        across = [d for d in blank if cuts(np.frombuffer(d, np.uint8))[1:].any()]
         if across:
-            raise ValueError(f"tokens that span a word and a space after it: {across[:3]}")
+            raise ValueError(f"tokens over a place where texts are cut: {across[:3]}")
 
     def encode(self, text: str) -> tuple[list[int], list[int]]:
         """Ids, and the byte of the text at which each token ends as far as the tokenizer says."""
         raise NotImplementedError
 
     def one(self, data: bytes) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids and ends of a text; None if the tokens' bytes are not the text's."""
-        ids, coarse = self.encode(data.decode())
-        if b"".join([self.decoded[i] for i in ids]) != data:
+        """Ids and ends of a text; None if the tokens' bytes are not the text's.
+
+        A text that does not begin with a space stands behind a word (and a
+        line end), after which texts are cut too.
+        """
+        guard = b"" if data[:1] == b" " else b" a" if data[:1] == b"\n" else b" a\n"
+        ids, coarse = self.encode((guard + data).decode())
+        if b"".join([self.decoded[i] for i in ids]) != guard + data:
             return None
         own, cut = np.array(ids, np.int64), np.array(coarse, np.int64)
         # A coarse cut stands where the bytes of the tokens before it agree; others lie inside a character, and bytes tell where.
         fine = np.cumsum(self.size[own])
-        return own, np.where(cut == fine, cut, fine)
+        ends = np.where(cut == fine, cut, fine) - len(guard)
+        return own[ends > 0], ends[ends > 0]
 
     def tokens(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all chunks after each other, their ends (from each chunk's begin), how many a chunk has, and if its bytes come back.
@@ -156,18 +161,18 @@ class Pieces(Vocabulary):
 
 
 def cuts(data: np.ndarray) -> np.ndarray:
-    """True at spaces after a character that no tokenizer takes for white space (some others are left uncut)."""
+    """True at spaces and line ends after a character that no tokenizer takes for
+    white space, and at such a character after a line end (some places are left uncut)."""
     before = np.concatenate([[0], data[:-1]])
-    word = (before > 0x20) & (before < 0x7F)
-    # The last byte of a longer character, unless its first one begins white space (or U+2581) too.
-    lead = np.zeros(len(data), np.uint8)
-    for back in (2, 3, 4):
-        if len(data) > back:
-            first = data[:-back]
-            size = np.where(first >= 0xF0, 4, np.where(first >= 0xE0, 3, np.where(first >= 0xC0, 2, 0)))
-            lead[back:] = np.where((size == back) & (before[back:] >= 0x80), first, lead[back:])
-    word |= (lead >= 0xC3) & ~np.isin(lead, (0xE1, 0xE2, 0xE3, 0xEF))
-    return (data == 0x20) & word
+    plain = (data > 0x20) & (data < 0x7F)
+    # First bytes of longer characters, but of those that white space (or U+2581) begins with too.
+    long = (data >= 0xC3) & ~np.isin(data, (0xE1, 0xE2, 0xE3, 0xEF))
+    size = np.where(data >= 0xF0, 4, np.where(data >= 0xE0, 3, 2))
+    ends = np.zeros(len(data) + 4, bool)  # after the last byte of a word's character
+    ends[np.flatnonzero(plain) + 1] = True
+    first = np.flatnonzero(long)
+    ends[first + size[first]] = True
+    return ((data == 0x20) | (data == 0x0A)) & ends[: len(data)] | (before == 0x0A) & (plain | long)
 
 
 class Aligned:
@@ -249,9 +254,18 @@ def _slice_row(part: Slice, ids: pa.Array, memo: Aligned, keep: bool) -> dict:
     written, order = [memo.written[k] for k in numbers.tolist()], local.tolist()
     texts = ["".join([written[k] for k in order[x:y]])[:-1] for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
     digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
+    # The order of a document's chunks no longer matters: common chunks get small numbers, and steps between sorted ones stay small.
+    times = np.bincount(local, minlength=len(used))
+    common = np.argsort(-times, kind="stable")
+    place = np.empty(len(used), np.int64)
+    place[common] = np.arange(len(used))
+    numbers, times = numbers[common], times[common]
+    doc = np.repeat(np.arange(part.n), n) * len(used)
+    inside = np.sort(doc + place[local]) - doc
+    steps = np.diff(inside, prepend=0)
+    steps[at[:-1][n > 0]] = inside[at[:-1][n > 0]]
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"] + ["groups"] * keep
     own = pa.StructArray.from_arrays([ids, *[pa.array(f) for f in figures], pa.array(digests), *([pa.array(texts)] if keep else [])], names)
-    times = np.bincount(local, minlength=len(used))
     links = memo.facts[numbers, 3] * (times > 0)
     begin = np.cumsum(memo.facts[:, 3]) - memo.facts[:, 3]
     flat_pairs = memo.pairs[ranges(begin[numbers], links)]
@@ -259,10 +273,10 @@ def _slice_row(part: Slice, ids: pa.Array, memo: Aligned, keep: bool) -> dict:
     counts = np.bincount(which, np.repeat(times, links), len(pairs)).astype(np.int64)
     return {
         "docs": own,
-        "n_chunks": n.astype("<u4").tobytes(),
-        "chunks": local.astype("<u2" if len(used) <= 1 << 16 else "<u4").tobytes(),
-        "chunk_pairs": links.astype("<u4").tobytes(),
-        "pair_of": which.astype("<u4").tobytes(),
+        "n_chunks": packed(n),
+        "chunks": packed(steps),
+        "chunk_pairs": packed(links),
+        "pair_of": packed(which),
         "pairs": pairs.astype(np.int64),
         "counts": counts,
     }
@@ -310,12 +324,12 @@ def aligned(docs: DataFrame, byte_level: str, pieces: str, **options) -> DataFra
     def answered(left: pa.Table, right: pa.Table) -> pa.Table:
         order = np.argsort(right["pair"].to_numpy())
         n, best = right["n"].to_numpy()[order], right["best"].to_numpy()[order].astype(np.int64)
-        chunk = flat(left["chunk_pairs"], "<u4")[0].astype(np.int64)
-        of = flat(left["pair_of"], "<u4")[0]
-        at = np.concatenate([[0], np.cumsum(chunk)])
+        size, steps, links, of = (unpacked(left[name][0].as_py()) for name in ("n_chunks", "chunks", "chunk_pairs", "pair_of"))
+        at = np.concatenate([[0], np.cumsum(links)])
         sums, bests = per_doc(n[of], at), per_doc(best[of], at)
-        which = flat(left["chunks"], "<u2" if len(chunk) <= 1 << 16 else "<u4")[0]
-        at = np.concatenate([[0], np.cumsum(flat(left["n_chunks"], "<u4")[0].astype(np.int64))])
+        at = np.concatenate([[0], np.cumsum(size)])
+        total = np.concatenate([[0], np.cumsum(steps)])
+        which = total[1:] - np.repeat(total[at[:-1]], size)
         found = left["docs"].combine_chunks().flatten()
         columns = [found.field(k) for k in range(len(own.fields))]
         return pa.Table.from_arrays([*columns, pa.array(per_doc(bests[which], at)), pa.array(per_doc(sums[which], at))], names=schema.names)

@@ -38,3 +38,17 @@ def unplanes(data: bytes, size: int) -> np.ndarray:
     out = np.zeros((planes.shape[1], 8), np.uint8)
     out[:, :size] = planes.T
     return out.view("<u8").ravel()
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers from 0 in as few bytes as the largest needs, compressed; the first 9 bytes tell that size and the count."""
+    size = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    head = bytes([size]) + len(values).to_bytes(8, "little")
+    return head + (pa.compress(planes(values, size), codec="zstd", asbytes=True) if len(values) else b"")
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    size, count = data[0], int.from_bytes(data[1:9], "little")
+    if not count:
+        return np.zeros(0, np.int64)
+    return unplanes(pa.decompress(data[9:], size * count, codec="zstd"), size).astype(np.int64)
