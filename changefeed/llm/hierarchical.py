@@ -40,18 +40,43 @@ from pyspark.sql.window import Window as W
 from changefeed.llm.blobs import binary
 from changefeed.llm.chunks import Numbers, chunks, ranges
 from changefeed.llm.components import saved
-from changefeed.llm.text import BLANKS, Slice, per_doc, slices
+from changefeed.llm.text import BLANKS, Slice, lowered, per_doc, slices
 
-#: Distinct words (and bytes of them) that a worker remembers between slices.
-MEMO_WORDS, MEMO_BYTES = 300_000, 24 << 20
-JOINED = 4_000
+#: Distinct runs (and bytes of them) that a worker remembers between slices.
+MEMO_RUNS, MEMO_BYTES = 500_000, 24 << 20
+JOINED = 5_000
+
+_LETTERS, _DIGITS, _SIGNS, _BLANK = 1, 2, 3, 4
+
+
+def _byte_kinds() -> np.ndarray:
+    kinds = np.where(BLANKS, _BLANK, 0).astype(np.uint8)  # 0: others, cut from blanks alone
+    kinds[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTERS
+    kinds[range(0x30, 0x3A)] = _DIGITS
+    kinds[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'"]] = _SIGNS
+    return kinds
+
+
+_KINDS = _byte_kinds()
+
+
+def kinds_of(data: np.ndarray) -> np.ndarray:
+    """Kind of each byte; Latin letters of two bytes (U+00C0-U+017F but two signs and U+0130) are letters."""
+    kinds = _KINDS[data]
+    lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC5))
+    first, second = data[lead], data[lead + 1]
+    sign = (first == 0xC3) & ((second == 0x97) | (second == 0xB7)) | (first == 0xC4) & (second == 0xB0)
+    lead = lead[~sign]
+    kinds[lead] = kinds[lead + 1] = _LETTERS
+    return kinds
 
 
 class WordIds:
-    """Token ids of texts; each distinct word, with the blanks after it, is encoded once.
+    """Token ids of texts; each distinct run of letters, digits, signs or blanks is encoded once.
 
-    The vocabulary's splitter drops blanks and joins nothing over them, and no
-    special token has one.
+    The vocabulary's splitter drops blanks and joins nothing over them, nor
+    letters, digits and signs (but the apostrophe) with each other, and it
+    lowers letters. Texts that spell a special token are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -59,8 +84,11 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
-        self.numbers = Numbers(MEMO_WORDS, MEMO_BYTES)
+        self.special = [t.content.encode() for t in self.model.get_added_tokens_decoder().values()]
+        size = self.model.get_vocab_size()
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.last = np.array([(self.model.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.numbers = Numbers(MEMO_RUNS, MEMO_BYTES)
         self.clear()
 
     def clear(self) -> None:
@@ -68,31 +96,50 @@ class WordIds:
         self.size = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def learn(self, words: list[bytes]) -> None:
-        texts = [w.decode() for w in words]
-        plain = [k for k, t in enumerate(texts) if t.isascii()]
-        found: list = [None] * len(texts)
-        # Offsets of ASCII text are places in it, so many words can be one text.
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, runs: list[bytes]) -> None:
+        length = np.array([len(r) for r in runs], np.int64)
+        kinds = kinds_of(np.frombuffer(b"".join(runs), np.uint8))
+        at = np.cumsum(length) - length
+        low, high = np.minimum.reduceat(kinds, at), np.maximum.reduceat(kinds, at)
+        # Words that the splitter makes of a run: digits stand alone.
+        words = np.where(low != high, 0, np.where(high == _DIGITS, length, ((high == _LETTERS) | (high == _SIGNS)).astype(np.int64)))
+        plain = np.flatnonzero(words)
+        rest, found, sizes, who = [np.flatnonzero((words == 0) & (high != _BLANK))], [], [], []
         for i in range(0, len(plain), JOINED):
             some = plain[i : i + JOINED]
-            # A blank after each: the last word of a document has none.
-            one = self.model.encode("".join([texts[k] + " " for k in some]), add_special_tokens=False)
-            ids = np.array(one.ids, np.uint32)
-            begin = np.array([b for b, _ in one.offsets], np.int64)
-            stops = np.searchsorted(begin, np.cumsum([len(texts[k]) + 1 for k in some]))
-            for k, own in zip(some, np.split(ids, stops[:-1]), strict=True):
-                found[k] = own
-        others = [k for k, f in enumerate(found) if f is None]
-        for k, one in zip(others, self.model.encode_batch([texts[k] for k in others], add_special_tokens=False), strict=True):
-            found[k] = np.array(one.ids, np.uint32)
-        self.size = np.concatenate([self.size, np.array([len(f) for f in found], np.int64)])
-        self.ids = np.concatenate([self.ids, *found])
-
-    def of(self, part: Slice) -> tuple[np.ndarray, np.ndarray]:
+            ids = np.array(self.encode([b" ".join([runs[k] for k in some.tolist()]).decode()])[0], np.uint32)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != words[some].sum():
+                rest.append(some)
+                continue
+            found.append(ids)
+            sizes.append(np.diff(ends[np.cumsum(words[some]) - 1], prepend=0))
+            who.append(some)
+        others = np.concatenate(rest)
+        own = self.encode([runs[k].decode() for k in others.tolist()])
+        found += [np.array(x, np.uint32) for x in own]
+        sizes.append(np.array([len(x) for x in own], np.int64))
+        who.append(others)
+        who = np.concatenate(who)
+        size = np.zeros(len(runs), np.int64)
+        size[who] = np.concatenate(sizes)
+        ids = np.concatenate([np.zeros(0, np.uint32), *found])
+        # In the order of the runs' numbers.
+        begin = np.zeros(len(runs), np.int64)
+        begin[who] = np.cumsum(size[who]) - size[who]
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, ids[ranges(begin, size)]])
+
+    def of(self, original: Slice) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents of a slice after each other, and how many each has."""
-        inside = ~BLANKS[part.bytes]
-        new = inside.copy()
-        new[1:] &= ~inside[:-1]
+        part = Slice(lowered(original.data), original.offsets, original.first)
+        kinds = kinds_of(part.bytes)
+        new = np.ones(len(kinds), bool)
+        a, b = kinds[:-1], kinds[1:]
+        new[1:] = (a != b) & ((a > 0) & (b > 0) | (a == _BLANK) | (b == _BLANK))
         local, found, at = chunks(part, new)
         if self.numbers.full:
             self.clear()
@@ -100,8 +147,15 @@ class WordIds:
         if fresh:
             self.learn(fresh)
         begin = np.cumsum(self.size) - self.size
-        word = numbers[local]
-        return self.ids[ranges(begin[word], self.size[word])], per_doc(self.size[word], at)
+        run = numbers[local]
+        ids, size = self.ids[ranges(begin[run], self.size[run])], per_doc(self.size[run], at)
+        if any(token in part.data for token in self.special):
+            texts = np.split(ids, np.cumsum(size)[:-1])
+            for i in range(part.n):
+                if any(token in part.text(i) for token in self.special):
+                    texts[i] = np.array(self.encode([original.text(i).decode()])[0], np.uint32)
+            ids, size = np.concatenate(texts), np.array([len(t) for t in texts], np.int64)
+        return ids, size
 
 
 @cache
