@@ -61,4 +61,87 @@ SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = roo
   FROM w {' '.join(joins)})"""
 
 
-ORACLES: dict[str, str] = {"op11_manifest": _manifest()}
+_WORD = r"[^\x20\x09-\x0D]+"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _words(table: str, key: str, pattern: str, lower: bool = True) -> str:
+    """(key, w): the words of each text."""
+    text = "coalesce(text, '')"
+    text = f"translate({text}, '{_UPPER}', '{_LOWER}')" if lower else text
+    return f"SELECT {key}, regexp_extract_all({text}, '{pattern}') AS w FROM {table}"
+
+
+def _window(words: str, begin: str, size: str) -> str:
+    return f"array_to_string({words}[{begin} : {begin} + {size} - 1], ' ')"
+
+
+_DECONTAMINATION = f"""
+WITH d AS ({_words('documents', 'doc_id', _ALNUM)}),
+items AS (SELECT item_id, w, least(13, len(w)) AS size FROM ({_words('benchmark', 'item_id', _ALNUM)}) WHERE len(w) > 0),
+grams AS (
+  SELECT DISTINCT item_id, size, {_window('w', 'i', 'size')} AS gram
+  FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM items)),
+places AS (
+  SELECT doc_id, size, i, {_window('w', 'i', 'size')} AS gram
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM d, (SELECT DISTINCT size FROM items) WHERE len(w) >= size)),
+found AS (SELECT doc_id, i, size, item_id FROM places JOIN grams USING (size, gram)),
+hits AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS k FROM found) GROUP BY doc_id),
+told AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN told USING (doc_id)"""
+
+_JACCARD = f"""
+WITH RECURSIVE d AS ({_words('documents', 'doc_id', _WORD)}),
+grams AS (
+  SELECT DISTINCT doc_id, {_window('w', 'i', 'least(5, len(w))')} AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+near AS (SELECT a, b FROM links UNION SELECT near.a, links.b FROM near JOIN links ON near.b = links.a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(least_id, d.doc_id)) AS component_id
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS least_id FROM near GROUP BY a) USING (doc_id)"""
+
+_QUALITY = f"""
+WITH d AS ({_words('documents', 'doc_id', _WORD, lower=False)}),
+repeats AS (
+  SELECT doc_id, count(DISTINCT k) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 5)) AS k FROM (
+      SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS times FROM (
+        SELECT doc_id, i, {_window('w', 'i', '5')} AS gram
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5))) WHERE times > 1)
+  GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (
+    SELECT doc_id, unnest(str_split(coalesce(text, ''), chr(10))) AS line FROM documents)
+  WHERE regexp_matches(line, '{_WORD}') GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+       length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+       coalesce(lines.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words,
+       len(w) < 10 OR 100 * coalesce(repeats.n, 0) > 20 * len(w) AS base_failed
+FROM d JOIN documents USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)"""
+
+_TOKENS = f"""
+WITH d AS ({_words('documents', 'doc_id', _WORD)}),
+tokens AS (
+  SELECT doc_id, {_crc32('doc_id::VARCHAR')} % 7 = 2 AS held_out, unnest(list_append(w, '')) AS token FROM d),
+counts AS (SELECT token, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY token)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, (SELECT sum(c)::BIGINT FROM counts) AS train_tokens,
+       round(sum(log10((coalesce(c, 0) + 1) / ((SELECT sum(c) FROM counts) + (SELECT count(*) FROM counts) + 1)::DOUBLE)), 4) AS base_score
+FROM tokens LEFT JOIN counts USING (token) GROUP BY doc_id, held_out"""
+
+ORACLES: dict[str, str] = {
+    "op7_decontamination": _DECONTAMINATION,
+    "op10_jaccard_join": _JACCARD,
+    "op11_manifest": _manifest(),
+    "quality_counts": _QUALITY,
+    "token_scores": _TOKENS,
+}

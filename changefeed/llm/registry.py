@@ -143,6 +143,18 @@ def op13_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hierarchical.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that the line model's verdict adds to, as SQL has them too."""
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    return op4_quality_rules(spark, sf_dir).select("doc_id", *names)
+
+
+def token_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the language model's score stands beside: counts, and the score by single tokens to four digits."""
+    found = op8_language_model(spark, sf_dir)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Query] = {
@@ -159,4 +171,6 @@ QUERIES: dict[str, Query] = {
     "op11_manifest": op11_manifest,
     "op12_alignment": op12_alignment,
     "op13_hierarchical_packing": op13_hierarchical_packing,
+    "quality_counts": quality_counts,
+    "token_scores": token_scores,
 }
