@@ -2,8 +2,9 @@
 
     spark-submit ... -m changefeed stream   --root R --path LOG
     spark-submit ... -m changefeed backfill --root R --path LOG
+    spark-submit ... -m changefeed load     --root R --path LOG
     spark-submit ... -m changefeed counts | dup-check | freshness | verdict |
-                                   maintain | export | rebuild | drift   --root R
+                                   maintain | export | rebuild | refresh | drift   --root R
 """
 
 from __future__ import annotations
@@ -16,16 +17,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from changefeed.config import Settings, build_session
 from changefeed.functions import storage
-from changefeed.operators import exports, quality, rebuild, upkeep
+from changefeed.operators import exports, incremental, quality, rebuild, upkeep
 from changefeed.schema import ALL_TABLES, BRONZE, DAY, GOLD, create_tables
 from changefeed.sources import LogSource, read_table
 from changefeed.streaming import Pipeline, ProgressRecorder
+from changefeed.streaming.handover import first_load
 
 
 def source_of(args) -> LogSource:
     options = dict(option.split("=", 1) for option in args.option)
     return LogSource(
-        args.format, args.path, options, max_files=args.max_files, max_offsets=args.max_offsets
+        args.format, args.path, options, max_files=args.max_files or None, max_offsets=args.max_offsets or None
     )
 
 
@@ -64,6 +66,12 @@ def stream(spark: SparkSession, settings: Settings, args) -> None:
         pipeline.stop()
 
 
+def load(spark: SparkSession, settings: Settings, args) -> None:
+    """The log's present files in batch, before the streams are started for the first time."""
+    for name, copy in first_load(spark, settings, source_of(args)).items():
+        print(name, copy.row_count, flush=True)
+
+
 def counts(spark: SparkSession, settings: Settings, args) -> None:
     """Counts of all tables, kept with their time, and growth since the last."""
     path = f"{settings.root}/metrics/counts"
@@ -133,6 +141,13 @@ def rebuild_gold(spark: SparkSession, settings: Settings, args) -> None:
     rebuild.rebuild_gold(spark, read_table(spark, settings, BRONZE), args.out, watermark=args.watermark)
 
 
+def refresh(spark: SparkSession, settings: Settings, args) -> None:
+    """Gold tables below ``--out``, recounted for the days and feeds that bronze has new files of."""
+    found = incremental.rebuild_changed(spark, settings, args.out, late_after=settings.late_after, once=settings.bronze == "once")
+    for name, changed in found.items():
+        print(name, changed.select(DAY, BRONZE.feed).distinct().count(), flush=True)
+
+
 def drift(spark: SparkSession, settings: Settings, args) -> None:
     bronze = read_table(spark, settings, BRONZE)
     found = quality.schema_drift(spark, bronze, F.to_date("event_time"))
@@ -146,6 +161,7 @@ def drift(spark: SparkSession, settings: Settings, args) -> None:
 JOBS = {
     "stream": stream,
     "backfill": stream,
+    "load": load,
     "counts": counts,
     "dup-check": dup_check,
     "freshness": freshness,
@@ -153,6 +169,7 @@ JOBS = {
     "maintain": maintain,
     "export": export,
     "rebuild": rebuild_gold,
+    "refresh": refresh,
     "drift": drift,
 }
 
@@ -165,8 +182,9 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--format", default="text", choices=["text", "parquet", "kafka"])
     parser.add_argument("--path", help="folder of the log")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
-    parser.add_argument("--max-files", type=int)
-    parser.add_argument("--max-offsets", type=int)
+    # Fixed value: 5000 offsets for one micro-batch of a Kafka log.
+    parser.add_argument("--max-files", type=int, default=1_000, help="files of a file log for one micro-batch; 0: all")
+    parser.add_argument("--max-offsets", type=int, default=5_000, help="records of a Kafka log for one micro-batch; 0: all")
     parser.add_argument("--trigger", default="60 seconds")
     parser.add_argument("--horizon", default="2 minutes", help="how far apart copies may lie")
     parser.add_argument("--watermark", help="how late an event may be for its window")

@@ -73,8 +73,8 @@ class Settings:
     def table_path(self, namespace: str, name: str) -> str:
         return f"{self.root}/tables/{namespace}/{name}"
 
-    def generations_path(self, namespace: str, name: str) -> str:
-        return f"{self.root}/generations/{namespace}/{name}"
+    def copies_path(self, namespace: str, name: str) -> str:
+        return f"{self.root}/copies/{namespace}/{name}"
 
     def checkpoint(self, query: str) -> str:
         return f"{self.root}/checkpoints/{query}"

@@ -19,6 +19,19 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def footer_counts(spark: SparkSession, path: str, schema: str, by: list[str]) -> DataFrame:
+    """Rows per partition of a Parquet table, from the footers of its files: no column is read.
+
+    Spark pushes counts down in its second source interface only, which is
+    chosen by a session setting, so the plan belongs to a session of its own.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return session.read.schema(schema).parquet(path).groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def total_rows(counts: DataFrame, names: list[str]) -> DataFrame:
     """Sum of the counts of some tables, as ``gold`` of all gold tables."""
     return counts.filter(F.col("table_name").isin(names)).agg(F.sum("row_count").alias("row_count"))

@@ -1,13 +1,9 @@
-"""Bronze and gold as batch jobs: first load, backfill, or other windows."""
+"""Gold tables as batch jobs: backfill, or other windows."""
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 
-from changefeed.operators.dedup import first_copies
-from changefeed.operators.gate import gate
-from changefeed.operators.upkeep import write_partitioned
 from changefeed.operators.windows import (
     BOTS_SPEC,
     EDITS_SPEC,
@@ -16,7 +12,7 @@ from changefeed.operators.windows import (
     edits_from_bots,
     settled,
 )
-from changefeed.schema import BRONZE, REJECTS
+from changefeed.operators.writes import write_partitioned
 from changefeed.sources.tables import read_files
 
 
@@ -27,13 +23,6 @@ def gold_frames(
     return {spec.table.name: spec.build(events, late_after) for spec in specs}
 
 
-def load_bronze(raw: DataFrame, root: str) -> None:
-    """Raw log to bronze and rejects, in batch."""
-    accepted, rejected = gate(raw)
-    write_partitioned(first_copies(accepted), BRONZE, f"{root}/{BRONZE.full_name}")
-    write_partitioned(rejected, REJECTS, f"{root}/{REJECTS.full_name}")
-
-
 def rebuild_gold(
     spark: SparkSession,
     bronze: DataFrame,

@@ -1,51 +1,20 @@
-"""Upkeep of Parquet tables that a file sink appends to.
-
-Files of a live table are never rewritten in place, because the log of the sink
-names them. Compaction writes a *generation*, a compact copy of the closed days
-in a folder of its own; readers take those days from the newest generation and
-everything else from the live table.
-"""
+"""Upkeep of Parquet tables that a file sink appends to."""
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
-from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from changefeed.config import Settings
 from changefeed.functions import storage
-from changefeed.operators.compare import fingerprint
+from changefeed.operators.compaction import compact, expire
+from changefeed.operators.writes import write_partitioned
 from changefeed.schema import ALL_TABLES, DAY, Table
-from changefeed.sources.tables import listed_tables, read_files, read_live, table_parts
-
-GENERATION_DDL = (
-    "path string, since date, through date, taken_at timestamp, created_at timestamp, "
-    "row_count bigint"
-)
-
+from changefeed.sources.copies import in_force
+from changefeed.sources.tables import listed_tables
 
-@dataclass(frozen=True)
-class Generation:
-    """Days from ``since`` (None: from the first) to before ``through``, as of
-    the files modified up to ``taken_at``.
-
-    The micro-batches of a sink follow one another, so a file that a later
-    commit adds to a closed day is younger than all files read here.
-    """
-
-    path: str
-    since: dt.date | None
-    through: dt.date
-    taken_at: dt.datetime
-    created_at: dt.datetime
-    row_count: int
-
-    def covers(self) -> Column:
-        before = F.col(DAY) < F.lit(self.through)
-        return before if self.since is None else before & (F.col(DAY) >= F.lit(self.since))
+__all__ = ["compact", "expire", "write_partitioned"]
 
 
 def file_stats(df: DataFrame, by: list[str], small_below: int = 32 * 1024 * 1024) -> DataFrame:
@@ -63,121 +32,6 @@ def file_stats(df: DataFrame, by: list[str], small_below: int = 32 * 1024 * 1024
     )
 
 
-def write_partitioned(df: DataFrame, table: Table, path: str, mode: str = "overwrite") -> None:
-    """Batch write in files of a good size.
-
-    The rebalance hint lets Spark choose partitions from the sizes it has
-    measured: small days and feeds share a task, a busy feed is split over
-    many.
-    """
-    rows = table.with_day(df)
-    rows.hint("rebalance", *[F.col(c) for c in table.partitions]).write.mode(mode).partitionBy(
-        *table.partitions
-    ).parquet(path)
-
-
-def _registry_path(settings: Settings, table: Table) -> str:
-    return f"{settings.generations_path(table.namespace, table.name)}/registry"
-
-
-def generations(spark: SparkSession, settings: Settings, table: Table) -> list[Generation]:
-    """All generations of a table, oldest first. One small row for each run of
-    the compaction job."""
-    path = _registry_path(settings, table)
-    if not storage.exists(spark, path):
-        return []
-    rows = spark.read.schema(GENERATION_DDL).parquet(path).orderBy("created_at").collect()
-    return [Generation(**row.asDict()) for row in rows]
-
-
-def current_generations(spark: SparkSession, settings: Settings, table: Table) -> list[Generation]:
-    """The newest one that starts at the first day, and those that continue it."""
-    chain: list[Generation] = []
-    for generation in generations(spark, settings, table):
-        chain = [generation] if generation.since is None else [*chain, generation]
-    return chain
-
-
-def compact(
-    spark: SparkSession, settings: Settings, table: Table, through: dt.date, full: bool = False
-) -> Generation | None:
-    """Write closed days as a new generation and switch readers to it.
-
-    A run takes up where the last one ended, so each day is rewritten once.
-    ``full`` starts from the first day: it merges the generations so far with
-    what arrived for closed days since. The copy is checked against its source
-    before the registry, and with it any reader, learns of it.
-    """
-    chain = current_generations(spark, settings, table)
-    since = None if full or not chain else chain[-1].through
-    closed = F.col(DAY) < F.lit(through)
-    if since is not None:
-        closed = closed & (F.col(DAY) >= F.lit(since))
-    live = read_live(spark, settings, table).filter(closed)
-    newest = live.agg(F.max("_metadata.file_modification_time")).first()[0]
-    known = [newest] if newest else []
-    if full:
-        known += [generation.taken_at for generation in chain]
-    if not known:
-        return None
-    # Files that a commit adds while this runs stay out of the copy.
-    taken_at = max(known)
-    if full:
-        parts = [part.filter(closed) for part in table_parts(spark, settings, table, taken_at)]
-        source = reduce(DataFrame.unionByName, parts)
-    else:
-        source = live.filter(F.col("_metadata.file_modification_time") <= F.lit(taken_at))
-    path = f"{settings.generations_path(table.namespace, table.name)}/data/{uuid.uuid4().hex}"
-    write_partitioned(source.select(*table.column_names), table, path)
-
-    columns = [*table.column_names, DAY]
-    wanted = fingerprint(source, columns).first()
-    written = fingerprint(read_files(spark, table, path), columns).first()
-    if wanted != written:
-        raise RuntimeError(f"{table.full_name}: {written} copied, expected {wanted}")
-    generation = Generation(
-        path, since, through, taken_at, dt.datetime.now(), written.row_count
-    )
-    spark.createDataFrame([tuple(vars(generation).values())], GENERATION_DDL).coalesce(
-        1
-    ).write.mode("append").parquet(_registry_path(settings, table))
-    return generation
-
-
-def expired_generations(
-    spark: SparkSession,
-    settings: Settings,
-    table: Table,
-    now: dt.datetime,
-    keep: int = 5,
-    older_than: dt.timedelta = dt.timedelta(hours=24),
-) -> list[str]:
-    """Folders of superseded generations that are past the age limit and not
-    among the newest ``keep`` of the table."""
-    known = generations(spark, settings, table)
-    in_use = {g.path for g in current_generations(spark, settings, table)}
-    cutoff = _utc(now) - older_than
-    old = [
-        g
-        for g in known[: max(0, len(known) - keep)]
-        if g.path not in in_use and _utc(g.created_at) < cutoff
-    ]
-    return [g.path for g in old if storage.exists(spark, g.path)]
-
-
-def _utc(moment: dt.datetime) -> dt.datetime:
-    """Times that ``collect`` returns are in the driver's zone, without saying so."""
-    return moment.astimezone(dt.timezone.utc).replace(tzinfo=None)
-
-
-def expire(spark: SparkSession, settings: Settings, table: Table, now: dt.datetime, **limits) -> list[str]:
-    """Delete what :func:`expired_generations` reports."""
-    paths = expired_generations(spark, settings, table, now, **limits)
-    for path in paths:
-        storage.delete(spark, path)
-    return paths
-
-
 def orphan_files(
     spark: SparkSession,
     path: str,
@@ -212,13 +66,8 @@ def orphan_files(
 def remove_orphans(
     spark: SparkSession, path: str, table: Table, older_than: dt.datetime
 ) -> list[str]:
-    """Delete the orphans, one name at a time."""
-    orphans = orphan_files(spark, path, table, older_than).select("file_path").toLocalIterator()
-    gone = []
-    for row in orphans:
-        if storage.delete(spark, row.file_path, encoded=True):
-            gone.append(row.file_path)
-    return gone
+    """Delete the orphans; on storage that tasks reach by themselves, in tasks."""
+    return storage.delete_all(orphan_files(spark, path, table, older_than).select("file_path"))
 
 
 def discovered(spark: SparkSession, settings: Settings) -> list[str]:
@@ -238,9 +87,10 @@ def maintain(
     clean_orphans: bool = False,
     retention: dt.timedelta = dt.timedelta(hours=24),
     keep: int = 5,
-    chain: int = 3,
+    merge_at: int = 3,
 ) -> list[dict]:
-    """Expiry, optional orphan removal and compaction of every table."""
+    """Expiry, optional orphan removal and compaction of every table that is
+    there; ``merge_at`` copies are merged into one, so that a read has few parts."""
     report = []
     for name in discovered(spark, settings):
         steps = iceberg_upkeep(name, settings.catalog, now - retention, keep, clean_orphans)
@@ -256,9 +106,8 @@ def maintain(
         entry["orphans"] = []
         if clean_orphans and storage.names(spark, path, f"{DAY}="):
             entry["orphans"] = remove_orphans(spark, path, table, now - retention)
-        # A chain of a few generations is merged, so that a read has few parts.
-        merge = len(current_generations(spark, settings, table)) >= chain
-        entry["generation"] = compact(spark, settings, table, through, full=merge)
+        merge = len(in_force(spark, settings, table)) >= merge_at
+        entry["copy"] = compact(spark, settings, table, through, full=merge)
         report.append(entry)
     return report
 

@@ -34,6 +34,18 @@ def windowed_count(
     return flatten_window(counts, *keys, count_name)
 
 
+def sessions(df: DataFrame, gap: str, keys: list[str], time: str = "event_time") -> DataFrame:
+    """Runs of events of a key with less than ``gap`` between them: first event, end (the last one and the gap), count.
+
+    In a stream a session is state that later events extend or merge with its
+    neighbour, and is emitted once the watermark has passed its end.
+    """
+    found = df.groupBy(F.session_window(time, gap).alias("window"), *keys).agg(F.count(F.lit(1)).alias("event_count"))
+    return flatten_window(found, *keys, "event_count").withColumnsRenamed(
+        {"window_start": "session_start", "window_end": "session_end"}
+    )
+
+
 def is_late(after: str = "2 minutes") -> Column:
     """Arrived more than ``after`` behind its own event time."""
     return F.col("ingested_at") > F.col("event_time") + F.expr(f"INTERVAL {after}")

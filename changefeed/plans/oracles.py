@@ -120,6 +120,18 @@ SELECT time_bucket(INTERVAL {n} SECOND, {time}) AS window_start,
 FROM {rows} GROUP BY ALL
 """
 
+# Sessions of users: a gap of half an hour begins a new one.
+_SESSIONS = """
+, steps AS (
+  SELECT "user", ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS begins
+  FROM once WINDOW w AS (PARTITION BY "user" ORDER BY ts)),
+numbered AS (SELECT *, sum(begins) OVER (PARTITION BY "user" ORDER BY ts) AS nth FROM steps),
+sessions AS (
+  SELECT min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, "user", count(*) AS event_count
+  FROM numbered GROUP BY "user", nth)
+SELECT * FROM sessions
+"""
+
 ORACLES: dict[str, str] = {
     "gate_accepted": _q(f"""
         SELECT {_FACTS}, raw_json FROM raw
@@ -306,6 +318,52 @@ ORACLES: dict[str, str] = {
     "compaction_equality": _q("""
         SELECT count(*) AS left_rows, count(*) AS right_rows, 0 AS different_rows, true AS equal
         FROM once"""),
+    "compaction_of_late_files": _q(f"SELECT {_FACTS} FROM once"),
+    "rebuild_changed": _q("SELECT * FROM edits"),
+    "rebuild_changed_days": _q("""
+        SELECT DISTINCT ts::DATE AS event_date, wiki FROM once
+        WHERE ts >= TIMESTAMP '2024-01-21' OR event_id % 97 = 5"""),
+    "load_then_stream": _q(f"SELECT {_FACTS} FROM once"),
+    "difference_levels": _q("""
+        , days AS (SELECT * FROM once WHERE ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12 23:59:59')
+        SELECT meta_id, sha256(title) AS raw_json, 1::BIGINT AS surplus FROM days
+        WHERE event_id % 101 = 50 OR event_id % 103 = 51
+        UNION ALL
+        SELECT meta_id, 'other', -1::BIGINT FROM days WHERE event_id % 103 = 51 AND event_id % 101 <> 50"""),
+    "skew_from_sketches": _q("""
+        SELECT wiki, point, event_count, true AS within_bound
+        FROM (SELECT wiki, count(*) AS event_count FROM once GROUP BY wiki),
+             (SELECT unnest([0.5, 0.9, 0.95, 0.99, 0.999])::DOUBLE AS point)"""),
+    "distinct_from_sketches": _q("""
+        SELECT wiki, count(*) AS event_count, true AS within_bound FROM once
+        WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-22' GROUP BY wiki"""),
+    "sessions_by_user": _q(_SESSIONS),
+    "stream_sessions": _q(f"{_SESSIONS} WHERE session_end <= (SELECT newest_at FROM newest) - INTERVAL 10 MINUTE"),
+    "counts_from_footers": _q("SELECT ts::DATE AS event_date, wiki, count(*) AS row_count FROM once GROUP BY ALL"),
+    "state_rows": _q("""
+        SELECT meta_id, ts + INTERVAL 1 DAY AS expires_at FROM once
+        WHERE ts + INTERVAL 1 DAY > (SELECT newest_at FROM newest) - INTERVAL 1 DAY"""),
+    "stream_top_pages": _q(_TOP.format("pages", 3)),
+    "silent_feeds": _q("SELECT DISTINCT wiki AS feed, wiki = 'wiki3' AS silent FROM good"),
+    "residual_by_filter": _q("""
+        , pages_seen AS (
+          SELECT DISTINCT concat_ws('/', "user", title, type, extract(hour FROM ts)::VARCHAR) AS page, ts::DATE AS day FROM once)
+        SELECT DISTINCT o.page, o.day FROM pages_seen o JOIN pages_seen n USING (page)
+        WHERE o.day < DATE '2024-01-21' AND n.day >= DATE '2024-01-21'"""),
+    "rows_per_file": _q("""
+        SELECT CASE WHEN fault IN (0, 1, 4, 8) THEN 'unknown'
+                    WHEN fault = 6 THEN '  ' ELSE wiki END AS feed, count(*) AS row_count
+        FROM copies GROUP BY 1"""),
+    "log_tolerates_loss": "SELECT true AS rest_read, true AS strict_refused",
+    "captured_contents": _q("""
+        SELECT meta_id, ts AS event_time, wiki, type, title, "user", bot, true AS stamped FROM once"""),
+    "created_tables": _q("""
+        SELECT 'recentchange' AS table_name, count(*) AS row_count, 11 AS column_count FROM once
+        UNION ALL SELECT 'rejects', count(*), 4 FROM bad
+        UNION ALL SELECT 'edits_per_minute_by_wiki', count(*), 5 FROM edits
+        UNION ALL SELECT 'bot_vs_human_per_minute', count(*), 6 FROM bots
+        UNION ALL SELECT 'top_pages_10min', count(*), 6 FROM pages
+        UNION ALL SELECT 'late_arrivals', count(*), 5 FROM late"""),
     "orphan_files": _q("""
         SELECT 'event_date=' || ts::DATE || '/wiki=' || wiki AS "partition",
                true AS has_orphans, (SELECT count(*) FROM once) AS table_rows

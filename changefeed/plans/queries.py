@@ -5,6 +5,7 @@ Each takes a session and the folder of the tables and returns a DataFrame.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
@@ -16,22 +17,28 @@ from pyspark.sql.types import TimestampType
 from changefeed.config import Settings, prepare_session, work_dir
 from changefeed.functions import storage
 from changefeed.operators import (
+    compaction,
     compare,
     exports,
+    incremental,
     percentiles,
     quality,
     rebuild,
+    seen,
+    sketches,
     upkeep,
     windows,
 )
 from changefeed.operators.dedup import collapse_batches, first_copies
 from changefeed.operators.gate import envelope, gate, judged
-from changefeed.schema import BRONZE, BOTS, DAY, EDITS, LATE, PAGES, REJECTS, Table
+from changefeed.operators.writes import write_partitioned
+from changefeed.schema import ALL_TABLES, BRONZE, BOTS, DAY, EDITS, LATE, PAGES, REJECTS, Table, create_tables
 from changefeed.sources.captured import intake, read_captured
 from changefeed.sources.events import change_log, read_events, stream_events
-from changefeed.sources.log import LogSource, feed_key, keyed, land, widened
+from changefeed.sources.log import LogSource, feed_key, keyed, land, rows_per_partition, widened
 from changefeed.sources.tables import between, read_files, read_live, read_table, listed_tables
-from changefeed.streaming import metrics
+from changefeed.streaming import metrics, ranking, silence, state
+from changefeed.streaming.handover import first_load
 from changefeed.streaming.pipeline import Pipeline
 from changefeed.streaming.sinks import overwrite_batches
 
@@ -318,7 +325,7 @@ def export_sample(spark: SparkSession, directory: str) -> DataFrame:
 
 def file_stats(spark: SparkSession, directory: str) -> DataFrame:
     path = work_dir(spark, "stats")
-    upkeep.write_partitioned(events(spark, directory), BRONZE, path)
+    write_partitioned(events(spark, directory), BRONZE, path)
     stats = upkeep.file_stats(read_files(spark, BRONZE, path), BRONZE.partitions)
     return stats.select(*BRONZE.partitions, "row_count", (F.col("byte_count") > 0).alias("has_bytes"))
 
@@ -359,7 +366,7 @@ def log_landed(spark: SparkSession, directory: str) -> DataFrame:
 def bronze_one_week(spark: SparkSession, directory: str) -> DataFrame:
     """Counts per day of a bounded scan of a partitioned table."""
     path = work_dir(spark, "week")
-    upkeep.write_partitioned(events(spark, directory), BRONZE, path)
+    write_partitioned(events(spark, directory), BRONZE, path)
     since, until = (datetime(2024, 1, d, tzinfo=timezone.utc) for d in (8, 15))
     week = between(read_files(spark, BRONZE, path), BRONZE, since, until)
     return week.groupBy(F.to_date("event_time").alias("event_day")).agg(F.count(F.lit(1)).alias("row_count"))
@@ -487,6 +494,118 @@ def rebuild_recovers_late(spark: SparkSession, directory: str) -> DataFrame:
     return windows.EDITS_SPEC.build(first_copies(bronze.select(*FACTS)))
 
 
+def load_then_stream(spark: SparkSession, directory: str) -> DataFrame:
+    """Bronze loaded in batch for two thirds of the month and taken over by the
+    stream, second copies near the boundary arriving after it."""
+    log = raw_log(spark, directory)
+    again = F.row_number().over(Window.partitionBy("raw_json").orderBy("arrived_at")) == 2
+    near = F.col("arrived_at").between(F.lit("2024-01-20 22:00:00").cast("timestamp"), F.lit("2024-01-21").cast("timestamp"))
+    path, parts = work_dir(spark, "handed-over"), work_dir(spark, "handed-over-parts")
+    later = (F.col("arrived_at") >= F.lit("2024-01-21").cast("timestamp")) | (near & again)
+    log.withColumn("slice", later.cast("int")).write.partitionBy("slice").parquet(parts)
+    settings = Settings(root=work_dir(spark, "load-then-stream"), horizon="3 hours")
+    source = LogSource(format="text", path=path, max_files=2)
+    for k in range(2):
+        spark.read.parquet(parts).filter(F.col("slice") == k).select("raw_json").repartition(4).write.mode("append").text(path)
+        if k == 0:
+            first_load(spark, settings, source)
+    pipeline = Pipeline(spark, source.read(spark), settings)
+    return _run(pipeline, BRONZE).table(BRONZE).select(*FACTS)
+
+
+def stream_sessions(spark: SparkSession, directory: str) -> DataFrame:
+    """Sessions of users over three batches: those whose end the watermark has
+    passed, merged across batches."""
+    settings = Settings(root=work_dir(spark, "sessions"))
+    pipeline = Pipeline(spark, _sliced_log(spark, raw_log(spark, directory), F.lit(0), 3), settings)
+    found = windows.sessions(pipeline.events("10 minutes", ["meta_id", "event_time", "user"]), "30 minutes", ["user"])
+    out = work_dir(spark, "sessions-out")
+    _streamed(spark, found, out, settings, "sessions")
+    return spark.read.schema(found.schema).parquet(out)
+
+
+def _streamed(spark: SparkSession, frame: DataFrame, out: str, settings: Settings, name: str) -> None:
+    """Append what the log holds to Parquet files, with the pipeline's state width."""
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", settings.width(spark))
+    try:
+        writer = frame.writeStream.outputMode("append").option("checkpointLocation", settings.checkpoint(name))
+        writer.trigger(availableNow=True).format("parquet").start(out).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+
+
+def state_rows(spark: SparkSession, directory: str) -> DataFrame:
+    """The ids that deduplication with a horizon of a day still keeps at the
+    end of the table, read from the checkpoint."""
+    pipeline = _run(_pipeline(spark, directory, "state", horizon="1 day"), BRONZE)
+    return state.kept_ids(spark, pipeline.settings, BRONZE.name)
+
+
+def stream_top_pages(spark: SparkSession, directory: str) -> DataFrame:
+    """The three busiest pages of each window so far, kept over five batches,
+    the last of them merged twice."""
+    number = F.expr("try_cast(regexp_extract(raw_json, '\"id\":\"evt-([0-9]+)\"', 1) AS BIGINT)")
+    late = F.when(number % 89 == 7, 2).otherwise(0)
+    settings = Settings(root=work_dir(spark, "ranking"), horizon="40 days", watermark="40 days")
+    pipeline = Pipeline(spark, _sliced_log(spark, raw_log(spark, directory), late, 5), settings)
+    counts = windows.PAGES_SPEC.build(pipeline.events("40 days", windows.PAGES_SPEC.inputs))
+    path = work_dir(spark, "ranking-table")
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", settings.width(spark))
+    try:
+        query = ranking.stream_ranking(counts, path, settings, 3, available_now=True)
+        query.awaitTermination()
+        storage.delete(spark, f"{settings.checkpoint('top-pages')}/commits/{max(p.batchId for p in query.recentProgress)}")
+        ranking.stream_ranking(counts, path, settings, 3, available_now=True).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    return ranking.read_ranking(spark, path)
+
+
+def silent_feeds(spark: SparkSession, directory: str) -> DataFrame:
+    """One feed sends nothing after the first third of the month, the others go
+    on: whether each is silent at the end, by timers that need no input."""
+    path, parts = work_dir(spark, "silence-log"), work_dir(spark, "silence-parts")
+    log = raw_log(spark, directory)
+    third = F.when(F.col("arrived_at") < F.lit("2024-01-11").cast("timestamp"), 0).otherwise(1)
+    log.withColumn("slice", third).filter((third == 0) | (feed_key() != "wiki3")).write.partitionBy("slice").parquet(parts)
+
+    def add(k: int, share: int) -> None:
+        some = spark.read.parquet(parts).filter((F.col("slice") == k) & (F.pmod(F.xxhash64("raw_json"), F.lit(4)) == share))
+        some.select("raw_json").coalesce(1).write.mode("append").text(path)
+
+    storage.make_folder(spark, path)
+    out, settings = work_dir(spark, "silence"), Settings(root=work_dir(spark, "silence-root"))
+    found = silence.silent_feeds(gate(LogSource(format="text", path=path).read(spark))[0], 15)
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", settings.width(spark))
+    try:
+        writer = found.writeStream.outputMode("append").option("checkpointLocation", settings.checkpoint("silence"))
+        query = writer.trigger(processingTime="1 second").format("parquet").start(out)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    told = spark.read.schema(silence.SILENCE_DDL)
+    try:
+        for share in range(4):
+            add(0, share)
+        query.processAllAvailable()
+        # The others send now and then until the timer of the silent one has run out.
+        for step in range(60):
+            add(1, step % 4)
+            query.processAllAvailable()
+            if not told.parquet(out).filter("feed = 'wiki3' AND silent").isEmpty():
+                break
+            time.sleep(2)
+        add(1, 0)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    last = told.parquet(out).groupBy("feed").agg(F.max_by("silent", "at").alias("silent"))
+    feeds = accepted(spark, directory).select(F.col("wiki").alias("feed")).distinct()
+    return feeds.join(last, "feed", "left").select("feed", F.coalesce("silent", F.lit(False)).alias("silent"))
+
+
 def stream_batches_overwritten(spark: SparkSession, directory: str) -> DataFrame:
     """Bronze through the repeatable batch sink."""
     pipeline = _pipeline(spark, directory, "batches")
@@ -520,16 +639,221 @@ def compaction_equality(spark: SparkSession, directory: str) -> DataFrame:
     """Bronze before and after compaction of the days up to the 20th."""
     pipeline = _run(_pipeline(spark, directory, "compact", splits=0), BRONZE)
     before = read_live(spark, pipeline.settings, BRONZE).select(*BRONZE.column_names)
-    upkeep.compact(spark, pipeline.settings, BRONZE, datetime(2024, 1, 20).date())
+    compaction.compact(spark, pipeline.settings, BRONZE, datetime(2024, 1, 20).date())
     return compare.same_rows(read_table(spark, pipeline.settings, BRONZE), before)
 
 
+def _number() -> Column:
+    """The number in an event's id."""
+    return F.regexp_extract("meta_id", "([0-9]+)$", 1).cast("long")
+
+
+def compaction_of_late_files(spark: SparkSession, directory: str) -> DataFrame:
+    """Bronze after a copy of closed days, late files for them in the same
+    second, a second copy and a merge: every row once, whatever the clock says."""
+    settings = Settings(root=work_dir(spark, "late-files"))
+    path, through = settings.table_path(BRONZE.namespace, BRONZE.name), datetime(2024, 1, 20).date()
+    found = _written_bronze(spark, directory, "late-source").withColumn("raw_json", F.lit(None).cast("string"))
+    for k in range(3):
+        write_partitioned(found.filter(_number() % 3 == k), BRONZE, path, mode="append")
+        compaction.compact(spark, settings, BRONZE, through, full=k == 2)
+        if k == 1:
+            # Copied days next to files of the same days that no copy holds yet.
+            write_partitioned(found.limit(0), BRONZE, path, mode="append")
+    return read_table(spark, settings, BRONZE).select(*FACTS)
+
+
+def _two_commits(spark: SparkSession, directory: str, label: str) -> tuple[Settings, list[DataFrame]]:
+    """Bronze in two parts: the first three weeks but every 97th event, and the rest."""
+    found = _written_bronze(spark, directory, label).withColumn("raw_json", F.lit(None).cast("string"))
+    first = (F.col("event_time") < F.lit("2024-01-21").cast("timestamp")) & (_number() % 97 != 5)
+    return Settings(root=work_dir(spark, label)), [found.filter(first), found.filter(~first)]
+
+
+def rebuild_changed(spark: SparkSession, directory: str) -> DataFrame:
+    """Per-minute counts kept up to date over two commits, the second with
+    late events for old days: only the days and feeds it touches are recounted."""
+    settings, parts = _two_commits(spark, directory, "changed")
+    out = work_dir(spark, "changed-gold")
+    for part in parts:
+        write_partitioned(part, BRONZE, settings.table_path(BRONZE.namespace, BRONZE.name), mode="append")
+        incremental.rebuild_changed(spark, settings, out, (windows.EDITS_SPEC,))
+    return read_files(spark, EDITS, f"{out}/{EDITS.full_name}").select(*EDITS.column_names)
+
+
+def rebuild_changed_days(spark: SparkSession, directory: str) -> DataFrame:
+    """The days and feeds that the second commit makes the rebuild touch."""
+    settings, parts = _two_commits(spark, directory, "changed-days")
+    out = work_dir(spark, "changed-days-gold")
+    for part in parts:
+        write_partitioned(part, BRONZE, settings.table_path(BRONZE.namespace, BRONZE.name), mode="append")
+        found = incremental.rebuild_changed(spark, settings, out, (windows.LATE_SPEC,))
+    return found[LATE.name].select(DAY, BRONZE.feed).distinct()
+
+
+def difference_levels(spark: SparkSession, directory: str) -> DataFrame:
+    """A copy of bronze with lost and altered rows on three days, against the
+    original: found by digests kept with both, day by day."""
+    source = _written_bronze(spark, directory, "levels").withColumn("raw_json", F.sha2("title", 256))
+    paths = [work_dir(spark, f"levels-{side}") for side in ("left", "right")]
+    some = F.col("event_time").between(F.lit("2024-01-10").cast("timestamp"), F.lit("2024-01-12 23:59:59").cast("timestamp"))
+    lost, altered = some & (_number() % 101 == 50), some & (_number() % 103 == 51)
+    copy = source.filter(~lost).withColumn("raw_json", F.when(altered, F.lit("other")).otherwise(F.col("raw_json")))
+    tables, kept = [], []
+    for rows, path in zip((source, copy), paths, strict=True):
+        write_partitioned(rows, BRONZE, path)
+        tables.append(read_files(spark, BRONZE, path))
+        compare.digests(tables[-1], DAY, "meta_id", BRONZE.column_names).write.parquet(f"{path}-digests")
+        kept.append(spark.read.parquet(f"{path}-digests"))
+    found = compare.difference_levels(*tables, *kept, DAY, "meta_id", BRONZE.column_names)
+    return found.select("meta_id", "raw_json", F.col("surplus").cast("long").alias("surplus"))
+
+
+def _stored_sketches(spark: SparkSession, directory: str) -> DataFrame:
+    """One row for each day and feed."""
+    path = work_dir(spark, "sketches")
+    sketches.day_sketches(events(spark, directory), percentiles.ingest_skew(), "wiki").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def skew_from_sketches(spark: SparkSession, directory: str) -> DataFrame:
+    """Percentiles from 30 merged days: are the ranks of the answers within the
+    sketch's bound? Ties may carry a rank past it; then the one strictly below must not."""
+    found = events(spark, directory).select("wiki", percentiles.ingest_skew().alias("skew"))
+    merged = sketches.merged(_stored_sketches(spark, directory), ["wiki"])
+    held = found.groupBy("wiki", "skew").agg(F.count(F.lit(1)).alias("n"))
+    marks = sketches.percentiles_of(merged, ["wiki"])
+    below, upto = F.sum(F.when(F.col("skew") < F.col("value"), F.col("n"))), F.sum(F.when(F.col("skew") <= F.col("value"), F.col("n")))
+    shares = marks.join(held, "wiki").groupBy("wiki", "point", "event_count").agg(
+        (F.coalesce(below, F.lit(0)) / F.sum("n")).alias("below"), (F.coalesce(upto, F.lit(0)) / F.sum("n")).alias("upto")
+    )
+    bound = sketches.rank_bound()
+    within = (F.col("below") <= F.col("point") + bound) & (F.col("upto") >= F.col("point") - bound)
+    return shares.select("wiki", "point", "event_count", within.alias("within_bound"))
+
+
+def distinct_from_sketches(spark: SparkSession, directory: str) -> DataFrame:
+    """Distinct ids of two weeks from merged sketches of days, within 3 percent of the count."""
+    since, until = (datetime(2024, 1, d).date() for d in (8, 22))
+    guess = sketches.distinct_of(sketches.merged(_stored_sketches(spark, directory), ["wiki"], since, until), ["wiki"])
+    bounds = [F.lit(str(d)).cast("timestamp") for d in (since, until)]
+    some = events(spark, directory).filter((F.col("event_time") >= bounds[0]) & (F.col("event_time") < bounds[1]))
+    counts = some.groupBy("wiki").agg(F.count_distinct("meta_id").alias("event_count"))
+    near = F.abs(F.col("distinct_keys") - F.col("event_count")) <= 0.03 * F.col("event_count") + 1
+    return guess.join(counts, "wiki").select("wiki", "event_count", near.alias("within_bound"))
+
+
+def residual_by_filter(spark: SparkSession, directory: str) -> DataFrame:
+    """Users' pages of the last third of the month that earlier days have seen,
+    and on which of them: filters of the days first, then the rows that may be."""
+    path = work_dir(spark, "seen")
+    page = F.concat_ws("/", "user", "title", "type", F.hour("event_time").cast("string"))
+    events(spark, directory).select(page.alias("page"), F.to_date("event_time").alias("day")).write.parquet(path)
+    found, begin = spark.read.parquet(path), F.lit("2024-01-21").cast("date")
+    history, new = found.filter(F.col("day") < begin), found.filter(F.col("day") >= begin)
+    kept = work_dir(spark, "seen-filters")
+    seen.day_filters(history, "page", "day").write.partitionBy("day").parquet(kept)
+    return seen.seen_before(new, history, spark.read.schema(seen.FILTER_DDL).parquet(kept), "page", "day")
+
+
+def sessions_by_user(spark: SparkSession, directory: str) -> DataFrame:
+    """Runs of a user's events with less than half an hour between them."""
+    return windows.sessions(events(spark, directory), "30 minutes", ["user"])
+
+
+def counts_from_footers(spark: SparkSession, directory: str) -> DataFrame:
+    """Rows of each day and feed of bronze, from the footers of its files."""
+    path = work_dir(spark, "footers")
+    write_partitioned(events(spark, directory), BRONZE, path)
+    return quality.footer_counts(spark, path, BRONZE.stored_schema, BRONZE.partitions)
+
+
+def rows_per_file(spark: SparkSession, directory: str) -> DataFrame:
+    """Records in each file of a log that has a folder for each feed."""
+    path = work_dir(spark, "log-files")
+    log = raw_log(spark, directory).select("raw_json", feed_key().alias("feed"))
+    log.repartition(1, "feed").write.partitionBy("feed").parquet(path)
+    source = LogSource(format="parquet", path=path, schema="raw_json string")
+    found = rows_per_partition(source.load(spark, stream=False))
+    feed = F.url_decode(F.regexp_extract("log_partition", "/feed=([^/]*)/", 1))
+    return found.select(feed.alias("feed"), "row_count")
+
+
+def log_tolerates_loss(spark: SparkSession, directory: str) -> DataFrame:
+    """A log of three files one of which goes after it was listed: a tolerant
+    source reads the rest, a strict one refuses."""
+    path = work_dir(spark, "lossy")
+    raw_log(spark, directory).repartition(3, "raw_json").select("raw_json").write.parquet(path)
+    kept = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("f"), F.crc32("raw_json").alias("h"))
+    out = work_dir(spark, "lossy-rows")
+    kept.write.parquet(out)
+    kept = spark.read.parquet(out)
+    gone = kept.agg(F.min("f")).first()[0]
+    sources = [LogSource(format="parquet", path=path, schema="raw_json string", tolerate_loss=t) for t in (True, False)]
+    frames = [source.read(spark, stream=False) for source in sources]
+    storage.delete(spark, gone, encoded=True)
+    rest = frames[0].agg(F.count(F.lit(1)).alias("n"), F.sum(F.crc32("raw_json")).alias("h"))
+    try:
+        frames[1].agg(F.sum(F.crc32("raw_json"))).collect()
+        refused = False
+    except Exception:
+        refused = True
+    wanted = kept.filter(F.col("f") != gone).agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("h"))
+    same = rest.unionByName(wanted).distinct().agg((F.count(F.lit(1)) == 1).alias("rest_read"))
+    return same.withColumn("strict_refused", F.lit(refused))
+
+
+def captured_contents(spark: SparkSession, directory: str) -> DataFrame:
+    """The log as a captured event stream, read back through the gate: what the
+    records say, and that each was stamped on the way in."""
+    path = work_dir(spark, "captured-contents")
+    block = F.concat(F.lit("id: "), F.crc32("raw_json").cast("string"), F.lit("\ndata: "), "raw_json", F.lit("\n"))
+    raw_log(spark, directory).select(block.alias("value")).write.text(path)
+    begun = F.lit(datetime.now(timezone.utc).isoformat()).cast("timestamp")
+    objects = intake(read_captured(spark, path))[0]
+    found = first_copies(gate(objects)[0])
+    return found.select("meta_id", "event_time", "wiki", "type", "title", "user", "bot", (F.col("ingested_at") >= begun).alias("stamped"))
+
+
+def created_tables(spark: SparkSession, directory: str) -> DataFrame:
+    """Namespaces and tables made by the pipeline's own statements, twice, then
+    filled through the catalog: columns, and rows by table."""
+    prepare_session(spark)
+    settings = Settings(root=work_dir(spark, "created"))
+    found = _written_bronze(spark, directory, "created-source").withColumn("raw_json", F.lit(None).cast("string"))
+    refused = _written_rejects(spark, directory)
+    out, names = work_dir(spark, "created-counts"), [t.full_name for t in ALL_TABLES]
+    held = {n for n in names if spark.catalog.tableExists(n)}
+    try:
+        create_tables(spark, settings)
+        create_tables(spark, settings)
+        rows = {BRONZE.name: found, REJECTS.name: refused, **rebuild.gold_frames(found)}
+        for table in ALL_TABLES:
+            write_partitioned(rows[table.name], table, settings.table_path(table.namespace, table.name))
+            spark.catalog.recoverPartitions(table.full_name)
+        counts = quality.table_counts({t.name: spark.table(t.full_name) for t in ALL_TABLES})
+        columns = {t.name: len(spark.table(t.full_name).columns) for t in ALL_TABLES}
+        width = F.create_map(*[F.lit(x) for pair in columns.items() for x in pair])
+        counts.withColumn("column_count", F.element_at(width, F.col("table_name"))).write.parquet(out)
+    finally:
+        for name in names:
+            if name not in held:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.read.parquet(out)
+
+
+def _written_rejects(spark: SparkSession, directory: str) -> DataFrame:
+    path = work_dir(spark, "rejects")
+    rejected(spark, directory).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def orphan_files(spark: SparkSession, directory: str) -> DataFrame:
     """Files left by a failed writer, here a second copy of all of bronze that
     the sink's log does not know, and the table's own count."""
     pipeline = _run(_pipeline(spark, directory, "orphans"), BRONZE)
     path = pipeline.settings.table_path(BRONZE.namespace, BRONZE.name)
-    upkeep.write_partitioned(events(spark, directory), BRONZE, path, mode="append")
+    write_partitioned(events(spark, directory), BRONZE, path, mode="append")
     stray = upkeep.orphan_files(spark, path, BRONZE)
     partition = F.regexp_extract("file_path", rf"/({DAY}=[^/]+/wiki=[^/]+)/", 1)
     return stray.groupBy(partition.alias("partition")).agg(
@@ -597,6 +921,24 @@ QUERIES: dict[str, Query] = {
     "replay_equals_control": replay_equals_control,
     "compaction_equality": compaction_equality,
     "orphan_files": orphan_files,
+    "compaction_of_late_files": compaction_of_late_files,
+    "rebuild_changed": rebuild_changed,
+    "rebuild_changed_days": rebuild_changed_days,
+    "load_then_stream": load_then_stream,
+    "difference_levels": difference_levels,
+    "skew_from_sketches": skew_from_sketches,
+    "distinct_from_sketches": distinct_from_sketches,
+    "sessions_by_user": sessions_by_user,
+    "stream_sessions": stream_sessions,
+    "counts_from_footers": counts_from_footers,
+    "state_rows": state_rows,
+    "stream_top_pages": stream_top_pages,
+    "silent_feeds": silent_feeds,
+    "residual_by_filter": residual_by_filter,
+    "rows_per_file": rows_per_file,
+    "log_tolerates_loss": log_tolerates_loss,
+    "captured_contents": captured_contents,
+    "created_tables": created_tables,
 }
 
 

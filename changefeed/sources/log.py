@@ -41,21 +41,25 @@ class LogSource:
                 chosen["maxBytesPerTrigger"] = self.max_bytes
         return {**chosen, **self.options}
 
-    def load(self, spark: SparkSession, stream: bool = True) -> DataFrame:
-        """Columns of the source itself, with the record in bytes or text."""
+    def load(self, spark: SparkSession, stream: bool = True, files: list[str] | None = None) -> DataFrame:
+        """Columns of the source itself, with the record in bytes or text; ``files``: of these alone (batch)."""
         reader = (spark.readStream if stream else spark.read).format(self.format)
         reader = reader.options(**self._options(stream))
         if self.format == "kafka":
             return reader.load()
-        return reader.schema(self.schema).load(self.path)
+        return reader.schema(self.schema).load(self.path if files is None else files)
 
-    def read(self, spark: SparkSession, stream: bool = True) -> DataFrame:
+    def read(self, spark: SparkSession, stream: bool = True, files: list[str] | None = None, unread: bool = False) -> DataFrame:
         """``raw_json`` and ``arrived_at``, the time the log got the record.
 
         The arrival time is a property of the log, so a replayed batch sees the
         same one; it stands in for a record without a usable ``ingested_at``.
+        ``unread`` lists the files of a file log and opens none.
         """
-        df = self.load(spark, stream)
+        df = self.load(spark, stream, files)
+        if unread:
+            # A filter on the listing; a constant would remove the stateful operators from the plan.
+            df = df.filter(F.col("_metadata.file_path") == "")
         if self.format == "kafka":
             text, arrived = F.col("value").cast("string"), F.col("timestamp")
         else:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from changefeed.config import Settings
 from changefeed.schema import DAY, Table
+from changefeed.sources.copies import in_force, loose, read_copies, read_named
 
 
 def listed_tables(spark: SparkSession, namespace: str) -> list[str]:
@@ -59,30 +60,13 @@ def stream_table(spark: SparkSession, settings: Settings, table: Table, **option
     )
 
 
-def table_parts(
-    spark: SparkSession, settings: Settings, table: Table, as_of: dt.datetime | None = None
-) -> list[DataFrame]:
-    """A table as its compacted generations and the live files they do not hold.
-
-    The filters on the modification time are applied to the file listing, so
-    the files that a generation replaces are not opened. ``as_of`` leaves out
-    live files that are younger.
-    """
-    from changefeed.operators.upkeep import current_generations
-
-    live = read_live(spark, settings, table)
-    if settings.in_catalog:
-        return [live]
-    modified = F.col("_metadata.file_modification_time")
-    if as_of is not None:
-        live = live.filter(modified <= F.lit(as_of))
-    chain = current_generations(spark, settings, table)
-    parts = []
-    for generation in chain:
-        parts.append(read_files(spark, table, generation.path))
-        parts.append(live.filter(generation.covers() & (modified > F.lit(generation.taken_at))))
-    parts.append(live.filter(F.col(DAY) >= F.lit(chain[-1].through)) if chain else live)
-    return parts
+def table_parts(spark: SparkSession, settings: Settings, table: Table) -> list[DataFrame]:
+    """A table as the copies in force and the live files that none of them holds."""
+    copies = [] if settings.in_catalog else in_force(spark, settings, table)
+    if not copies:
+        return [read_live(spark, settings, table)]
+    rest = read_named(spark, settings, table, loose(spark, settings, table, copies))
+    return [read_copies(spark, settings, table, copies), rest]
 
 
 def read_table(

@@ -12,6 +12,7 @@ from changefeed.operators.gate import gate
 from changefeed.operators.windows import GOLD_SPECS, LATE_SPEC, GoldSpec
 from changefeed.schema import ALL_TABLES, BRONZE, GOLD, REJECTS, Table
 from changefeed.sources.tables import read_table, stream_table
+from changefeed.streaming.handover import behind_load, boundary
 from changefeed.streaming.metrics import METRICS_DDL, progress_row
 from changefeed.streaming.sinks import append_to_table
 
@@ -30,6 +31,7 @@ class Pipeline:
         self.spark = prepare_session(spark)
         self.settings = settings
         self.accepted, self.rejected = gate(raw)
+        self.loaded = boundary(spark, settings)
         self.queries: dict[str, StreamingQuery] = {}
         if not settings.in_catalog:
             for table in ALL_TABLES:
@@ -38,7 +40,7 @@ class Pipeline:
     def events(self, horizon: str, columns: list[str]) -> DataFrame:
         """Accepted events, each id once, with no more columns than needed."""
         return dedup_stream(
-            self.accepted.select(*columns), horizon=horizon, collapse=self.settings.collapse_copies
+            behind_load(self.accepted, self.loaded).select(*columns), horizon=horizon, collapse=self.settings.collapse_copies
         )
 
     def gold_input(self, spec: GoldSpec) -> DataFrame:
@@ -60,7 +62,7 @@ class Pipeline:
         if table is REJECTS:
             return self.rejected
         if table is BRONZE and self.settings.bronze == "all":
-            return self.accepted.select(*BRONZE.column_names)
+            return behind_load(self.accepted, self.loaded).select(*BRONZE.column_names)
         if table is BRONZE:
             return self.events(self.settings.horizon, BRONZE.column_names)
         spec = next(s for s in GOLD_SPECS if s.table is table)

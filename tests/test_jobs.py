@@ -31,3 +31,22 @@ def test_jobs(spark, log_folder, tmp_path, capsys):
     assert os.path.isdir(f"{root}/metrics/progress")
     for table in ALL_TABLES:
         spark.sql(f"DROP TABLE IF EXISTS {table.full_name}")
+
+
+def test_load_take_over_and_refresh(spark, log_folder, tmp_path, capsys):
+    line = lambda i: record(f"e{i}", f"2024-01-01T{i // 60:02}:{i % 60:02}:00Z", wiki=f"w{i % 2}")
+    path, root, out = log_folder([line(i) for i in range(100)]), str(tmp_path / "root"), str(tmp_path / "gold")
+    main(["load", "--root", root, "--path", path])
+    assert "recentchange 100" in capsys.readouterr().out
+    main(["refresh", "--root", root, "--out", out])
+    log_folder([line(i) for i in range(100, 130)])
+    try:
+        main(["backfill", "--root", root, "--path", path, "--max-files", "1"])
+        main(["dup-check", "--root", root])
+        assert "130 | 130 | OK-NO-DUPLICATES" in capsys.readouterr().out
+        main(["refresh", "--root", root, "--out", out])
+        assert "edits_per_minute_by_wiki 2" in capsys.readouterr().out
+        assert spark.read.parquet(f"{out}/gold.edits_per_minute_by_wiki").count() == 130
+    finally:
+        for table in ALL_TABLES:
+            spark.sql(f"DROP TABLE IF EXISTS {table.full_name}")

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import glob
 import hashlib
@@ -9,11 +10,13 @@ import time
 import pytest
 from pyspark.sql import functions as F
 from changefeed.functions import storage
-from changefeed.operators import compare, exports, rebuild, upkeep, windows
+from changefeed.operators import compaction, compare, exports, rebuild, upkeep, windows
 from changefeed.operators.dedup import first_copies
 from changefeed.operators.gate import gate
+from changefeed.operators.writes import write_partitioned
 from changefeed.schema import ALL_TABLES, BOTS, BRONZE, DAY, EDITS, PAGES, create_tables
 from changefeed.sources import LogSource, read_table, listed_tables
+from changefeed.sources.copies import in_force
 from changefeed.sources.tables import read_live
 from changefeed.streaming import Pipeline
 from conftest import record, utc
@@ -42,50 +45,63 @@ def whole(spark, settings):
     return read_table(spark, settings, BRONZE)
 
 
+def copies(spark, settings):
+    return in_force(spark, settings, BRONZE)
+
+
 def test_compaction_goes_on_where_it_ended(spark, bronze, settings):
     before = {r.meta_id for r in whole(spark, settings).collect()}
-    first = upkeep.compact(spark, settings, BRONZE, dt.date(2024, 1, 2))
-    assert (first.since, first.row_count) == (None, 30)
-    second = upkeep.compact(spark, settings, BRONZE, dt.date(2024, 1, 3))
-    assert (second.since, second.row_count) == (dt.date(2024, 1, 2), 30)
-    assert upkeep.compact(spark, settings, BRONZE, dt.date(2024, 1, 3)) is None
-    assert len(upkeep.current_generations(spark, settings, BRONZE)) == 2
+    first = compaction.compact(spark, settings, BRONZE, dt.date(2024, 1, 2))
+    second = compaction.compact(spark, settings, BRONZE, dt.date(2024, 1, 3))
+    assert (first.row_count, second.row_count) == (30, 30)
+    assert compaction.compact(spark, settings, BRONZE, dt.date(2024, 1, 3)) is None
+    assert copies(spark, settings) == [first.name, second.name]
 
     rows = whole(spark, settings).collect()
     assert {r.meta_id for r in rows} == before and len(rows) == 90
-    third = upkeep.compact(spark, settings, BRONZE, dt.date(2024, 1, 4), full=True)
-    assert (third.since, third.row_count) == (None, 90)
-    assert upkeep.current_generations(spark, settings, BRONZE) == [third]
+    third = compaction.compact(spark, settings, BRONZE, dt.date(2024, 1, 4), full=True)
+    assert third.row_count == 90 and copies(spark, settings) == [third.name]
+    assert compaction.compact(spark, settings, BRONZE, dt.date(2024, 1, 4), full=True) is None
     assert sorted(r.meta_id for r in whole(spark, settings).collect()) == sorted(before)
     compacted = glob.glob(f"{first.path}/*/*/*.parquet")
     live = glob.glob(f"{settings.table_path(*BRONZE.full_name.split('.'))}/{DAY}=2024-01-01/*/*.parquet")
     assert len(compacted) == 3 < len(live)
 
 
-def test_later_rows_of_a_compacted_day_are_read(spark, log_folder, settings):
-    import dataclasses
+def test_files_of_one_second_are_told_apart_by_name(spark, bronze, settings):
+    """All files get one modification time, and more arrive with the same one."""
+    live = settings.table_path(*BRONZE.full_name.split("."))
+    events = whole(spark, settings)
+    events.write.parquet(f"{settings.root}/source")
+    events = spark.read.parquet(f"{settings.root}/source")
+    flat = dataclasses.replace(settings, root=f"{settings.root}/flat")
+    path = flat.table_path(*BRONZE.full_name.split("."))
 
-    wide = dataclasses.replace(settings, horizon="30 days")
-    def add(*files):
-        pipe = Pipeline(spark, LogSource(path=log_folder(*files), max_files=1).read(spark), wide)
-        for query in pipe.start(BRONZE, available_now=True):
-            query.awaitTermination()
+    def add(rows):
+        write_partitioned(rows, BRONZE, path, mode="append")
+        for name in glob.glob(f"{path}/*/*/*.parquet"):
+            os.utime(name, (1_700_000_000, 1_700_000_000))
 
-    add([day_record(i, 1) for i in range(10)], [day_record(i, 3) for i in range(10)])
-    upkeep.compact(spark, wide, BRONZE, dt.date(2024, 1, 3))
-    add([day_record(99, 1)])
-    ids = [r.meta_id for r in whole(spark, wide).collect()]
-    assert len(ids) == 21 and "d1-99" in ids
-    full = upkeep.compact(spark, wide, BRONZE, dt.date(2024, 1, 3), full=True)
-    assert full.row_count == 11
-    assert sorted(r.meta_id for r in whole(spark, wide).collect()) == sorted(ids)
+    add(events.filter("meta_id LIKE '%1'"))
+    compaction.compact(spark, flat, BRONZE, dt.date(2024, 1, 4))
+    add(events.filter("meta_id NOT LIKE '%1'"))
+    for full in (False, True):
+        assert compare.same_rows(whole(spark, flat), events).first().equal
+        compaction.compact(spark, flat, BRONZE, dt.date(2024, 1, 4), full=full)
+    assert compare.same_rows(whole(spark, flat), events).first().equal and len(copies(spark, flat)) == 1
+    assert os.path.isdir(live)
+
+
+def test_a_copy_that_is_not_in_force_is_not_read(spark, bronze, settings):
+    """A run that ends before the switch leaves readers where they were."""
+    first = compaction.compact(spark, settings, BRONZE, dt.date(2024, 1, 2))
+    shutil.copytree(first.path, first.path.replace(first.name, "stopped"))
+    assert whole(spark, settings).count() == 90
 
 
 def test_late_rows_of_compacted_days_stay(spark, log_folder, settings):
     """Rows that arrive for a day already compacted are read before and after
     further compactions, which are incremental first and merge then."""
-    import dataclasses
-
     wide = dataclasses.replace(settings, horizon="30 days")
     for step, late in enumerate((None, "late1", "late2", "late3")):
         lines = [day_record(i, step + 1) for i in range(5)]
@@ -95,25 +111,27 @@ def test_late_rows_of_compacted_days_stay(spark, log_folder, settings):
         for query in pipe.start(BRONZE, available_now=True):
             query.awaitTermination()
         expected = whole(spark, wide).count()
-        upkeep.maintain(spark, wide, dt.datetime.now(dt.timezone.utc), dt.date(2024, 1, step + 2), clean_orphans=True, chain=2)
+        upkeep.maintain(spark, wide, dt.datetime.now(dt.timezone.utc), dt.date(2024, 1, step + 2), clean_orphans=True, merge_at=2)
         assert whole(spark, wide).count() == expected
     ids = {r.meta_id for r in whole(spark, wide).collect()}
     assert {"late1", "late2", "late3"} <= ids and len(ids) == 23
-    assert len(upkeep.current_generations(spark, wide, BRONZE)) <= 2
+    assert len(copies(spark, wide)) <= 2
 
 
-def test_superseded_generations_expire(spark, bronze, settings):
-    made = [upkeep.compact(spark, settings, BRONZE, dt.date(2024, 1, 3), full=True) for _ in range(4)]
+def test_superseded_copies_expire(spark, bronze, settings):
+    made = []
+    for day in (2, 3, 4):
+        made.append(compaction.compact(spark, settings, BRONZE, dt.date(2024, 1, day), full=True))
     now = dt.datetime.now(dt.timezone.utc)
-    report = lambda **limits: upkeep.expired_generations(spark, settings, BRONZE, **limits)
+    report = lambda **limits: compaction.expired_copies(spark, settings, BRONZE, **limits)
     assert report(now=now, keep=2) == []
     later = now + dt.timedelta(hours=25)
     assert report(now=later, keep=5) == []
-    assert report(now=later, keep=2) == [g.path for g in made[:2]]
-    assert report(now=later, keep=0) == [g.path for g in made[:3]]
-    gone = upkeep.expire(spark, settings, BRONZE, later, keep=2)
-    assert [storage.exists(spark, g.path) for g in made] == [False, False, True, True]
-    assert len(gone) == 2 and whole(spark, settings).count() == 90
+    assert report(now=later, keep=2) == [made[0].path]
+    assert report(now=later, keep=0) == [m.path for m in made[:2]]
+    gone = compaction.expire(spark, settings, BRONZE, later, keep=2)
+    assert [storage.exists(spark, m.path) for m in made] == [False, True, True]
+    assert len(gone) == 1 and whole(spark, settings).count() == 90
 
 
 def test_time_bounds_prune_days(spark, bronze, settings):
@@ -122,7 +140,7 @@ def test_time_bounds_prune_days(spark, bronze, settings):
     assert df.count() == sum(1 for i in range(30) if i % 24 < 12)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*event_date", plan)
-    upkeep.compact(spark, settings, BRONZE, dt.date(2024, 1, 3))
+    compaction.compact(spark, settings, BRONZE, dt.date(2024, 1, 3))
     assert read_table(spark, settings, BRONZE, since, until).count() == df.count()
 
 
@@ -157,15 +175,15 @@ def test_maintain(spark, bronze, settings):
     now = dt.datetime.now(dt.timezone.utc)
     report = {r["table"]: r for r in upkeep.maintain(spark, settings, now, dt.date(2024, 1, 3), clean_orphans=True)}
     assert set(report) == {t.full_name for t in ALL_TABLES}
-    assert report[BRONZE.full_name]["generation"].row_count == 60
-    assert report[EDITS.full_name]["generation"] is None
+    assert report[BRONZE.full_name]["copy"].row_count == 60
+    assert report[EDITS.full_name]["copy"] is None
 
 
 def test_day_retention_only_for_batch_tables(spark, bronze, settings, tmp_path):
     with pytest.raises(ValueError):
         upkeep.drop_days(spark, settings.table_path(*BRONZE.full_name.split(".")), dt.date(2024, 1, 2))
     path = str(tmp_path / "batch")
-    upkeep.write_partitioned(whole(spark, settings), BRONZE, path)
+    write_partitioned(whole(spark, settings), BRONZE, path)
     assert len(upkeep.drop_days(spark, path, dt.date(2024, 1, 3))) == 2
     assert spark.read.parquet(path).count() == 30
 
@@ -194,13 +212,6 @@ def test_rebuild(spark, bronze, settings, tmp_path):
     assert compare.same_rows(other[EDITS.name], minutes).first().equal
 
 
-def test_batch_load_equals_stream(spark, bronze, log_folder, settings, tmp_path):
-    raw = LogSource(path=log_folder()).read(spark, stream=False)
-    rebuild.load_bronze(raw, str(tmp_path / "batch"))
-    loaded = spark.read.parquet(f"{tmp_path}/batch/{BRONZE.full_name}").select(*BRONZE.column_names)
-    assert compare.same_rows(loaded, whole(spark, settings)).first().equal
-
-
 def test_busy_feed_is_split_in_batch_writes(spark, tmp_path):
     """With a small target size the feed with most rows gets several files."""
     lines = [(day_record(i, 1, "busy" if i % 10 else f"quiet{i // 10 % 20}"),) for i in range(20_000)]
@@ -210,7 +221,7 @@ def test_busy_feed_is_split_in_batch_writes(spark, tmp_path):
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     spark.conf.set(key, "64k")
     try:
-        upkeep.write_partitioned(events.repartition(8), BRONZE, str(tmp_path / "out"))
+        write_partitioned(events.repartition(8), BRONZE, str(tmp_path / "out"))
     finally:
         spark.conf.unset(key)
     count = lambda feed: len(glob.glob(f"{tmp_path}/out/*/wiki={feed}/*.parquet"))
@@ -244,8 +255,6 @@ def test_exports(spark, bronze, settings, tmp_path):
 
 
 def test_tables_of_a_catalog_are_discovered(spark, settings):
-    import dataclasses
-
     spark.sql("CREATE NAMESPACE IF NOT EXISTS gold")
     spark.sql("CREATE NAMESPACE IF NOT EXISTS bronze")
     spark.sql("CREATE TABLE gold.someone_elses (a int) USING parquet")
