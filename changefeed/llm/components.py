@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changefeed.config import work_dir
+from changefeed.functions import storage
 
 
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -28,6 +29,13 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discarded(df: DataFrame) -> None:
+    """Remove the table of a frame that ``saved`` gave, once nothing reads it any more."""
+    files = df.inputFiles()
+    if files:
+        storage.delete(df.sparkSession, files[0].rsplit("/", 1)[0], encoded=True)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the smallest node reachable.
 

@@ -13,9 +13,12 @@ sum over fragments:
 * they count the partial overlaps of candidate pairs; the sum decides.
 
 Documents with equal sets are one node. Only groups are wanted, so pairs
-inside a group that other links already hold together are not tested: the
-members of a shingle's posting list are tested against a few hubs of the
-list, and again against more hubs while the list still spans several groups.
+inside a group that other links already hold together are not tested. First
+sets with an equal least shingle, by a few orders of the shingles, are tested
+against one of them, which joins most near copies with a few pairs each. Then
+the posting lists that still span several groups are taken: their members are
+tested against a few hubs of the list, and again against more hubs while the
+list spans several groups.
 A list is given up only when all its members are in one group or all its pairs
 across groups were tested, so no link is lost.
 """
@@ -31,10 +34,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from changefeed.llm.blobs import binary, flat
-from changefeed.llm.components import components, saved
-from changefeed.llm.text import BLANKS, Slice, Windows, Words, mixed, slices, windows_of
-
-GROWTH = 8  # how many times more hubs each further round has
+from changefeed.llm.components import components, discarded, saved
+from changefeed.llm.text import BLANKS, Slice, Windows, Words, mixed, per_doc, slices, windows_of
+
+ORDERS = 8  # of shingles, by whose least ones sets are first tested
+HUBS = 16  # of a list in the first round
+GROWTH = 16  # how many times more hubs each further round has
+PAIRS = 1_000_000  # that one part or lot makes
+SMALL = 16 << 20  # bytes of pairs that may be sent to all tasks
 FRAGMENT = 1_000_000  # shingles of candidates that one fragment counts
 
 
@@ -146,7 +153,7 @@ def _shared(table: pa.Table, buckets: int) -> pa.Table:
     many = held[inverse]
     keep = many >= 2
     values, owner, many = values[keep], owner[keep], many[keep]
-    bucket = ((mixed(keys.view(np.uint64)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    bucket = _bucket(keys, buckets)
     order = np.argsort(bucket[owner], kind="stable")
     values, owner, many = values[order], owner[order], many[order]
     ends = np.searchsorted(bucket[owner], np.arange(buckets + 1))
@@ -174,8 +181,10 @@ def _candidates(table: pa.Table, share: int) -> pa.Table:
     distinct, first = np.unique(keys, return_index=True)
     ends = np.searchsorted(owner_key, distinct, "right")
     begins = np.searchsorted(owner_key, distinct, "left")
-    found: dict[str, list] = {"set_key": [], "n": [], "shared": [], "prefix": []}
-    for key, n, a, b in zip(distinct.tolist(), sizes[first].tolist(), begins.tolist(), ends.tolist(), strict=True):
+    found: dict[str, list] = {"set_key": [], "n": [], "shared": [], "prefix": [], "least": []}
+    seeds = mixed(np.arange(1, ORDERS + 1, dtype=np.uint64))
+    least = np.stack([np.minimum.reduceat(mixed(values ^ seed), begins) for seed in seeds], 1).view(np.int64) if len(distinct) else []
+    for key, n, a, b, mine in zip(distinct.tolist(), sizes[first].tolist(), begins.tolist(), ends.tolist(), least, strict=True):
         if 100 * (b - a) < share * n:
             continue
         length = (b - a) - (-(-share * n // 100)) + 1
@@ -184,7 +193,8 @@ def _candidates(table: pa.Table, share: int) -> pa.Table:
         found["n"].append(n)
         found["shared"].append(values[a:b].tobytes())
         found["prefix"].append(values[a:b][rarest].view(np.int64))
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+        found["least"].append(mine)
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
     return pa.table({name: pa.array(v, k) for (name, v), k in zip(found.items(), kinds, strict=True)})
 
 
@@ -204,8 +214,15 @@ def _with_partners(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterato
         yield _rows(rows, [*_NAMES, "partners", "many"])
 
 
-def _overlaps(table: pa.Table) -> pa.Table:
-    """Of one fragment: how many shingles each set shares with its partners."""
+_PAIRS = ["a", "b", "na", "nb", "overlap"]
+
+
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return ((mixed(keys.view(np.uint64)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _overlaps(table: pa.Table, buckets: int) -> pa.Table:
+    """Of one fragment: how many shingles each set shares with its partners, by bucket of sets."""
     keys, n, counts, values = _joined(table)
     partners, _ = flat(table.column("partners"), np.int64)
     many = flat(table.column("many"), np.uint32)[0].astype(np.int64)
@@ -233,8 +250,26 @@ def _overlaps(table: pa.Table) -> pa.Table:
         overlap[begin:end] = np.bincount(pair[found] - begin, minlength=end - begin)
         begin = end
     keep = overlap > 0
-    a, b = a[keep], b[keep]
-    return pa.table({"a": keys[a], "b": keys[b], "na": n[a], "nb": n[b], "overlap": overlap[keep]})
+    a, b, overlap = a[keep], b[keep], overlap[keep]
+    bucket = _bucket(keys[a], buckets)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    columns = [keys[a][order], keys[b][order], n[a][order], n[b][order], overlap[order]]
+    rows = [(k, *[c[x:y].astype(np.int64).tobytes() for c in columns]) for k, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if x < y]
+    return pa.Table.from_batches([_rows(rows, ["bucket", *_PAIRS])])
+
+
+def _links(table: pa.Table, share: int) -> pa.Table:
+    """Of one bucket: the pairs whose partial overlaps add up to a link."""
+    a, b, na, nb, overlap = (flat(table.column(c), np.int64)[0] for c in _PAIRS)
+    order = np.lexsort((b, a))
+    a, b, na, nb, overlap = a[order], b[order], na[order], nb[order], overlap[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    at = np.append(np.flatnonzero(new), len(a))
+    total = per_doc(overlap, at)
+    link = 100 * total >= share * (na[new] + nb[new] - total)
+    return pa.table({"a": a[new][link], "b": b[new][link]})
 
 
 def roots(docs: DataFrame, text_col: str = "text", width: int = 5, share: int = 80) -> DataFrame:
@@ -244,60 +279,140 @@ def roots(docs: DataFrame, text_col: str = "text", width: int = 5, share: int =
     fragments = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut = docs.select(F.col(text_col)).mapInArrow(lambda batches: _segments(batches, width, fragments), f"fragment int, {_BLOBS}")
     shared = cut.groupBy("fragment").applyInArrow(lambda t: _shared(t, fragments), f"bucket int, {_BLOBS}, held binary")
-    found = shared.groupBy("bucket").applyInArrow(lambda t: _candidates(t, share), "set_key bigint, n bigint, shared binary, prefix array<bigint>")
+    found = shared.groupBy("bucket").applyInArrow(lambda t: _candidates(t, share), "set_key bigint, n bigint, shared binary, prefix array<bigint>, least array<bigint>")
     sets = saved(found, "sets")
-    postings = sets.select(F.explode("prefix").alias("gram"), "set_key", "n", F.col("set_key").alias("root"))
+    edges = verified(sets, saved(neighbours(sets, share), "pairs"), share)
+    named = components(edges)
+    rooted = sets.select("set_key", "n", "prefix").join(named.withColumnRenamed("node", "set_key"), "set_key", "left")
+    postings = rooted.select(F.explode("prefix").alias("gram"), "set_key", "n", F.coalesce("root", "set_key").alias("root"))
     # Lists with the same members give the same pairs: one of them is enough.
     marks = F.xxhash64("set_key"), F.xxhash64("set_key", F.lit(1))
-    lists = postings.groupBy("gram").agg(F.count("*").alias("size"), *[F.bit_xor(m).alias(f"m{k}") for k, m in enumerate(marks)])
-    lists = lists.where("size > 1").groupBy("size", "m0", "m1").agg(F.min("gram").alias("gram"))
-    postings = saved(postings.join(lists.select("gram"), "gram"), "postings")
-    named = spark.createDataFrame([], "node bigint, root bigint")
-    edges = tested = None
-    low, high = 0, 0
+    lists = postings.groupBy("gram").agg(
+        F.count("*").alias("size"), F.min("root").alias("x"), F.max("root").alias("y"), *[F.bit_xor(m).alias(f"m{k}") for k, m in enumerate(marks)]
+    )
+    lists = lists.where("x != y").groupBy("size", "m0", "m1").agg(F.min("gram").alias("gram"))
+    postings = saved(postings.join(lists.select("gram", "size"), "gram"), "postings")
+    low, high = 0, HUBS
     while not postings.isEmpty():
-        # Hubs by rank: Spark limits each gram's rows before and after the shuffle.
-        place = F.row_number().over(W.partitionBy("gram").orderBy("set_key"))
-        hubs = postings.withColumn("_place", place).where(F.col("_place") <= max(1, high)).where(F.col("_place") > low)
-        hubs = hubs.select("gram", F.col("set_key").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-        pairs = postings.join(hubs, "gram").where("set_key > b AND root != rb")
-        pairs = pairs.where(100 * F.least("n", "nb") >= share * F.greatest("n", "nb"))
-        pairs = pairs.select(F.col("set_key").alias("a"), "b")
-        # First every set meets only the smallest hub of all its lists.
-        pairs = pairs.distinct() if high else pairs.groupBy("a").agg(F.min("b").alias("b"))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "pairs")
+        pairs = hub_pairs(postings, low, high, share)
         if not pairs.isEmpty():
-            tested = pairs if tested is None else tested.union(pairs)
-            linked = saved(verified(sets, pairs, share), "links")
+            linked = verified(sets, pairs, share)
             if not linked.isEmpty():
-                edges = linked if edges is None else edges.union(linked)
+                edges = edges.union(linked)
                 named = components(edges)
                 postings = postings.drop("root").join(named.withColumnRenamed("node", "set_key"), "set_key", "left")
                 postings = postings.withColumn("root", F.coalesce("root", "set_key"))
-        low, high = high, max(1, high * GROWTH)
+        low, high = high, high * GROWTH
         # A list stays open while it has members past the hubs and spans several groups.
-        lists = postings.groupBy("gram").agg(F.count("*").alias("size"), F.min("root").alias("x"), F.max("root").alias("y"))
+        lists = postings.groupBy("gram").agg(F.max("size").alias("size"), F.min("root").alias("x"), F.max("root").alias("y"))
         lists = lists.where(F.col("size") > low + 1).where("x != y").select("gram")
-        postings = saved(postings.select("gram", "set_key", "n", "root").join(lists, "gram"), "postings")
+        postings = saved(postings.select("gram", "set_key", "n", "root", "size").join(lists, "gram"), "postings")
     return named
 
 
-def verified(sets: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
-    """The pairs that link: partial overlaps by fragment, summed."""
-    packed = pairs.groupBy("a").agg(F.collect_set("b").alias("p"))
+def hub_pairs(postings: DataFrame, low: int, high: int, share: int) -> DataFrame:
+    """(set_key, partners) as ``verified`` takes it, a written table: members of each posting list with its hubs, those of rank low to high.
+
+    Long lists are dealt in slabs of members, each with all hubs, and lists and
+    slabs to parts of bounded work. A part gives each pair once, in blobs by
+    bucket of sets; a bucket joins the parts' blobs.
+    """
+    # Hubs by rank: Spark limits each gram's rows before and after the shuffle.
+    place = F.row_number().over(W.partitionBy("gram").orderBy("set_key"))
+    hubs = postings.withColumn("_place", place).where(F.col("_place") <= high).where(F.col("_place") > low)
+    most = postings.agg(F.sum(F.least("size", F.lit(high - low)))).first()[0]  # pairs before equal ones are one
+    parts, buckets = -(-most // PAIRS), -(-most // (4 * PAIRS))
+    slabs = F.ceil(F.col("size") * F.least("size", F.lit(high - low)) / PAIRS).cast("int")
+    columns = ["gram", "set_key", "n", "root", "hub", "slab"]
+    members = postings.withColumn("slab", F.pmod(F.xxhash64("set_key"), slabs).cast("int")).withColumn("hub", F.lit(False))
+    both = members.select(*columns).unionByName(hubs.withColumn("hub", F.lit(True)).withColumn("slab", F.explode(F.sequence(F.lit(0), slabs - 1))).select(*columns))
+    dealt = both.withColumn("part", F.pmod(F.xxhash64("gram", "slab"), F.lit(parts)).cast("int"))
+    found = dealt.groupBy("part").applyInArrow(lambda t: _hub_pairs(t, share, buckets), "bucket int, a binary, b binary")
+    return saved(found.groupBy("bucket").applyInArrow(_partners, "set_key bigint, partners binary").groupBy("set_key").agg(F.max("partners").alias("partners")), "pairs")
+
+
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair once, in order."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
+def _hub_pairs(table: pa.Table, share: int, buckets: int) -> pa.Table:
+    """Of one part: members with the smaller hubs of their lists, in other groups and of sizes that can link."""
+    gram, key, n, root, slab = (table.column(c).to_numpy() for c in ("gram", "set_key", "n", "root", "slab"))
+    hub = table.column("hub").to_numpy()
+    order = np.lexsort((slab, gram))
+    gram, key, n, root, slab, hub = gram[order], key[order], n[order], root[order], slab[order], hub[order]
+    new = np.ones(len(gram), bool)
+    new[1:] = (gram[1:] != gram[:-1]) | (slab[1:] != slab[:-1])
+    group = np.cumsum(new) - 1
+    member, place = np.flatnonzero(~hub), np.flatnonzero(hub)
+    begin = np.searchsorted(group[place], group[member])
+    many = np.searchsorted(group[place], group[member], "right") - begin
+    a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    step, x = np.cumsum(many), 0
+    while x < len(member):  # pairs in lots of bounded size
+        y = max(x + 1, int(np.searchsorted(step, (step[x - 1] if x else 0) + PAIRS)))
+        left = np.repeat(member[x:y], many[x:y])
+        right = place[np.arange(len(left)) - np.repeat(np.cumsum(many[x:y]) - many[x:y], many[x:y]) + np.repeat(begin[x:y], many[x:y])]
+        fits = (key[left] > key[right]) & (root[left] != root[right])
+        fits &= 100 * np.minimum(n[left], n[right]) >= share * np.maximum(n[left], n[right])
+        a, b = _distinct(np.concatenate([a, key[left[fits]]]), np.concatenate([b, key[right[fits]]]))
+        x = y
+    bucket = _bucket(a, buckets)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    rows = [(k, a[order[x:y]].tobytes(), b[order[x:y]].tobytes()) for k, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if x < y]
+    return pa.Table.from_batches([_rows(rows, ["bucket", "a", "b"])])
+
+
+def _partners(table: pa.Table) -> pa.Table:
+    """Of one bucket: each set with its partners, and the partners with none."""
+    a, b = _distinct(*(flat(table.column(c), np.int64)[0] for c in "ab"))
+    keys, at = np.unique(a, return_index=True)
+    others = np.setdiff1d(b, keys)
+    lists = binary(b, np.append(at, len(b)).astype(np.int64))
+    return pa.table({"set_key": np.concatenate([keys, others]), "partners": pa.concat_arrays([lists, pa.array([b""] * len(others), pa.binary())])})
+
+
+def neighbours(sets: DataFrame, share: int) -> DataFrame:
+    """(set_key, partners): every set with one that has the same least shingle, by each of ``ORDERS`` orders; another one by each order."""
+    marks = sets.select("set_key", "n", F.posexplode("least").alias("k", "least"))
+    hub = F.min_by(F.struct(F.col("set_key").alias("b"), F.col("n").alias("nb")), F.xxhash64("set_key", "k")).alias("hub")
+    hubs = marks.groupBy("k", "least").agg(hub, F.count("*").alias("size")).where("size > 1").select("k", "least", "hub.b", "hub.nb")
+    pairs = marks.join(hubs, ["k", "least"]).where("set_key != b")
+    pairs = pairs.where(100 * F.least("n", "nb") >= share * F.greatest("n", "nb"))
+    pairs = pairs.select(F.greatest("set_key", "b").alias("a"), F.least("set_key", "b").alias("b"))
     to_bytes = F.arrow_udf(_list_bytes, "binary")
-    partners = packed.select(F.col("a").alias("set_key"), to_bytes("p").alias("partners"))
+    # At most one partner for each order, and those for which a set is the partner.
+    partners = pairs.groupBy("a").agg(F.collect_set("b").alias("p")).select(F.col("a").alias("set_key"), to_bytes("p").alias("partners"))
     partners = partners.unionByName(pairs.select(F.col("b").alias("set_key"), F.lit(b"").alias("partners")).distinct())
-    partners = partners.groupBy("set_key").agg(F.max("partners").alias("partners"))
+    return partners.groupBy("set_key").agg(F.max("partners").alias("partners"))
+
+
+def verified(sets: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
+    """The pairs that link, as a written table: partial overlaps by fragment, summed.
+
+    ``pairs`` has a row for each set of a pair, with its partners' keys as bytes
+    where it is the larger one.
+    """
+    # Few pairs go to the sets, with many both are shuffled: 8 bytes a pair, and the keys.
+    told = pairs.agg(F.count("*").alias("keys"), F.sum(F.length("partners")).alias("bytes")).first()
+    many = (told["bytes"] or 0) // 8
+    partners = F.broadcast(pairs) if 8 * (2 * told["keys"] + many) <= SMALL else pairs
     rows = saved(sets.select("set_key", "n", "shared").join(partners, "set_key").select("set_key", "n", "shared", "partners"), "asked")
     shingles = rows.agg(F.sum(F.length("shared"))).first()[0] or 0
     fragments = max(1, -(-shingles // (8 * FRAGMENT)))
     cut = rows.mapInArrow(lambda batches: _with_partners(batches, fragments), f"fragment int, {_BLOBS}, partners binary, many binary")
-    counted = cut.groupBy("fragment").applyInArrow(_overlaps, "a bigint, b bigint, na bigint, nb bigint, overlap bigint")
-    sums = counted.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("o"))
-    return sums.where(100 * F.col("o") >= share * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
+    # A pair has a partial overlap in each fragment at most.
+    buckets = max(1, -(-many * fragments // FRAGMENT))
+    counted = cut.groupBy("fragment").applyInArrow(lambda t: _overlaps(t, buckets), f"bucket int, {', '.join(f'{c} binary' for c in _PAIRS)}")
+    linked = saved(counted.groupBy("bucket").applyInArrow(lambda t: _links(t, share), "a bigint, b bigint"), "links")
+    discarded(rows)
+    return linked
 
 
 def _list_bytes(lists: pa.Array) -> pa.Array:
