@@ -266,15 +266,14 @@ def test_filters_leave_out_no_id_that_was_seen(spark):
 def test_a_silent_feed_is_told_and_so_is_its_return(spark, log_folder, settings, tmp_path):
     import time
 
-    from changefeed.streaming.silence import silent_feeds
+    from changefeed.streaming.silence import SILENCE_DDL, silent_feeds
 
     path = log_folder([day_record(0, 1, "a"), day_record(1, 1, "b")])
     found = silent_feeds(gate(LogSource(path=path).read(spark))[0], 6)
     writer = found.writeStream.option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="1 second")
     query = writer.format("parquet").start(str(tmp_path / "out"))
-    told = lambda: [(r.feed, r.silent) for r in spark.read.parquet(str(tmp_path / "out")).orderBy("at").collect()]
+    told = lambda: [(r.feed, r.silent) for r in spark.read.schema(SILENCE_DDL).parquet(str(tmp_path / "out")).orderBy("at").collect()]
     try:
-        query.processAllAvailable()
         until = time.time() + 120
         # Nothing arrives any more, and both are told to be silent.
         while time.time() < until and len(told()) < 2:
@@ -283,6 +282,6 @@ def test_a_silent_feed_is_told_and_so_is_its_return(spark, log_folder, settings,
         log_folder([day_record(2, 1, "b")])
         while time.time() < until and ("b", False) not in told():
             time.sleep(1)
-        assert told()[2] == ("b", False)
+        assert ("b", False) in told()[2:]
     finally:
         query.stop()
