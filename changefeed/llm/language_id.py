@@ -14,7 +14,6 @@ long documents included, whole.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from functools import cache
 
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 from changefeed.llm.text import Slice, per_doc, slices
 
 BLOCK = 256
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = r"\p{L}"
 _PLAIN = bytes(c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x0A if c == 0x0A else 0x20 for c in range(256))
 UNKNOWN = "und"
 
@@ -137,7 +136,7 @@ def phrases(part: Slice, model: Languages) -> np.ndarray:
 def predict(column: pa.Array, model: Languages) -> tuple[list[str], np.ndarray]:
     """A language and a score in 0..1 (lead over the second language) for each text."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
-    lettered = np.array([_LETTER.search(t) is not None for t in column.to_pylist()], bool)
+    lettered = pc.match_substring_regex(column, _LETTER).to_numpy(zero_copy_only=False)
     names, scores = [], []
     for part in slices(pc.utf8_lower(column)):
         part = plain(part)
@@ -169,7 +168,7 @@ def train(
     ``sample`` documents and ``letters`` bytes a language (the last one is cut there)."""
     rows = docs if where is None else docs.where(where)
     rows = rows.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
-    rows = rows.where(F.col("_text").rlike("\\p{L}") & F.col("_lang").isNotNull())
+    rows = rows.where(F.col("_text").rlike(_LETTER) & F.col("_lang").isNotNull())
     counts = {r["_lang"]: r["count"] for r in rows.groupBy("_lang").count().collect()}
     if not counts:
         return Languages((), ())

@@ -189,6 +189,8 @@ def test_languages(spark):
     assert np.mean([rows[i]["lang_pred"] == langs[i] for i in range(200)]) > 0.97
     none = [rows[200 + i]["lang_pred"] for i, t in enumerate(HARD) if not re.search(r"[^\W\d_]", t or "")]
     assert none == ["und"] * len(none) and len(none) == 5
+    # Numbers of other forms are no letters, wherever they stand.
+    assert language_id.predict(pa.array(["½ ²", "①", "Ⅷ 12_", "½ é"]), model)[0][:3] == ["und"] * 3
     assert all(0 <= r["score"] <= 1 for r in rows.values())
     untrained = language_id.train(docs.limit(0))
     assert {r["language"]["lang_pred"] for r in language_id.identify(docs, untrained).collect()} == {"und"}
