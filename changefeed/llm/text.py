@@ -9,6 +9,7 @@ of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,6 +78,15 @@ def slices(column: pa.Array | pa.ChunkedArray, lower: bool = False, size: int =
         data = bytes(view[offsets[row] : offsets[end]])
         yield Slice(lowered(data) if lower else data, offsets[row : end + 1] - offsets[row], row)
         row = end
+    release()
+
+
+def release() -> None:
+    """Give free memory back to the system: workers go on with other operators, whose peaks would add to it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 class Words:
