@@ -19,6 +19,9 @@ from changefeed.llm import decontamination, jaccard_join, packing, pii, quality_
 from changefeed.llm.components import saved
 
 
+#: Bytes of marks of copies that may be sent to all tasks.
+SMALL = 16 << 20
+
 #: The text has a character other than ASCII blanks.
 HAS_WORDS = r"[^\x20\x09-\x0D]"
 
@@ -47,6 +50,8 @@ def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gone = saved(jaccard_join.copies(docs.select("doc_id", "text")), "copies").select(F.col("doc_id").alias(f"{mark}_id"), F.col("mark").alias(f"{mark}_gone"))
     rows = docs.withColumn(mark, F.xxhash64("text"))
     same = F.col("doc_id").eqNullSafe(F.col(f"{mark}_id")) & (F.col(mark) == F.col(f"{mark}_gone"))
+    # A row of ``gone`` has 16 bytes; where they are many, both sides are shuffled, texts too.
+    gone = F.broadcast(gone) if 16 * gone.count() <= SMALL else gone
     kept = rows.join(gone, same, "left_anti")
     again = rows.where(F.col("doc_id").isNotNull() | F.coalesce(F.col("text").rlike(HAS_WORDS), F.lit(False))).groupBy("doc_id", mark).count().where("count > 1")
     again = saved(again.select(F.col("doc_id").alias(f"{mark}_id"), F.col(mark).alias(f"{mark}_gone")), "again")
