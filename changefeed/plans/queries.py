@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import TimestampType
 
-from changefeed.config import Settings, prepare_session, work_dir
+from changefeed.config import Settings, is_local, prepare_session, work_dir
 from changefeed.functions import storage
 from changefeed.operators import (
     compaction,
@@ -398,9 +398,23 @@ def catalog_tables(spark: SparkSession, directory: str) -> DataFrame:
 
 # --- streams ------------------------------------------------------------
 
+def _settings(spark: SparkSession, label: str, **changes) -> Settings:
+    """Settings of a pipeline in a folder of its own.
+
+    A cluster wants the width of the state said: a partition per core, as a
+    local session has, and no more than the session's shuffles. Executors may
+    still be on their way when it is asked for, so a few count as there. The
+    days and feeds of the table are many keys by themselves, so a few tasks to
+    each are enough at any width.
+    """
+    if not is_local(spark):
+        width = min(_width(spark), max(spark.sparkContext.defaultParallelism, 12))
+        changes = {"state_partitions": width, "splits": min(8, max(2, width // 4)), **changes}
+    return Settings(root=work_dir(spark, label), **changes)
+
+
 def _pipeline(spark: SparkSession, directory: str, label: str, **changes) -> Pipeline:
-    settings = Settings(root=work_dir(spark, label), **changes)
-    return Pipeline(spark, streamed_log(spark, directory), settings)
+    return Pipeline(spark, streamed_log(spark, directory), _settings(spark, label, **changes))
 
 
 def _run(pipeline: Pipeline, *tables: Table) -> Pipeline:
@@ -475,7 +489,7 @@ def stream_batches(spark: SparkSession, directory: str) -> DataFrame:
     log = raw_log(spark, directory)
     again = F.row_number().over(Window.partitionBy("raw_json").orderBy("arrived_at")) - 1
     late = F.when(F.col("raw_json").contains('"id":"evt-'), 2 * again).otherwise(0)
-    settings = Settings(root=work_dir(spark, "batches"))
+    settings = _settings(spark, "batches")
     pipeline = Pipeline(spark, _sliced_log(spark, log, late, 5), settings)
     recorded = metrics.recorded(spark, settings.metrics_path, lambda: _run(pipeline, BRONZE))
     bronze = pipeline.table(BRONZE).agg(F.count(F.lit(1)).alias("bronze_rows"))
@@ -488,7 +502,7 @@ def rebuild_recovers_late(spark: SparkSession, directory: str) -> DataFrame:
     came many days late: the stream's gold tables cannot have them, a rebuild has."""
     number = F.expr("try_cast(regexp_extract(raw_json, '\"id\":\"evt-([0-9]+)\"', 1) AS BIGINT)")
     late = F.when(number % 97 == 5, 2).otherwise(0)
-    settings = Settings(root=work_dir(spark, "keeps-all"), bronze="all")
+    settings = _settings(spark, "keeps-all", bronze="all")
     pipeline = Pipeline(spark, _sliced_log(spark, raw_log(spark, directory), late, 5), settings)
     bronze = _run(pipeline, BRONZE).table(BRONZE)
     return windows.EDITS_SPEC.build(first_copies(bronze.select(*FACTS)))
@@ -503,7 +517,7 @@ def load_then_stream(spark: SparkSession, directory: str) -> DataFrame:
     path, parts = work_dir(spark, "handed-over"), work_dir(spark, "handed-over-parts")
     later = (F.col("arrived_at") >= F.lit("2024-01-21").cast("timestamp")) | (near & again)
     log.withColumn("slice", later.cast("int")).write.partitionBy("slice").parquet(parts)
-    settings = Settings(root=work_dir(spark, "load-then-stream"), horizon="3 hours")
+    settings = _settings(spark, "load-then-stream", horizon="3 hours")
     source = LogSource(format="text", path=path, max_files=2)
     for k in range(2):
         spark.read.parquet(parts).filter(F.col("slice") == k).select("raw_json").repartition(4).write.mode("append").text(path)
@@ -516,7 +530,7 @@ def load_then_stream(spark: SparkSession, directory: str) -> DataFrame:
 def stream_sessions(spark: SparkSession, directory: str) -> DataFrame:
     """Sessions of users over three batches: those whose end the watermark has
     passed, merged across batches."""
-    settings = Settings(root=work_dir(spark, "sessions"))
+    settings = _settings(spark, "sessions")
     pipeline = Pipeline(spark, _sliced_log(spark, raw_log(spark, directory), F.lit(0), 3), settings)
     found = windows.sessions(pipeline.events("10 minutes", ["meta_id", "event_time", "user"]), "30 minutes", ["user"])
     out = work_dir(spark, "sessions-out")
@@ -547,7 +561,7 @@ def stream_top_pages(spark: SparkSession, directory: str) -> DataFrame:
     the last of them merged twice."""
     number = F.expr("try_cast(regexp_extract(raw_json, '\"id\":\"evt-([0-9]+)\"', 1) AS BIGINT)")
     late = F.when(number % 89 == 7, 2).otherwise(0)
-    settings = Settings(root=work_dir(spark, "ranking"), horizon="40 days", watermark="40 days")
+    settings = _settings(spark, "ranking", horizon="40 days", watermark="40 days")
     pipeline = Pipeline(spark, _sliced_log(spark, raw_log(spark, directory), late, 5), settings)
     counts = windows.PAGES_SPEC.build(pipeline.events("40 days", windows.PAGES_SPEC.inputs))
     path = work_dir(spark, "ranking-table")
@@ -576,7 +590,7 @@ def silent_feeds(spark: SparkSession, directory: str) -> DataFrame:
         some.select("raw_json").coalesce(1).write.mode("append").text(path)
 
     storage.make_folder(spark, path)
-    out, settings = work_dir(spark, "silence"), Settings(root=work_dir(spark, "silence-root"))
+    out, settings = work_dir(spark, "silence"), _settings(spark, "silence-root")
     found = silence.silent_feeds(gate(LogSource(format="text", path=path).read(spark))[0], 15)
     width = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", settings.width(spark))

@@ -316,3 +316,37 @@ def test_bronze_that_keeps_everything(spark, log_folder, settings):
     pipe.run_available()
     assert sorted(r.meta_id for r in pipe.table(BRONZE).collect()) == ["a", "a", "b", "c", "late"]
     assert {(r.window_start.minute, r.edit_count) for r in pipe.table(EDITS).collect() if r.window_start.minute == 20} == {(20, 1)}
+
+
+@pytest.mark.parametrize("name", ["stream_bronze", "stream_top_pages"])
+def test_queries_of_streams_know_a_width_on_a_cluster(spark, tmp_path, monkeypatch, name):
+    from changefeed import config
+    from changefeed.plans import queries
+
+    for module in (config, queries):
+        monkeypatch.setattr(module, "is_local", lambda session: False, raising=False)
+    found = spark.range(1, 41).select(
+        F.col("id").alias("event_id"),
+        F.expr("timestamp_ntz'2024-01-09 00:00:00' + make_dt_interval(0, id * 8)").alias("ts"),
+        F.lit(7).cast("bigint").alias("user_id"),
+        F.lit("edit").alias("event_type"),
+        F.lit(1.0).alias("value"),
+        F.lit('{"k": 3}').alias("props"),
+    )
+    found.write.parquet(f"{tmp_path}/events.parquet")
+    rows = queries.QUERIES[name](spark, str(tmp_path)).collect()
+    # Of the 40 events those numbered 1 to 6 and 8 are refused.
+    assert len(rows) == 33
+
+
+def test_a_width_that_is_given_stays(spark, monkeypatch):
+    from changefeed import config
+    from changefeed.plans import queries
+
+    monkeypatch.setattr(queries, "is_local", lambda session: False, raising=False)
+    monkeypatch.setattr(config, "is_local", lambda session: False)
+    settings = queries._settings(spark, "given", state_partitions=3, splits=0)
+    assert (settings.width(spark), settings.spread_over(spark)) == (3, 0)
+    assert queries._settings(spark, "own").width(spark) == 4
+    with pytest.raises(ValueError):
+        Settings(root="r").width(spark)
