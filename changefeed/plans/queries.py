@@ -35,7 +35,7 @@ from changefeed.operators.writes import write_partitioned
 from changefeed.schema import ALL_TABLES, BRONZE, BOTS, DAY, EDITS, LATE, PAGES, REJECTS, Table, create_tables
 from changefeed.sources.captured import intake, read_captured
 from changefeed.sources.events import change_log, read_events, stream_events
-from changefeed.sources.log import LogSource, feed_key, keyed, land, rows_per_partition, widened
+from changefeed.sources.log import LogSource, feed_key, keyed, land, land_by_feed, rows_per_partition, widened
 from changefeed.sources.tables import between, read_files, read_live, read_table, listed_tables
 from changefeed.streaming import metrics, ranking, silence, state
 from changefeed.streaming.handover import first_load
@@ -785,8 +785,7 @@ def counts_from_footers(spark: SparkSession, directory: str) -> DataFrame:
 def rows_per_file(spark: SparkSession, directory: str) -> DataFrame:
     """Records in each file of a log that has a folder for each feed."""
     path = work_dir(spark, "log-files")
-    log = raw_log(spark, directory).select("raw_json", feed_key().alias("feed"))
-    log.repartition(1, "feed").write.partitionBy("feed").parquet(path)
+    land_by_feed(raw_log(spark, directory), path, files=_width(spark))
     source = LogSource(format="parquet", path=path, schema="raw_json string")
     found = rows_per_partition(source.load(spark, stream=False))
     feed = F.url_decode(F.regexp_extract("log_partition", "/feed=([^/]*)/", 1))

@@ -185,3 +185,32 @@ def test_change_log(spark):
     assert accepted.filter("meta_id = 'evt-50'").count() == 2
     row = accepted.filter("meta_id = 'evt-10'").first()
     assert (row.wiki, row.title, row.bot, row.user) == ("wiki4", "page-5", True, "u10")
+
+
+def test_a_file_for_each_feed_though_tasks_have_many(spark, tmp_path):
+    from changefeed.sources.log import land_by_feed, rows_per_partition
+
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    usual = spark.conf.get(setting)
+    log = spark.range(700).selectExpr("""concat('{"wiki":"w', id % 7, '/ é"}') AS raw_json""")
+    land_by_feed(log.unionByName(spark.sql("SELECT 'no' AS raw_json")), f"{tmp_path}/feeds", files=2, open_files=2)
+    assert spark.conf.get(setting) == usual
+    source = LogSource(format="parquet", path=f"{tmp_path}/feeds", schema="raw_json string")
+    assert sorted(r.row_count for r in rows_per_partition(source.load(spark, stream=False)).collect()) == [1] + [100] * 7
+
+
+def test_rows_per_file_deals_feeds_to_tasks(spark, tmp_path):
+    from changefeed.plans import queries
+
+    found = spark.range(600).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-09 00:00:00' AS ts", "id AS user_id", "'edit' AS event_type", "1D AS value", "'{\"k\": 3}' AS props"
+    )
+    found.write.parquet(f"{tmp_path}/events.parquet")
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{base}/log-files-*"))
+    rows = {r.feed: r.row_count for r in queries.QUERIES["rows_per_file"](spark, str(tmp_path)).collect()}
+    assert sum(rows.values()) == 612 and len(rows) == 8
+    (path,) = set(glob.glob(f"{base}/log-files-*")) - before
+    files = glob.glob(f"{path}/feed=*/part-*.parquet")
+    # The whole log went through one task and its sort.
+    assert len(files) == 8 and len({f.rsplit("/part-", 1)[1][:5] for f in files}) > 1
