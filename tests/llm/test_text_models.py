@@ -211,3 +211,21 @@ def test_held_out_accuracy(name):
         texts.append(b" ".join(language_id.plain(p).data.replace(b"\n", b" ") for p in slices(pc.utf8_lower(pa.array(own))))[:24_000])
     found, _ = language_id.predict(pa.array([d["text"] for d in held]), language_id.Languages(tuple(names), tuple(texts)))
     assert np.mean([f == d["lang"] for f, d in zip(found, held, strict=True)]) > 0.95
+
+
+def test_quality_is_learnt_from_all_labelled_documents(spark):
+    # What a sample of one in thousands misses: the few documents that show a second kind of junk.
+    rng = np.random.default_rng(3)
+    y = (rng.random(3000) < 0.5).astype(int)
+    x = rng.normal(size=(3000, quality_classifier.WIDTH)) + y[:, None] * np.linspace(0, 0.4, quality_classifier.WIDTH)
+    table = spark.createDataFrame([(int(a), [float(v) for v in b]) for a, b in zip(y, x)], "y int, x array<double>").repartition(3)
+    found = quality_classifier.fit(table)
+    z = (x - found.mean) / found.spread
+    gap = (z[y == 1][:, None, :] - z[y == 0][None, :, :])
+    miss = 1 / (1 + np.exp(gap @ found.weights))
+    slope = np.einsum("ij,ijk->k", miss, gap) / miss.size - 1e-3 * found.weights
+    assert np.abs(slope).max() < 1e-3  # of the loss over all pairs
+    raw = z @ found.weights
+    errors = lambda c: np.mean(raw[y == 1] < c) + np.mean(raw[y == 0] >= c)
+    assert errors(found.cut) <= min(map(errors, np.quantile(raw, np.linspace(0.005, 0.995, 199)))) + 0.005
+    assert quality_classifier.fit(table.where("y = 1")).weights is None
