@@ -350,3 +350,37 @@ def test_a_width_that_is_given_stays(spark, monkeypatch):
     assert queries._settings(spark, "own").width(spark) == 4
     with pytest.raises(ValueError):
         Settings(root="r").width(spark)
+
+
+@pytest.mark.parametrize(
+    "name",
+    "load_then_stream orphan_files rebuild_recovers_late replay_equals_control silent_feeds state_rows stream_batches "
+    "stream_bot_vs_human stream_bots_from_bronze stream_bronze stream_edits_from_bronze stream_edits_per_minute stream_late "
+    "stream_metrics stream_page_edits_10min stream_pages_from_bronze stream_pipeline_counts stream_rejects stream_sessions".split(),
+)
+def test_queries_of_streams_equal_their_sql_off_local_sessions(spark, tmp_path, monkeypatch, name):
+    duckdb = pytest.importorskip("duckdb")
+    from changefeed import config
+    from changefeed.plans import oracles, queries
+
+    for module in (config, queries):
+        monkeypatch.setattr(module, "is_local", lambda session: False, raising=False)
+    found = spark.range(1, 4001).select(
+        F.col("id").alias("event_id"),
+        F.expr("timestamp_ntz'2024-01-05 00:00:00' + make_dt_interval(0, 0, cast(id * 7 as int), 7)").alias("ts"),
+        (F.col("id") % 120).alias("user_id"),
+        F.lit("edit").alias("event_type"),
+        F.lit(1.0).alias("value"),
+        F.lit('{"k": 3}').alias("props"),
+    )
+    found.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    df = queries.all_queries()[name](spark, str(tmp_path))
+    columns = sorted(df.columns)
+    rows = sorted(repr([r[c] for c in columns]) for r in df.collect())
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    result = db.execute(oracles.ORACLES[name])
+    names = [d[0] for d in result.description]
+    assert sorted(names) == columns
+    wanted = sorted(repr([r[names.index(c)] for c in columns]) for r in result.fetchall())
+    assert rows and rows == wanted
