@@ -25,7 +25,7 @@ across groups were tested, so no link is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +34,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from changefeed.llm.blobs import binary, flat
+from changefeed.llm.chunks import ranges
 from changefeed.llm.components import components, discarded, saved
-from changefeed.llm.text import BLANKS, Slice, Windows, Words, mixed, per_doc, slices, windows_of
+from changefeed.llm.text import BLANKS, Slice, Windows, Words, mixed, per_doc, release, slices, windows_of
 
 ORDERS = 8  # of shingles, by whose least ones sets are first tested
 HUBS = 16  # of a list in the first round
 GROWTH = 16  # how many times more hubs each further round has
-PAIRS = 1_000_000  # that one part or lot makes
+PAIRS = 1_000_000  # that one part makes
+LOT = PAIRS // 4  # pairs that a task looks at together, and rows of one part
+SLAB = 2 * PAIRS  # of one fragment, that a task is given
 SMALL = 16 << 20  # bytes of pairs that may be sent to all tasks
 FRAGMENT = 1_000_000  # shingles of candidates that one fragment counts
+BATCH_BYTES = 8 << 20  # of rows that a task hands over together
 
 
 def shingle_sets(part: Slice, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,20 +97,34 @@ _BLOBS = "keys binary, sizes binary, counts binary, values binary"
 
 def _blobs(place: int, keys: np.ndarray, sizes: np.ndarray, counts: np.ndarray, values: np.ndarray) -> tuple:
     """Segments of several sets as one row: a place to go to, set keys, set sizes, segment lengths, shingles."""
-    return place, keys.tobytes(), sizes.astype(np.int64).tobytes(), counts.astype(np.uint32).tobytes(), values.tobytes()
+    return place, keys.tobytes(), sizes.astype(np.uint32).tobytes(), counts.astype(np.uint32).tobytes(), values.tobytes()
 
 
-def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
+def _rows(rows: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of a place and blobs, in batches of bounded size."""
+    lot, size = [], 0
+    for row in rows:
+        lot.append(row)
+        size += sum(map(len, row[1:]))
+        if size >= BATCH_BYTES:
+            yield _batch(lot, names)
+            lot, size = [], 0
+    if lot:
+        yield _batch(lot, names)
+
+
+def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 0 else pa.binary()) for k, c in enumerate(columns)], names)
 
 
 _NAMES = ["fragment", "keys", "sizes", "counts", "values"]
+_KINDS = (np.int64, np.uint32, np.uint32, np.uint64)
 
 
-def _cut(keys: np.ndarray, n: np.ndarray, values: np.ndarray, doc: np.ndarray, fragments: int) -> Iterator[tuple]:
-    """Sets (values by document, rising) cut at the fragment borders: one row of blobs for each fragment."""
-    piece = _fragment(values, fragments)
+def _cut(n: np.ndarray, values: np.ndarray, fragments: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Sets (n values each, rising) cut at the fragment borders: the fragment, its sets, their segments' lengths, the values."""
+    doc, piece = np.repeat(np.arange(len(n)), n), _fragment(values, fragments)
     order = np.argsort(piece, kind="stable")  # within a fragment by document, values rising
     values, doc, piece = values[order], doc[order], piece[order]
     ends = np.searchsorted(piece, np.arange(fragments + 1))
@@ -114,10 +132,11 @@ def _cut(keys: np.ndarray, n: np.ndarray, values: np.ndarray, doc: np.ndarray, f
         a, b = ends[f], ends[f + 1]
         if a < b:
             rows, counts = np.unique(doc[a:b], return_counts=True)
-            yield _blobs(f, keys[rows], n[rows], counts, values[a:b])
+            yield f, rows, counts, values[a:b]
 
 
 def _segments(batches: Iterator[pa.RecordBatch], width: int, fragments: int) -> Iterator[pa.RecordBatch]:
+    """Sets cut at the fragment borders. A set's size goes with its first segment, the others have 0."""
     seen: set[int] = set()  # sets this task has sent already
     for batch in batches:
         for part in slices(batch.column(0), lower=True):
@@ -128,63 +147,100 @@ def _segments(batches: Iterator[pa.RecordBatch], width: int, fragments: int) ->
                 wanted[i] = n[i] > 0 and key not in seen
                 if wanted[i]:
                     seen.add(key)
-            doc = np.repeat(np.arange(part.n), n)
-            keep = wanted[doc]
-            yield _rows(list(_cut(keys, n, values[keep], doc[keep], fragments)), _NAMES)
+            values, keys, n = values[np.repeat(wanted, n)], keys[wanted], n[wanted]
+            left = n.copy()
+            rows = []
+            for f, own, counts, some in _cut(n, values, fragments):
+                rows.append(_blobs(f, keys[own], left[own], counts, some))
+                left[own] = 0
+            yield from _rows(iter(rows), _NAMES)
 
 
-def _joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All rows of blobs of a group after each other."""
-    kinds = (np.int64, np.int64, np.uint32, np.uint64)
-    keys, sizes, counts, values = (flat(table.column(c), k)[0] for c, k in zip(_NAMES[1:], kinds, strict=True))
-    return keys, sizes, counts.astype(np.int64), values
+def _grouped(f: Callable[..., Iterator[pa.RecordBatch]], *rest) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``f(batches, *rest)`` as ``applyInArrow`` takes it: a group is read and handed over batch by batch."""
 
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches, *rest)
+        release()
 
-def _shared(table: pa.Table, buckets: int) -> pa.Table:
-    """Of one fragment: the shingles that two sets or more hold, with how many hold them, by bucket of sets."""
-    keys, sizes, counts, values = _joined(table)
-    _, first = np.unique(keys, return_index=True)  # other tasks may have sent the same set
-    only = np.zeros(len(keys), bool)
-    only[first] = True
-    owner = np.repeat(np.arange(len(keys)), counts)
-    keep = only[owner]
-    values, owner = values[keep], owner[keep]
-    _, inverse, held = np.unique(values, return_inverse=True, return_counts=True)
-    many = held[inverse]
-    keep = many >= 2
-    values, owner, many = values[keep], owner[keep], many[keep]
-    bucket = _bucket(keys, buckets)
-    order = np.argsort(bucket[owner], kind="stable")
-    values, owner, many = values[order], owner[order], many[order]
-    ends = np.searchsorted(bucket[owner], np.arange(buckets + 1))
-    out = []
-    for b in range(buckets):
-        x, y = ends[b], ends[b + 1]
-        if x < y:
-            rows, at = np.unique(owner[x:y], return_index=True)
-            size = np.diff(np.append(at, y - x))
-            out.append((*_blobs(b, keys[rows], sizes[rows], size, values[x:y]), np.minimum(many[x:y], 2**32 - 1).astype(np.uint32).tobytes()))
-    return pa.Table.from_batches([_rows(out, ["bucket", *_NAMES[1:], "held"])])
+    return apply
 
 
-def _candidates(table: pa.Table, share: int) -> pa.Table:
+def _blob_columns(batches: Iterator[pa.RecordBatch], names: list[str], kinds: tuple) -> list[np.ndarray]:
+    """All rows' blobs of a group after each other, column by column; no batch is kept while the next is read."""
+    found: list[list] = [[] for _ in names]
+    for batch in batches:
+        for name, kind, parts in zip(names, kinds, found, strict=True):
+            parts.append(flat(batch.column(name), kind)[0])
+    columns = []
+    for kind, parts in zip(kinds, found, strict=True):
+        columns.append(np.concatenate([np.zeros(0, kind), *parts]))
+        parts.clear()
+    return columns
+
+
+def _shared(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Of one fragment: the shingles that two sets or more hold, with how many hold them, by bucket of sets.
+
+    The segment that tells a set's size goes on, though it may hold no such shingle.
+    """
+    keys, sizes, counts, values = _blob_columns(batches, _NAMES[1:], _KINDS)
+    only = np.zeros(len(keys), bool)
+    only[np.unique(keys, return_index=True)[1]] = True  # other tasks may have sent the same set
+    if not only.all():
+        values = values[np.repeat(only, counts)]
+        keys, sizes, counts = keys[only], sizes[only], counts[only]
+    order = np.argsort(values)
+    new = np.ones(len(values) + 1, bool)
+    ranked = values[order]
+    new[1:-1] = ranked[1:] != ranked[:-1]
+    many = np.diff(np.flatnonzero(new))
+    held = np.zeros(len(values), np.uint32)
+    held[order] = np.repeat(np.minimum(many, 2**32 - 1).astype(np.uint32), many)
+    del order, new, ranked, many
+    keep = held >= 2
+    counts = per_doc(keep, np.append(0, np.cumsum(counts, dtype=np.int64)))
+    values, held = values[keep], held[keep]
+    told = np.flatnonzero((counts > 0) | (sizes > 0))
+    bucket = _bucket(keys[told], buckets)
+    by = np.argsort(bucket, kind="stable")
+    told, ends = told[by], np.searchsorted(bucket[by], np.arange(buckets + 1))
+    item = ranges((np.cumsum(counts) - counts)[told], counts[told])
+    values, held = values[item], held[item]
+    keys, sizes, counts = keys[told], sizes[told], counts[told]
+    at = np.append(0, np.cumsum(counts))
+
+    def rows() -> Iterator[tuple]:
+        for b, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+            if x < y:
+                yield *_blobs(b, keys[x:y], sizes[x:y], counts[x:y], values[at[x] : at[y]]), held[at[x] : at[y]].tobytes()
+
+    yield from _rows(rows(), ["bucket", *_NAMES[1:], "held"])
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
     """Of one bucket: sets that may have a partner, their shared shingles and the rarest of them.
 
     Shingles that nobody else holds come first in the order, so the prefix
     that a partner must meet is short of them.
     """
-    keys, sizes, counts, values = _joined(table)
-    held, _ = flat(table.column("held"), np.uint32)
-    owner_key = np.repeat(keys, counts)
-    order = np.lexsort((values, owner_key))
-    values, held, owner_key = values[order], held[order], owner_key[order]
-    distinct, first = np.unique(keys, return_index=True)
-    ends = np.searchsorted(owner_key, distinct, "right")
-    begins = np.searchsorted(owner_key, distinct, "left")
+    keys, sizes, counts, values, held = _blob_columns(batches, [*_NAMES[1:], "held"], (*_KINDS, np.uint32))
+    distinct, place = np.unique(keys, return_inverse=True)
+    size = np.zeros(len(distinct), np.int64)
+    np.maximum.at(size, place, sizes)
+    owner = np.repeat(place, counts)
+    order = np.lexsort((values, owner))
+    values, held = values[order], held[order]
+    held_by = np.bincount(owner, minlength=len(distinct))
+    del order, owner, place
+    some = held_by > 0
+    distinct, size, held_by = distinct[some], size[some], held_by[some]
+    ends = np.cumsum(held_by)
+    begins = ends - held_by
     found: dict[str, list] = {"set_key": [], "n": [], "shared": [], "prefix": [], "least": []}
     seeds = mixed(np.arange(1, ORDERS + 1, dtype=np.uint64))
     least = np.stack([np.minimum.reduceat(mixed(values ^ seed), begins) for seed in seeds], 1).view(np.int64) if len(distinct) else []
-    for key, n, a, b, mine in zip(distinct.tolist(), sizes[first].tolist(), begins.tolist(), ends.tolist(), least, strict=True):
+    for key, n, a, b, mine in zip(distinct.tolist(), size.tolist(), begins.tolist(), ends.tolist(), least, strict=True):
         if 100 * (b - a) < share * n:
             continue
         length = (b - a) - (-(-share * n // 100)) + 1
@@ -195,81 +251,94 @@ def _candidates(table: pa.Table, share: int) -> pa.Table:
         found["prefix"].append(values[a:b][rarest].view(np.int64))
         found["least"].append(mine)
     kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-    return pa.table({name: pa.array(v, k) for (name, v), k in zip(found.items(), kinds, strict=True)})
+    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(found.values(), kinds, strict=True)], list(found))
+
 
+def _with_partners(batches: Iterator[pa.RecordBatch], fragments: int, slabs: int) -> Iterator[pa.RecordBatch]:
+    """Sets and their partners, cut again: each fragment's row has the partners of its sets too.
 
-def _with_partners(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterator[pa.RecordBatch]:
-    """Sets and their partners, cut again: each fragment's row has the partners of its sets too."""
+    A fragment goes to ``slabs`` tasks, each with all segments and the partners of some sets.
+    """
     for batch in batches:
         keys, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         values, counts = flat(batch.column(2), np.uint64)
         partners, many = flat(batch.column(3), np.int64)
-        ends = np.cumsum(many)
-        place = {key: i for i, key in enumerate(keys.tolist())}
-        rows = []
-        for row in _cut(keys, n, values, np.repeat(np.arange(len(keys)), counts), fragments):
-            own = [place[k] for k in np.frombuffer(row[1], np.int64).tolist()]
-            mine = [partners[ends[i] - many[i] : ends[i]] for i in own]
-            rows.append((*row, np.concatenate(mine).tobytes(), many[own].astype(np.uint32).tobytes()))
-        yield _rows(rows, [*_NAMES, "partners", "many"])
+        begin, slab = np.cumsum(many) - many, _bucket(keys, slabs)
+
+        def rows() -> Iterator[tuple]:
+            for f, own, size, some in _cut(counts, values, fragments):
+                for k in range(slabs):
+                    mine = np.where(slab[own] == k, many[own], 0)
+                    yield *_blobs(f * slabs + k, keys[own], n[own], size, some), partners[ranges(begin[own], mine)].tobytes(), mine.astype(np.uint32).tobytes()
+
+        yield from _rows(rows(), [*_NAMES, "partners", "many"])
 
 
 _PAIRS = ["a", "b", "na", "nb", "overlap"]
+_PAIR_KINDS = (np.int64, np.int64, np.uint32, np.uint32, np.uint32)
 
 
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed(keys.view(np.uint64)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def _overlaps(table: pa.Table, buckets: int) -> pa.Table:
-    """Of one fragment: how many shingles each set shares with its partners, by bucket of sets."""
-    keys, n, counts, values = _joined(table)
-    partners, _ = flat(table.column("partners"), np.int64)
-    many = flat(table.column("many"), np.uint32)[0].astype(np.int64)
+def _overlaps(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Of one slab of a fragment: how many shingles each set shares with its partners, by bucket of sets."""
+    keys, n, counts, values, partners, many = _blob_columns(batches, [*_NAMES[1:], "partners", "many"], (*_KINDS, np.int64, np.uint32))
+    if not len(partners):
+        return
     order = np.argsort(keys)
-    a = np.repeat(np.arange(len(keys)), many)
-    near = np.minimum(np.searchsorted(keys[order], partners), max(0, len(keys) - 1))
-    b = order[near] if len(keys) else near
-    here = keys[b] == partners if len(keys) else np.zeros(0, bool)  # else the partner has no shared shingle here
-    a, b = a[here], b[here]
+    sorted_keys = keys[order]
     distinct, rank = np.unique(values, return_inverse=True)
-    at = np.cumsum(counts) - counts
-    owner = np.repeat(np.arange(len(keys)), counts)
-    held = owner * np.int64(len(distinct)) + rank  # rising: rows in order, values rising within a row
-    overlap = np.zeros(len(a), np.int64)
-    step = np.cumsum(counts[a])
-    begin = 0
-    while begin < len(a):  # pairs in lots of bounded work
-        base = step[begin - 1] if begin else 0
-        end = max(begin + 1, int(np.searchsorted(step, base + 2_000_000)))
-        size = counts[a[begin:end]]
-        pair = np.repeat(np.arange(begin, end), size)
-        item = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size) + at[a[pair]]
-        goal = b[pair] * np.int64(len(distinct)) + rank[item]
-        found = held[np.minimum(np.searchsorted(held, goal), len(held) - 1)] == goal
-        overlap[begin:end] = np.bincount(pair[found] - begin, minlength=end - begin)
-        begin = end
-    keep = overlap > 0
-    a, b, overlap = a[keep], b[keep], overlap[keep]
-    bucket = _bucket(keys[a], buckets)
-    order = np.argsort(bucket, kind="stable")
-    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    columns = [keys[a][order], keys[b][order], n[a][order], n[b][order], overlap[order]]
-    rows = [(k, *[c[x:y].astype(np.int64).tobytes() for c in columns]) for k, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if x < y]
-    return pa.Table.from_batches([_rows(rows, ["bucket", *_PAIRS])])
+    del values
+    at = np.cumsum(counts, dtype=np.int64) - counts
+    ends = np.cumsum(many, dtype=np.int64)
+    held = np.repeat(np.arange(len(keys)) * len(distinct), counts) + rank  # rising: rows in order, values rising within a row
+    for x in range(0, len(partners), LOT):
+        some = partners[x : x + LOT]
+        near = np.minimum(np.searchsorted(sorted_keys, some), len(keys) - 1)
+        here = np.flatnonzero(sorted_keys[near] == some)  # else the partner has no shared shingle here
+        a, b = np.searchsorted(ends, x + here, "right"), order[near[here]]
+        overlap = np.zeros(len(a), np.int64)
+        step = np.cumsum(counts[a], dtype=np.int64)
+        begin = 0
+        while begin < len(a):  # pairs in lots of bounded work
+            base = step[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(step, base + 2 * LOT)))
+            size = counts[a[begin:end]].astype(np.int64)
+            pair, item = np.repeat(np.arange(begin, end), size), ranges(at[a[begin:end]], size)
+            goal = b[pair] * np.int64(len(distinct)) + rank[item]
+            found = held[np.minimum(np.searchsorted(held, goal), len(held) - 1)] == goal
+            overlap[begin:end] = np.bincount(pair[found] - begin, minlength=end - begin)
+            begin = end
+        keep = overlap > 0
+        a, b, overlap = a[keep], b[keep], overlap[keep]
+        bucket = _bucket(keys[a], buckets)
+        by = np.argsort(bucket, kind="stable")
+        bounds = np.searchsorted(bucket[by], np.arange(buckets + 1))
+        a, b, overlap = a[by], b[by], overlap[by]
+        columns = [c.astype(k) for c, k in zip((keys[a], keys[b], n[a], n[b], overlap), _PAIR_KINDS, strict=True)]
+        yield from _rows(_dealt(columns, bounds), ["bucket", *_PAIRS])
+
+
+def _dealt(columns: list[np.ndarray], bounds: np.ndarray) -> Iterator[tuple]:
+    """A row for each bucket that has some: its number, and the columns from one bound to the next as blobs."""
+    for k, (x, y) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+        if x < y:
+            yield k, *(c[x:y].tobytes() for c in columns)
 
 
-def _links(table: pa.Table, share: int) -> pa.Table:
+def _links(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
     """Of one bucket: the pairs whose partial overlaps add up to a link."""
-    a, b, na, nb, overlap = (flat(table.column(c), np.int64)[0] for c in _PAIRS)
+    a, b, na, nb, overlap = _blob_columns(batches, _PAIRS, _PAIR_KINDS)
     order = np.lexsort((b, a))
     a, b, na, nb, overlap = a[order], b[order], na[order], nb[order], overlap[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     at = np.append(np.flatnonzero(new), len(a))
     total = per_doc(overlap, at)
-    link = 100 * total >= share * (na[new] + nb[new] - total)
-    return pa.table({"a": a[new][link], "b": b[new][link]})
+    link = 100 * total >= share * (na[new].astype(np.int64) + nb[new] - total)
+    yield pa.RecordBatch.from_arrays([pa.array(a[new][link]), pa.array(b[new][link])], ["a", "b"])
 
 
 def roots(docs: DataFrame, text_col: str = "text", width: int = 5, share: int = 80) -> DataFrame:
@@ -278,8 +347,8 @@ def roots(docs: DataFrame, text_col: str = "text", width: int = 5, share: int =
     spark = docs.sparkSession
     fragments = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut = docs.select(F.col(text_col)).mapInArrow(lambda batches: _segments(batches, width, fragments), f"fragment int, {_BLOBS}")
-    shared = cut.groupBy("fragment").applyInArrow(lambda t: _shared(t, fragments), f"bucket int, {_BLOBS}, held binary")
-    found = shared.groupBy("bucket").applyInArrow(lambda t: _candidates(t, share), "set_key bigint, n bigint, shared binary, prefix array<bigint>, least array<bigint>")
+    shared = cut.groupBy("fragment").applyInArrow(_grouped(_shared, fragments), f"bucket int, {_BLOBS}, held binary")
+    found = shared.groupBy("bucket").applyInArrow(_grouped(_candidates, share), "set_key bigint, n bigint, shared binary, prefix array<bigint>, least array<bigint>")
     sets = saved(found, "sets")
     edges = verified(sets, saved(neighbours(sets, share), "pairs"), share)
     named = components(edges)
@@ -320,15 +389,15 @@ def hub_pairs(postings: DataFrame, low: int, high: int, share: int) -> DataFrame
     # Hubs by rank: Spark limits each gram's rows before and after the shuffle.
     place = F.row_number().over(W.partitionBy("gram").orderBy("set_key"))
     hubs = postings.withColumn("_place", place).where(F.col("_place") <= high).where(F.col("_place") > low)
-    most = postings.agg(F.sum(F.least("size", F.lit(high - low)))).first()[0]  # pairs before equal ones are one
-    parts, buckets = -(-most // PAIRS), -(-most // (4 * PAIRS))
+    most, rows = postings.agg(F.sum(F.least("size", F.lit(high - low))), F.count("*")).first()  # pairs before equal ones are one
+    parts, buckets = max(-(-most // PAIRS), -(-2 * rows // LOT)), -(-most // PAIRS)
     slabs = F.ceil(F.col("size") * F.least("size", F.lit(high - low)) / PAIRS).cast("int")
     columns = ["gram", "set_key", "n", "root", "hub", "slab"]
     members = postings.withColumn("slab", F.pmod(F.xxhash64("set_key"), slabs).cast("int")).withColumn("hub", F.lit(False))
     both = members.select(*columns).unionByName(hubs.withColumn("hub", F.lit(True)).withColumn("slab", F.explode(F.sequence(F.lit(0), slabs - 1))).select(*columns))
     dealt = both.withColumn("part", F.pmod(F.xxhash64("gram", "slab"), F.lit(parts)).cast("int"))
-    found = dealt.groupBy("part").applyInArrow(lambda t: _hub_pairs(t, share, buckets), "bucket int, a binary, b binary")
-    return saved(found.groupBy("bucket").applyInArrow(_partners, "set_key bigint, partners binary").groupBy("set_key").agg(F.max("partners").alias("partners")), "pairs")
+    found = dealt.groupBy("part").applyInArrow(_grouped(_hub_pairs, share, buckets), "bucket int, a binary, b binary")
+    return saved(found.groupBy("bucket").applyInArrow(_grouped(_partners), "set_key bigint, partners binary").groupBy("set_key").agg(F.max("partners").alias("partners")), "pairs")
 
 
 def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -340,10 +409,12 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], b[new]
 
 
-def _hub_pairs(table: pa.Table, share: int, buckets: int) -> pa.Table:
+def _hub_pairs(batches: Iterator[pa.RecordBatch], share: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Of one part: members with the smaller hubs of their lists, in other groups and of sizes that can link."""
+    table = pa.Table.from_batches(batches)
     gram, key, n, root, slab = (table.column(c).to_numpy() for c in ("gram", "set_key", "n", "root", "slab"))
     hub = table.column("hub").to_numpy()
+    del table
     order = np.lexsort((slab, gram))
     gram, key, n, root, slab, hub = gram[order], key[order], n[order], root[order], slab[order], hub[order]
     new = np.ones(len(gram), bool)
@@ -355,7 +426,7 @@ def _hub_pairs(table: pa.Table, share: int, buckets: int) -> pa.Table:
     a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
     step, x = np.cumsum(many), 0
     while x < len(member):  # pairs in lots of bounded size
-        y = max(x + 1, int(np.searchsorted(step, (step[x - 1] if x else 0) + PAIRS)))
+        y = max(x + 1, int(np.searchsorted(step, (step[x - 1] if x else 0) + LOT)))
         left = np.repeat(member[x:y], many[x:y])
         right = place[np.arange(len(left)) - np.repeat(np.cumsum(many[x:y]) - many[x:y], many[x:y]) + np.repeat(begin[x:y], many[x:y])]
         fits = (key[left] > key[right]) & (root[left] != root[right])
@@ -365,17 +436,17 @@ def _hub_pairs(table: pa.Table, share: int, buckets: int) -> pa.Table:
     bucket = _bucket(a, buckets)
     order = np.argsort(bucket, kind="stable")
     ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    rows = [(k, a[order[x:y]].tobytes(), b[order[x:y]].tobytes()) for k, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if x < y]
-    return pa.Table.from_batches([_rows(rows, ["bucket", "a", "b"])])
+    yield from _rows(_dealt([a[order], b[order]], ends), ["bucket", "a", "b"])
 
 
-def _partners(table: pa.Table) -> pa.Table:
+def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of one bucket: each set with its partners, and the partners with none."""
-    a, b = _distinct(*(flat(table.column(c), np.int64)[0] for c in "ab"))
+    a, b = _distinct(*_blob_columns(batches, ["a", "b"], (np.int64, np.int64)))
     keys, at = np.unique(a, return_index=True)
     others = np.setdiff1d(b, keys)
     lists = binary(b, np.append(at, len(b)).astype(np.int64))
-    return pa.table({"set_key": np.concatenate([keys, others]), "partners": pa.concat_arrays([lists, pa.array([b""] * len(others), pa.binary())])})
+    lists = pa.concat_arrays([lists, pa.array([b""] * len(others), pa.binary())])
+    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([keys, others])), lists], ["set_key", "partners"])
 
 
 def neighbours(sets: DataFrame, share: int) -> DataFrame:
@@ -404,13 +475,15 @@ def verified(sets: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
     many = (told["bytes"] or 0) // 8
     partners = F.broadcast(pairs) if 8 * (2 * told["keys"] + many) <= SMALL else pairs
     rows = saved(sets.select("set_key", "n", "shared").join(partners, "set_key").select("set_key", "n", "shared", "partners"), "asked")
-    shingles = rows.agg(F.sum(F.length("shared"))).first()[0] or 0
-    fragments = max(1, -(-shingles // (8 * FRAGMENT)))
-    cut = rows.mapInArrow(lambda batches: _with_partners(batches, fragments), f"fragment int, {_BLOBS}, partners binary, many binary")
-    # A pair has a partial overlap in each fragment at most.
-    buckets = max(1, -(-many * fragments // FRAGMENT))
-    counted = cut.groupBy("fragment").applyInArrow(lambda t: _overlaps(t, buckets), f"bucket int, {', '.join(f'{c} binary' for c in _PAIRS)}")
-    linked = saved(counted.groupBy("bucket").applyInArrow(lambda t: _links(t, share), "a bigint, b bigint"), "links")
+    # A pair has a partial overlap in each fragment at most, and one for each shingle of the larger set.
+    sizes = rows.agg(F.sum(F.length("shared")), F.sum(F.length("shared").cast("double") * F.length("partners"))).first()
+    fragments = max(1, -(-(sizes[0] or 0) // (8 * FRAGMENT)))
+    partial = min(many * fragments, int(sizes[1] or 0) // 64)
+    slabs = max(1, -(-partial // (fragments * SLAB)))
+    buckets = max(1, -(-partial // (FRAGMENT // 2)))
+    cut = rows.mapInArrow(lambda batches: _with_partners(batches, fragments, slabs), f"fragment int, {_BLOBS}, partners binary, many binary")
+    counted = cut.groupBy("fragment").applyInArrow(_grouped(_overlaps, buckets), f"bucket int, {', '.join(f'{c} binary' for c in _PAIRS)}")
+    linked = saved(counted.groupBy("bucket").applyInArrow(_grouped(_links, share), "a bigint, b bigint"), "links")
     discarded(rows)
     return linked
 

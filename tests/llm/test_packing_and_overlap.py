@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -237,6 +238,46 @@ def test_shingle_groups(spark):
     assert jaccard_join.groups(docs.limit(0)).count() == 0
 
 
+def by_place(batches):
+    """The rows of each place (first column) as batches of one row."""
+    groups = collections.defaultdict(list)
+    for batch in batches:
+        for k in range(batch.num_rows):
+            groups[batch.column(0)[k].as_py()].append(batch.slice(k, 1))
+    return [groups[k] for k in sorted(groups)]
+
+
+@pytest.mark.parametrize("fragments, slabs", [(1, 1), (3, 4)])
+def test_overlaps_of_many_pairs_in_bounded_memory(fragments, slabs):
+    """Every set is a partner of every larger one: what a task holds must not grow with the pairs."""
+    rng, n = np.random.default_rng(8), 1600
+    held = [np.unique(rng.integers(0, 60, 40)) for _ in range(n)]
+    values = np.sort(rng.integers(0, 2**63, 60).astype(np.uint64) * np.uint64(2))
+    keys = np.sort(rng.choice(2**40, n, replace=False)) - 2**39
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(keys), pa.array([len(h) for h in held]), pa.array([values[h].tobytes() for h in held]), pa.array([keys[:k].tobytes() for k in range(n)])],
+        ["set_key", "n", "shared", "partners"],
+    )
+    cut = by_place(jaccard_join._with_partners(iter([rows]), fragments, slabs))
+    assert len(cut) == fragments * slabs
+    assert sum(len(b.column("partners")[0].as_py()) for group in cut for b in group) == fragments * 8 * (n * (n - 1) // 2)
+    counted, most = [], 0
+    for group in cut:
+        tracemalloc.start()
+        counted += jaccard_join._overlaps(iter(group), 7)
+        most = max(most, tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert most < 100e6
+    links = [(a, b) for group in by_place(counted) for out in jaccard_join._links(iter(group), 40) for a, b in zip(*(c.to_pylist() for c in out.columns), strict=True)]
+    marks = np.zeros((n, 60), int)
+    for k, h in enumerate(held):
+        marks[k, h] = 1
+    both, size = marks @ marks.T, marks.sum(1)
+    want = np.argwhere(np.tril(100 * both >= 40 * (size[:, None] + size - both), -1))
+    assert len(want) > 1000
+    assert sorted(links) == sorted((keys[a], keys[b]) for a, b in want)
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 9), (5, 6), (6, 5), (7, 7), (20, 19), (19, 18), (18, 17), (17, 16)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
